@@ -26,6 +26,8 @@ def canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
+        if v.is_integer() and abs(v) < 2 ** 53:
+            return str(int(v))  # nullable ints arrive as floats from pandas
         return repr(float(v) + 0.0)
     if isinstance(v, pd.Timestamp):
         return v.isoformat()

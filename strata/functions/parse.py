@@ -39,4 +39,4 @@ def parse_period(c, fmt: str = PERIOD_FORMAT) -> Column:
 def parse_mixed_date(c, formats=(US_DATE_FORMAT, ISO_DATE_FORMAT)) -> Column:
     """A date column that may already be a date, or text in one of ``formats``."""
     text = _col(c).cast("string")
-    return F.coalesce(*[F.try_to_date(text, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
