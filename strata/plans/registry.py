@@ -35,8 +35,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from strata.plans import queries_carbon, queries_markets, queries_readmissions  # noqa: F401
-    try:
-        from strata.plans import queries_misc  # noqa: F401
-    except ImportError:
-        pass
+    from strata.plans import (  # noqa: F401
+        queries_carbon, queries_markets, queries_misc, queries_readmissions, queries_stream,
+    )

@@ -1,0 +1,81 @@
+"""Incremental previous-value per key, kept as streaming state.
+
+A window ``lag`` cannot run on a stream (Spark refuses non-time windows in
+streaming), and recomputing the whole history each run is what the batch job
+does. Here each key's last ``(order, value)`` lives in the state store
+(RocksDB); every micro-batch only touches the keys it contains.
+
+Late rows - an order value not newer than the stored one - are emitted with
+``is_late = true`` and no previous value; the batch job stays the reference
+for them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+_STATE = T.StructType([T.StructField("order", T.LongType()), T.StructField("value", T.DoubleType())])
+
+
+class PreviousValueProcessor(StatefulProcessor):
+    """Emits ``(key, order, value, previous_value, is_late)`` per input row."""
+
+    def __init__(self, key: str, order: str, value: str, previous: str, carry=()):
+        self.key, self.order, self.value, self.previous = key, order, value, previous
+        self.carry = tuple(carry)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", _STATE)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # Rows of one key within one micro-batch, put in order.
+        batch = sorted(rows, key=lambda r: r[self.order])
+        last_order, last_value = None, None
+        if self.last.exists():
+            stored = self.last.get()
+            last_order, last_value = stored[0], stored[1]
+        for r in batch:
+            o, v = r[self.order], r[self.value]
+            extra = {c: r[c] for c in self.carry}
+            if last_order is not None and o <= last_order:
+                yield Row(**{self.key: key[0], **extra, self.order: o, self.value: v, self.previous: None,
+                             "is_late": True})
+                continue
+            yield Row(**{self.key: key[0], **extra, self.order: o, self.value: v,
+                         self.previous: last_value, "is_late": False})
+            last_order, last_value = o, v
+        if last_order is not None:
+            self.last.update((last_order, last_value))
+
+    def close(self) -> None:
+        pass
+
+
+def previous_value_stream(stream: DataFrame, key: str = "symbol", order: str = "_batch_id",
+                          value: str = "current_price", previous: str = "previous_price",
+                          carry=()) -> DataFrame:
+    """Stateful ``lag(value)`` per key on a streaming DataFrame (append mode).
+    ``carry`` columns are passed through unchanged."""
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    carry = list(carry)
+    schema = stream.select(key, *carry, order, value).schema
+    out = T.StructType([
+        T.StructField(key, schema[key].dataType),
+        *[T.StructField(c, schema[c].dataType) for c in carry],
+        T.StructField(order, T.LongType()),
+        T.StructField(value, T.DoubleType()),
+        T.StructField(previous, T.DoubleType()),
+        T.StructField("is_late", T.BooleanType()),
+    ])
+    src = stream.select(key, *carry, stream[order].cast("long").alias(order),
+                        stream[value].cast("double").alias(value))
+    return src.groupBy(key).transformWithState(
+        statefulProcessor=PreviousValueProcessor(key, order, value, previous, carry),
+        outputStructType=out, outputMode="Append", timeMode="None")
