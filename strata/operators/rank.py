@@ -6,24 +6,27 @@ dozen states of a country, six medical conditions); ``strategy="single"``.
 
 For tables whose row count grows with the data, ``strategy="cells"``:
 
+0. cut the lineage of the input with ``checkpoint()`` (reliable, in the
+   session's checkpoint folder) - the steps below read the input several
+   times, and each branch would otherwise recompute the whole upstream plan;
 1. collapse the input to its distinct values with their row counts (hash
-   aggregate with map-side combine, so a value held by a third of all rows is a
-   single row from here on);
-2. cut ``[min, max]`` into ``cells`` equal-width cells; min and max come from
-   scalar subqueries and are exact, so the cell of a value is a deterministic,
-   order-preserving function of the value (IEEE subtraction, division and
-   floor are monotone);
+   aggregate with map-side combine, so a value held by a third of all rows is
+   a single row from here on);
+2. map each value to a *cell*: its binary exponent and the top
+   ``mantissa_bits`` bits of its mantissa (log-scale cells, mirrored for
+   negative values). The map is a fixed, order-preserving function of the
+   value - no data-dependent bounds, so every recomputation agrees - and there
+   are at most 2 x 2,200 x 2^bits cells, whatever the data;
 3. rank inside each cell with a window partitioned by cell (many cells per
    task, spread by hash);
 4. add the number of distinct values (dense rank) or rows (rank) in all better
-   cells - one row per cell, so the prefix-sum window and the broadcast are
-   bounded by the constant ``cells``;
+   cells - one row per non-empty cell, so the prefix sum and the broadcast are
+   bounded (about 1.1 million rows at 8 bits);
 5. join the rank back on the value (null-safe; AQE broadcasts it when small
    and splits skewed partitions when not).
 
-Every number is computed from exact aggregates, so a recomputed stage after a
-lost executor gives the same ranks. Nulls are one extra value: first for
-ascending and last for descending order, as Spark orders them by default.
+Nulls are one extra value: first for ascending and last for descending order,
+as Spark orders them by default; NaN is above every number, as in Spark.
 """
 
 from __future__ import annotations
@@ -32,7 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_CELLS = 1 << 16
+from strata.session import ensure_checkpoint_dir
+
+DEFAULT_MANTISSA_BITS = 8
+_EXP_OFFSET = 1100          # binary exponents of doubles lie in [-1074, 1023]
+_TOP = 1 << 62              # beyond every finite cell key
 
 
 def _ordered(c: Column, ascending: bool) -> Column:
@@ -47,25 +54,40 @@ def rank_single_partition(df: DataFrame, value: str, out: str, ascending: bool =
     return df.withColumn(out, fn.over(w))
 
 
+def cell_key(c: Column, mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> Column:
+    """Order-preserving long key of a double: 0 for zero, +/-(exponent, top
+    mantissa bits) otherwise; +/-infinity and NaN at the ends. ``log2`` is
+    monotone and the mantissa index is clamped, so ``a <= b`` implies
+    ``key(a) <= key(b)``; null stays null."""
+    m = 1 << mantissa_bits
+    x = c.cast("double")
+    ax = F.abs(x)
+    finite = ~F.isnan(x) & (ax < F.lit(float("inf")))
+    e = F.floor(F.log2(ax))
+    mant = ax / F.pow(F.lit(2.0), e)
+    mc = F.least(F.greatest(F.floor((mant - F.lit(1.0)) * F.lit(float(m))), F.lit(0)), F.lit(m - 1))
+    mag = (e + F.lit(_EXP_OFFSET)) * F.lit(m) + mc + F.lit(1)
+    return (F.when(x.isNull(), F.lit(None).cast("long"))
+            .when(F.isnan(x), F.lit(_TOP + 1))
+            .when(~finite & (x > 0), F.lit(_TOP))
+            .when(~finite & (x < 0), F.lit(-_TOP))
+            .when(x > 0, mag)
+            .when(x < 0, -mag)
+            .otherwise(F.lit(0)).cast("long"))
+
+
 def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                cells: int = DEFAULT_CELLS) -> DataFrame:
+                mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> DataFrame:
     """Distinct values of ``value`` (including null) with their global rank in ``out``."""
     dtype = df.schema[value].dataType
     if not isinstance(dtype, T.NumericType):
         raise TypeError(f"cell rank needs a numeric column, {value} is {dtype.simpleString()}")
     v = F.col(value)
     vals = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-
-    x = v.cast("double")
-    lo = vals.agg(F.min(x)).scalar()
-    hi = vals.agg(F.max(x)).scalar()
-    width = F.nullif(hi - lo, F.lit(0.0))
-    raw = F.floor((x - lo) / width * F.lit(float(cells)))
-    cell = F.coalesce(F.least(raw, F.lit(cells - 1)), F.lit(0))
-    pos = cell if ascending else F.lit(cells - 1) - cell
-    null_pos = F.lit(-1) if ascending else F.lit(cells)
-    vals = vals.select(value, "_rows",
-                       F.when(v.isNull(), null_pos).otherwise(pos).cast("int").alias("_pos"))
+    key = cell_key(v, mantissa_bits)
+    pos = key if ascending else -key
+    null_pos = F.lit(-(_TOP + 2)) if ascending else F.lit(_TOP + 2)
+    vals = vals.select(value, "_rows", F.coalesce(pos, null_pos).alias("_pos"))
 
     in_cell = Window.partitionBy("_pos").orderBy(_ordered(v, ascending))
     if dense:
@@ -77,7 +99,8 @@ def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, de
 
     size = F.count(F.lit(1)) if dense else F.sum("_rows")
     per_cell = vals.groupBy("_pos").agg(size.alias("_size"))
-    # At most cells + 1 rows: the single-partition prefix sum and the broadcast are bounded.
+    # One row per non-empty cell (bounded, see module doc): the prefix sum on
+    # one partition and the broadcast below stay small at any data size.
     earlier = Window.orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select("_pos", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
 
@@ -86,13 +109,17 @@ def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, de
 
 
 def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                strategy: str = "cells", cells: int = DEFAULT_CELLS) -> DataFrame:
+                strategy: str = "cells", mantissa_bits: int = DEFAULT_MANTISSA_BITS,
+                checkpoint: bool = True) -> DataFrame:
     """Add ``out`` = (dense_)rank of ``value`` over the whole DataFrame."""
     if strategy == "single":
         return rank_single_partition(df, value, out, ascending, dense)
     if strategy != "cells":
         raise ValueError(f"unknown rank strategy {strategy!r}")
-    ranks = value_ranks(df, value, out, ascending, dense, cells)
+    if checkpoint and not df.isStreaming:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    ranks = value_ranks(df, value, out, ascending, dense, mantissa_bits)
     cols = [F.col(f"l.{c}") for c in df.columns]
     return (df.alias("l")
             .join(ranks.alias("r"), F.col(f"l.{value}").eqNullSafe(F.col(f"r.{value}")), "left")
@@ -100,6 +127,7 @@ def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, de
 
 
 def dense_rank_desc(df: DataFrame, value: str, out: str, strategy: str = "cells",
-                    cells: int = DEFAULT_CELLS) -> DataFrame:
+                    mantissa_bits: int = DEFAULT_MANTISSA_BITS, checkpoint: bool = True) -> DataFrame:
     """Dense rank, largest value first, nulls last."""
-    return global_rank(df, value, out, ascending=False, dense=True, strategy=strategy, cells=cells)
+    return global_rank(df, value, out, ascending=False, dense=True, strategy=strategy,
+                       mantissa_bits=mantissa_bits, checkpoint=checkpoint)
