@@ -6,57 +6,14 @@ Row count, column names and the multiset of rows must agree exactly.
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-import pandas as pd  # noqa: E402
-
 from strata.plans.registry import ORACLE_SQL, QUERIES, load_all  # noqa: E402
-from strata.sources.testdata import TABLES  # noqa: E402
-
-
-def canon(v):
-    if v is None:
-        return "NULL"
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "NULL"
-        if v.is_integer() and abs(v) < 2 ** 53:
-            return str(int(v))  # nullable ints arrive as floats from pandas
-        return repr(float(v) + 0.0)
-    if isinstance(v, pd.Timestamp):
-        return v.isoformat()
-    if hasattr(v, "isoformat"):
-        return pd.Timestamp(v).isoformat()
-    if isinstance(v, (bool,)):
-        return str(v)
-    try:
-        import numpy as np
-        if isinstance(v, np.generic):
-            return canon(v.item())
-    except Exception:
-        pass
-    return str(v)
-
-
-def rows_of(pdf: pd.DataFrame):
-    cols = sorted(pdf.columns)
-    pdf = pdf[cols].astype(object).where(pdf[cols].notna(), None)
-    return cols, sorted(tuple(canon(v) for v in r) for r in pdf.itertuples(index=False, name=None))
-
-
-def duck(sf_dir):
-    con = duckdb.connect()
-    for t in TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            con.execute(f"create view {t} as select * from read_parquet('{p}')")
-    return con
+from strata.testing import compare, duck  # noqa: E402
 
 
 def main():
@@ -85,20 +42,12 @@ def main():
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
-        sc, sr = rows_of(sdf)
-        oc, orr = rows_of(odf)
-        if sc != oc:
-            print(f"FAIL {name}: columns spark={sc} oracle={oc}")
-            bad += 1
-        elif len(sr) != len(orr):
-            print(f"FAIL {name}: rows spark={len(sr)} oracle={len(orr)}")
-            bad += 1
-        elif sr != orr:
-            diff = [(a, b) for a, b in zip(sr, orr) if a != b][:3]
-            print(f"FAIL {name}: values differ, e.g. {diff}")
+        reason = compare(sdf, odf)
+        if reason:
+            print(f"FAIL {name}: {reason}")
             bad += 1
         else:
-            print(f"OK   {name}: {len(sr)} rows {ts:.1f}s")
+            print(f"OK   {name}: {len(sdf)} rows {ts:.1f}s")
     print(f"{bad} failing")
     sys.exit(1 if bad else 0)
 
