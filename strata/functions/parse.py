@@ -36,7 +36,29 @@ def parse_period(c, fmt: str = PERIOD_FORMAT) -> Column:
     return to_ntz(F.try_to_timestamp(F.regexp_replace(_col(c), "Z$", ""), F.lit(fmt)))
 
 
-def parse_mixed_date(c, formats=(US_DATE_FORMAT, ISO_DATE_FORMAT)) -> Column:
-    """A date column that may already be a date, or text in one of ``formats``."""
+# Shape of the text each date format accepts; the parser is only called on a
+# matching string, because a failed ``try_to_date`` costs a caught exception.
+DATE_SHAPES = {
+    US_DATE_FORMAT: r"^\d{1,2}/\d{1,2}/\d{4}$",
+    ISO_DATE_FORMAT: r"^\d{4}-\d{1,2}-\d{1,2}$",
+}
+
+
+def parse_mixed_date(c, formats=(US_DATE_FORMAT, ISO_DATE_FORMAT), dtype=None) -> Column:
+    """A date column that may already be a date, or text in one of ``formats``.
+
+    Pass ``dtype`` (the column's Spark type) to let a real ``date`` column
+    through untouched."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, T.DateType):
+        return _col(c)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return _col(c).cast("date")
     text = _col(c).cast("string")
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    expr = None
+    for fmt in formats:
+        shape = DATE_SHAPES.get(fmt)
+        parsed = F.try_to_date(text, fmt)
+        cond = text.rlike(shape) if shape else F.lit(True)
+        expr = F.when(cond, parsed) if expr is None else expr.when(cond, parsed)
+    return expr

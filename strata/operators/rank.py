@@ -131,3 +131,28 @@ def dense_rank_desc(df: DataFrame, value: str, out: str, strategy: str = "cells"
     """Dense rank, largest value first, nulls last."""
     return global_rank(df, value, out, ascending=False, dense=True, strategy=strategy,
                        mantissa_bits=mantissa_bits, checkpoint=checkpoint)
+
+
+def row_number_split(df: DataFrame, partition_by, value: str, out: str, ascending: bool = False,
+                     tiebreak=(), mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> DataFrame:
+    """``row_number() over (partition by P order by value, tiebreak...)``
+    without gathering a whole partition ``P`` into one task.
+
+    Rows are numbered inside (P, cell of ``value``) and shifted by the number
+    of rows of ``P`` in better cells - a per-(P, cell) count table, prefix
+    summed per ``P``. ``tiebreak`` columns must make the order total.
+    """
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    v = F.col(value)
+    key = cell_key(v, mantissa_bits)
+    pos = key if ascending else -key
+    null_pos = F.lit(-(_TOP + 2)) if ascending else F.lit(_TOP + 2)
+    d = df.withColumn("_pos", F.coalesce(pos, null_pos))
+    order = [_ordered(v, ascending), *[F.col(t).asc() for t in ties]]
+    local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*parts, "_pos").orderBy(*order)))
+    per_cell = d.groupBy(*parts, "_pos").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*parts).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_cell.select(*parts, "_pos", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    joined = local.join(offsets, [*parts, "_pos"])
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_local")).cast("int").alias(out))

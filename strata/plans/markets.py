@@ -42,16 +42,20 @@ DOMINANCE_COLUMNS = [
 
 def silver_prices(bronze: DataFrame, key: str = "symbol", order: str = "_batch_id",
                   volatility_threshold: float = 0.5, rounding: dict | None = PRICE_ROUNDING,
-                  tiebreak=None) -> DataFrame:
+                  tiebreak=None, chunk_width: int | None = None) -> DataFrame:
     """Parse times, round prices, then add the movement against the previous
-    batch of the same coin. The lag sees the rounded price (as published)."""
+    batch of the same coin. The lag sees the rounded price (as published).
+
+    ``chunk_width`` (in batch-id units, e.g. 86400 for unix-second batch ids
+    and daily chunks) splits each coin's series so that a coin with a large
+    share of all rows is spread over many tasks; the result is unchanged."""
     rounding = rounding or {}
     df = bronze.withColumns({
         "last_updated": parse_snapshot_time("last_updated"),
         **{c: round_half_up(c, d) for c, d in rounding.items()},
     })
     df = movement(df, key=key, order=order, value="current_price", change_digits=2, pct_digits=4,
-                  tiebreak=tiebreak)
+                  tiebreak=tiebreak, chunk_width=chunk_width)
     df = df.withColumns({
         "price_direction": price_direction("batch_price_change"),
         "is_volatile": is_volatile("batch_price_change_pct", volatility_threshold),

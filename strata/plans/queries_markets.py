@@ -15,8 +15,13 @@ from strata.plans.sqltext import rnd, with_ctes
 from strata.sources.testdata import prices_raw, table
 
 
+# Batch ids of the test series are day numbers (month * 100 + day): split each
+# coin's series into weekly chunks so that no coin is a single task.
+CHUNK_WIDTH = 7
+
+
 def _silver(spark, sf_dir):
-    return markets.silver_prices(prices_raw(spark, sf_dir))
+    return markets.silver_prices(prices_raw(spark, sf_dir), chunk_width=CHUNK_WIDTH)
 
 
 # ---- SQL twins --------------------------------------------------------------

@@ -62,8 +62,8 @@ def silver_hrrp(bronze: DataFrame, order_by, sentinels=SUPPRESSED_VALUES,
     df = flag_suppressed(bronze, checked, sentinels)
     df = null_sentinels(df, cleaned, sentinels)
     df = cast_columns(df, types or NUMERIC_TYPES)
-    df = df.withColumns({"start_date": parse_mixed_date("start_date"),
-                         "end_date": parse_mixed_date("end_date")})
+    df = df.withColumns({c: parse_mixed_date(c, dtype=df.schema[c].dataType)
+                         for c in ("start_date", "end_date")})
     df = trim_columns(df, ["facility_name", "measure_name"])
     df = upper_trim_columns(df, ["state"])
     if dedupe:

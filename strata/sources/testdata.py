@@ -10,9 +10,11 @@ filters reach the Parquet scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.rank import row_number_split
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -36,8 +38,10 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = (e.groupBy("symbol", "batch_id")
             .agg(F.max_by(F.struct("ts", "value", "event_id"), F.col("event_id")).alias("s"))
             .select("symbol", "batch_id", "s.ts", "s.value", "s.event_id"))
-    # Market-cap rank inside a batch, as the publisher delivers it.
-    in_batch = Window.partitionBy("batch_id").orderBy(F.col("value").desc(), F.col("event_id"))
+    # Market-cap rank inside a batch, as the publisher delivers it; numbered
+    # per value cell so that a heavy batch is not one task.
+    snap = row_number_split(snap, "batch_id", "value", "market_cap_rank", ascending=False,
+                            tiebreak=["event_id"])
     v = F.col("value")
     return snap.select(
         F.col("symbol").alias("id"),
@@ -45,7 +49,7 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Coin "), F.col("symbol")).alias("name"),
         v.alias("current_price"),
         F.floor(v * 1000).cast("bigint").alias("market_cap"),
-        F.row_number().over(in_batch).cast("int").alias("market_cap_rank"),
+        "market_cap_rank",
         F.floor(v * 10).cast("bigint").alias("total_volume"),
         (v + F.lit(1.2345)).alias("high_24h"),
         (v * F.lit(0.9)).alias("low_24h"),

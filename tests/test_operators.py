@@ -161,3 +161,25 @@ def test_reconcile_and_profile(spark):
     assert (rec.flagged, rec.unflagged, rec.total, rec.balanced) == (1, 2, 3, True)
     prof = rows(profile_non_numeric(df, {"d": "^[0-9]+$", "r": "^[0-9.]+$"}))
     assert prof == [("d", "Too Few to Report", 1), ("r", "N/A", 1)]
+
+
+@pytest.mark.parametrize("width", [1, 3, 50])
+def test_chunked_lag_equals_window_lag(spark, width):
+    rnd = random.Random(3)
+    data = [("hot", b, float(rnd.randint(1, 9))) for b in range(0, 120, 1) if rnd.random() < 0.8]
+    data += [("cold", b, float(b)) for b in (5, 17, 18, 90)]
+    df = spark.createDataFrame(data, "s string, b long, p double")
+    plain = movement(df, key="s", order="b", value="p", previous="prev")
+    chunked = movement(df, key="s", order="b", value="p", previous="prev", chunk_width=width)
+    assert rows(chunked, "s", "b", "prev", "batch_price_change") == rows(plain, "s", "b", "prev",
+                                                                         "batch_price_change")
+
+
+def test_row_number_split_equals_window(spark):
+    rnd = random.Random(11)
+    data = [(rnd.randint(1, 4), round(rnd.uniform(0, 5), 1), i) for i in range(500)]
+    df = spark.createDataFrame(data, "b long, v double, e long")
+    from strata.operators.rank import row_number_split
+    w = Window.partitionBy("b").orderBy(F.col("v").desc(), F.col("e"))
+    want = rows(df.withColumn("r", F.row_number().over(w)), "e", "r")
+    assert rows(row_number_split(df, "b", "v", "r", tiebreak=["e"]), "e", "r") == want
