@@ -88,8 +88,12 @@ def check_landing(df: DataFrame) -> DataFrame:
     """Raise when a landing batch is empty or holds a malformed record; return
     the rows otherwise. One aggregate job over the batch."""
     has_corrupt = CORRUPT in df.columns
+    data_cols = [c for c in df.columns if c != CORRUPT]
+    # Spark refuses a raw-file query that reads only the corrupt-record column,
+    # so one data column is aggregated along with it.
     counts = df.agg(F.count(F.lit(1)).alias("n"),
-                    (F.count_if(F.col(CORRUPT).isNotNull()) if has_corrupt else F.lit(0)).alias("bad")).first()
+                    (F.count_if(F.col(CORRUPT).isNotNull()) if has_corrupt else F.lit(0)).alias("bad"),
+                    *([F.count(F.col(data_cols[0])).alias("_seen")] if data_cols else [])).first()
     if counts["n"] == 0:
         raise LandingError("landing batch is empty")
     if counts["bad"]:
