@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.rank import row_number_split
+from strata.session import ensure_checkpoint_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -27,23 +28,32 @@ def _iso_minute(ts) -> F.Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm"), F.lit("Z"))
 
 
-def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market snapshots: one row per user ("coin") and day ("batch")."""
+def prices_raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Market snapshots: one row per user ("coin") and day ("batch").
+
+    Real snapshots arrive as a stored table; this derivation is costly (an
+    aggregate and a per-batch numbering), and the skew-safe operators read
+    their input more than once. With ``materialize`` the derived table is
+    written once with a reliable ``checkpoint()`` (the session's checkpoint
+    folder) and every consumer reads it back, like a stored raw table."""
     e = table(spark, sf_dir, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("symbol"),
         "ts", "value", "event_id",
         (F.month("ts") * 100 + F.dayofmonth("ts")).cast("bigint").alias("batch_id"),
     )
-    # Newest event of each user and day: an aggregate (map-side combine), no sort.
+    # Newest event of each user and day: a hash aggregate with map-side
+    # combine, no sort. event_id is unique, so each max_by picks the same row;
+    # fixed-width buffers keep it a HashAggregate (a struct would not).
+    eid = F.col("event_id")
     snap = (e.groupBy("symbol", "batch_id")
-            .agg(F.max_by(F.struct("ts", "value", "event_id"), F.col("event_id")).alias("s"))
-            .select("symbol", "batch_id", "s.ts", "s.value", "s.event_id"))
+            .agg(F.max_by("ts", eid).alias("ts"), F.max_by("value", eid).alias("value"),
+                 F.max(eid).alias("event_id")))
     # Market-cap rank inside a batch, as the publisher delivers it; numbered
     # per value cell so that a heavy batch is not one task.
     snap = row_number_split(snap, "batch_id", "value", "market_cap_rank", ascending=False,
                             tiebreak=["event_id"])
     v = F.col("value")
-    return snap.select(
+    out = snap.select(
         F.col("symbol").alias("id"),
         "symbol",
         F.concat(F.lit("Coin "), F.col("symbol")).alias("name"),
@@ -62,6 +72,10 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("_ingested_at"),
         F.col("batch_id").alias("_batch_id"),
     )
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def _region_id() -> F.Column:
