@@ -33,3 +33,18 @@ def test_scan_reads_only_needed_columns(spark):
 def test_hospital_rank_is_range_split(spark):
     plan = executed(spark, "gold_hospital_summary")
     assert "hashpartitioning(_pos" in plan
+
+
+def test_newest_period_filter_reaches_both_inputs_before_pivot(spark):
+    df = QUERIES["mart_generation_mix"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # one pushed-down runtime filter per input scan, below the pivot aggregate and the join
+    assert plan.count("Subquery subquery") >= 2
+    pivot = plan.index("partial_sum(CASE WHEN (fuel_category")
+    assert "Subquery" in plan[pivot:]
+
+
+def test_nation_is_the_only_forced_broadcast(spark):
+    from strata.sources.testdata import hrrp_raw
+    logical = hrrp_raw(spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
+    assert logical.count("broadcast") <= 1
