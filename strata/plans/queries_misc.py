@@ -25,6 +25,11 @@ from strata.sources.testdata import generation_raw, hrrp_raw, intensity_raw, pri
 SNAPSHOT_FIELDS = [f.name for f in SNAPSHOT_SCHEMA.fields]
 
 
+def _midpoint(df, column: str):
+    """Middle of the column's range as a scalar subquery (splits a table in two)."""
+    return df.agg((F.min(column) + F.max(column)) / 2).scalar()
+
+
 @register("src_csv_hrrp", with_ctes(("raw", "hrrp_raw"), select="""
 select facility_name, cast(facility_id as varchar) as facility_id, state, measure_name, number_of_discharges,
        footnote, excess_readmission_ratio, predicted_readmission_rate, expected_readmission_rate,
@@ -58,11 +63,12 @@ def q_src_json_prices(spark, sf_dir):
 @register("sink_append", with_ctes(("bronze", "prices_raw"), select="""
 select symbol, _batch_id, current_price, market_cap from bronze"""))
 def q_sink_append(spark, sf_dir):
-    """Two appends (odd, then even batches) to one folder; all rows read back."""
+    """Two appends (older, then newer batches) to one folder; all rows read back."""
     b = prices_raw(spark, sf_dir).select("symbol", "_batch_id", "current_price", "market_cap")
     path = scratch_path(spark, "append")
-    sinks.append(b.filter(F.col("_batch_id") % 2 == 1), path=path, fmt="parquet")
-    sinks.append(b.filter(F.col("_batch_id") % 2 == 0), path=path, fmt="parquet")
+    mid = _midpoint(b, "_batch_id")
+    sinks.append(b.filter(F.col("_batch_id") <= mid), path=path, fmt="parquet")
+    sinks.append(b.filter(F.col("_batch_id") > mid), path=path, fmt="parquet")
     return spark.read.parquet(path)
 
 
@@ -73,8 +79,8 @@ def q_sink_overwrite(spark, sf_dir):
     b = prices_raw(spark, sf_dir).select("symbol", "_batch_id", "current_price")
     name = f"strata_overwrite_{uuid.uuid4().hex[:12]}"
     root = scratch_path(spark, "overwrite")
-    sinks.overwrite(b.filter(F.col("_batch_id") % 2 == 1).withColumn("extra", F.lit(1)), name, root,
-                    fmt="parquet")
+    sinks.overwrite(b.filter(F.col("_batch_id") <= _midpoint(b, "_batch_id")).withColumn("extra", F.lit(1)),
+                    name, root, fmt="parquet")
     sinks.overwrite(b, name, root, fmt="parquet")
     return spark.table(name)
 

@@ -74,26 +74,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``strata`` importable in Python workers (state processors, stream
-    runners) when it was not submitted with ``--py-files``: zip the package
-    once per SparkContext and add it with ``addPyFile`` (Spark serves it to
-    every executor)."""
-    import zipfile
-
-    sc = spark.sparkContext
-    if getattr(sc, "_strata_shipped", False):
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg_dir)
-    out_dir = tempfile.mkdtemp(prefix="strata-pyfiles-")
-    archive = os.path.join(out_dir, "strata.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
-        for folder, _, files in os.walk(pkg_dir):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(archive)
-    sc._strata_shipped = True

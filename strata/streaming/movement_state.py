@@ -18,8 +18,6 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from strata.session import ship_package
-
 # The processor travels to the Python workers by value (code included), so
 # the workers need no import path to this package.
 try:
@@ -76,7 +74,6 @@ def previous_value_stream(stream: DataFrame, key: str = "symbol", order: str = "
     ``carry`` columns are passed through unchanged."""
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    ship_package(spark)
     carry = list(carry)
     schema = stream.select(key, *carry, order, value).schema
     out = T.StructType([
