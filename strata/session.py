@@ -32,6 +32,8 @@ LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints of ranked inputs are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
