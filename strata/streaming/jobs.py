@@ -155,12 +155,23 @@ def run_gold_refresh(spark: SparkSession, landing: str, schema: T.StructType, ro
                 found.append(int(name[2:]))
         return sorted(found)
 
+    def drop_versions_before(keep_from: int) -> None:
+        path = jvm.org.apache.hadoop.fs.Path(parts_root)
+        fs = path.getFileSystem(conf)
+        for v in versions():
+            if v < keep_from:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(parts_root, f"v={v}"), True)
+
     def fold(batch: DataFrame, batch_id: int) -> None:
         batch.drop("is_late").write.mode("overwrite").parquet(f"{silver_root}/mb={batch_id}")
         earlier = [v for v in versions() if v < batch_id]
         old = spark.read.parquet(f"{parts_root}/v={earlier[-1]}") if earlier else None
         new = summary_parts(batch.filter(~F.col("is_late")))
         merge_parts(old, new).write.mode("overwrite").parquet(f"{parts_root}/v={batch_id}")
+        # Retention: the previous version stays for readers that resolved it
+        # and for a retry of this batch; anything older goes.
+        if len(earlier) > 1:
+            drop_versions_before(earlier[-1])
 
     q = (moved.writeStream.foreachBatch(fold).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
