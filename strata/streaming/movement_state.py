@@ -5,16 +5,23 @@ streaming), and recomputing the whole history each run is what the batch job
 does. Here each key's last ``(order, value)`` lives in the state store
 (RocksDB); every micro-batch only touches the keys it contains.
 
-Late rows - an order value not newer than the stored one - are emitted with
-``is_late = true`` and no previous value; the batch job stays the reference
-for them.
+The processor runs with ``transformWithStateInPandas``: a key's rows of one
+micro-batch arrive as Arrow-backed pandas frames and are handled with
+vectorised sort and shift, not row by row.
+
+Late rows - an order value not newer than the stored one, or a repeat of an
+order value within the batch - are emitted with ``is_late = true`` and no
+previous value; they do not move the state. The batch job stays the
+reference for them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,35 +40,59 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _STATE = T.StructType([T.StructField("order", T.LongType()), T.StructField("value", T.DoubleType())])
 
 
+def chain_previous(pdf: pd.DataFrame, order: str, value: str, previous: str,
+                   last_order, last_value) -> tuple[pd.DataFrame, object, object]:
+    """Previous value for one key's rows given the stored last (order, value).
+
+    Returns the rows with ``previous`` and ``is_late`` added, and the new last
+    (order, value). Pure pandas, so it is unit-testable without a stream.
+    """
+    pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
+    o = pdf[order].to_numpy()
+    stale = np.zeros(len(pdf), dtype=bool)
+    if last_order is not None:
+        stale |= o <= last_order
+    # a repeated order value within the batch is late too (only the first counts)
+    if len(o) > 1:
+        stale[1:] |= o[1:] <= np.maximum.accumulate(o)[:-1]
+    fresh = ~stale
+    values = pdf[value].astype("float64")
+    shifted = values[fresh].shift(1)
+    if len(shifted):
+        shifted.iloc[0] = np.nan if last_value is None else last_value
+    prev = pd.Series(np.nan, index=pdf.index, dtype="float64")
+    prev[fresh] = shifted
+    pdf[previous] = prev
+    pdf["is_late"] = stale
+    if fresh.any():
+        last_idx = int(np.flatnonzero(fresh)[-1])
+        last_order = int(o[last_idx])
+        v = values.iloc[last_idx]
+        last_value = None if pd.isna(v) else float(v)
+    return pdf, last_order, last_value
+
+
 class PreviousValueProcessor(StatefulProcessor):
-    """Emits ``(key, order, value, previous_value, is_late)`` per input row."""
+    """Emits the input columns plus the previous value and ``is_late`` per row."""
 
-    def __init__(self, key: str, order: str, value: str, previous: str, carry=()):
-        self.key, self.order, self.value, self.previous = key, order, value, previous
-        self.carry = tuple(carry)
+    def __init__(self, order: str, value: str, previous: str, columns):
+        self.order, self.value, self.previous = order, value, previous
+        self.columns = list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", _STATE)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # Rows of one key within one micro-batch, put in order.
-        batch = sorted(rows, key=lambda r: r[self.order])
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
         last_order, last_value = None, None
         if self.last.exists():
             stored = self.last.get()
             last_order, last_value = stored[0], stored[1]
-        for r in batch:
-            o, v = r[self.order], r[self.value]
-            extra = {c: r[c] for c in self.carry}
-            if last_order is not None and o <= last_order:
-                yield Row(**{self.key: key[0], **extra, self.order: o, self.value: v, self.previous: None,
-                             "is_late": True})
-                continue
-            yield Row(**{self.key: key[0], **extra, self.order: o, self.value: v,
-                         self.previous: last_value, "is_late": False})
-            last_order, last_value = o, v
-        if last_order is not None:
-            self.last.update((last_order, last_value))
+        out, new_order, new_value = chain_previous(pdf, self.order, self.value, self.previous,
+                                                   last_order, last_value)
+        if new_order is not None and new_order != last_order:
+            self.last.update((new_order, new_value))
+        yield out[[*self.columns, self.previous, "is_late"]].rename(columns={"is_late": "c_late"})
 
     def close(self) -> None:
         pass
@@ -71,21 +102,25 @@ def previous_value_stream(stream: DataFrame, key: str = "symbol", order: str = "
                           value: str = "current_price", previous: str = "previous_price",
                           carry=()) -> DataFrame:
     """Stateful ``lag(value)`` per key on a streaming DataFrame (append mode).
-    ``carry`` columns are passed through unchanged."""
+    ``carry`` columns are passed through unchanged.
+
+    Columns travel to the processor under positional names (``c0``, ``c1``,
+    ...): the Arrow transfer renames columns that start with an underscore,
+    such as ``_batch_id``. The real names are restored on the output."""
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    carry = list(carry)
-    schema = stream.select(key, *carry, order, value).schema
-    out = T.StructType([
-        T.StructField(key, schema[key].dataType),
-        *[T.StructField(c, schema[c].dataType) for c in carry],
-        T.StructField(order, T.LongType()),
-        T.StructField(value, T.DoubleType()),
-        T.StructField(previous, T.DoubleType()),
-        T.StructField("is_late", T.BooleanType()),
+    names = [key, *carry, order, value]
+    safe = [f"c{i}" for i in range(len(names))]
+    src = stream.select(*[
+        (stream[n].cast("long") if n == order else stream[n].cast("double") if n == value else stream[n]).alias(a)
+        for n, a in zip(names, safe)])
+    s_order, s_value = safe[names.index(order)], safe[names.index(value)]
+    out = T.StructType(src.schema.fields + [
+        T.StructField("c_prev", T.DoubleType()),
+        T.StructField("c_late", T.BooleanType()),
     ])
-    src = stream.select(key, *carry, stream[order].cast("long").alias(order),
-                        stream[value].cast("double").alias(value))
-    return src.groupBy(key).transformWithState(
-        statefulProcessor=PreviousValueProcessor(key, order, value, previous, carry),
+    moved = src.groupBy(safe[0]).transformWithStateInPandas(
+        statefulProcessor=PreviousValueProcessor(s_order, s_value, "c_prev", safe),
         outputStructType=out, outputMode="Append", timeMode="None")
+    return moved.select(*[moved[a].alias(n) for a, n in zip(safe, names)],
+                        moved["c_prev"].alias(previous), moved["c_late"].alias("is_late"))

@@ -60,3 +60,17 @@ def test_gold_refresh_parts_equal_batch_summary(spark):
     got = jobs.summary_from_parts(jobs.latest_parts(spark, parts))
     want = mk.gold_price_summary(mk.silver_prices(bronze)).drop("_gold_processed_at")
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_chain_previous_pandas_logic():
+    import pandas as pd
+
+    from strata.streaming.movement_state import chain_previous
+    pdf = pd.DataFrame({"b": [5, 3, 4, 4, 2], "p": [50.0, 30.0, 40.0, 41.0, 20.0]})
+    out, lo, lv = chain_previous(pdf, "b", "p", "prev", 2, 19.0)
+    prev = [None if pd.isna(x) else float(x) for x in out["prev"]]
+    got = list(zip(out["b"], prev, out["is_late"]))
+    assert got == [(2, None, True), (3, 19.0, False), (4, 30.0, False), (4, None, True), (5, 40.0, False)]
+    assert (lo, lv) == (5, 50.0)
+    out, lo, lv = chain_previous(pd.DataFrame({"b": [1], "p": [1.5]}), "b", "p", "prev", None, None)
+    assert out["prev"].isna().all() and not out["is_late"].any() and (lo, lv) == (1, 1.5)
