@@ -6,9 +6,11 @@ dozen states of a country, six medical conditions); ``strategy="single"``.
 
 For tables whose row count grows with the data, ``strategy="cells"``:
 
-0. cut the lineage of the input with ``checkpoint()`` (reliable, in the
-   session's checkpoint folder) - the steps below read the input several
-   times, and each branch would otherwise recompute the whole upstream plan;
+0. cut the lineage with ``checkpoint()`` (reliable, in the session's
+   checkpoint folder) - the steps below read their input several times, and
+   each branch would otherwise recompute the whole upstream plan. Either the
+   input (summary tables) or only its distinct values (row-level inputs) is
+   materialised;
 1. collapse the input to its distinct values with their row counts (hash
    aggregate with map-side combine, so a value held by a third of all rows is
    a single row from here on);
@@ -77,13 +79,16 @@ def cell_key(c: Column, mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> Column:
 
 
 def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> DataFrame:
+                mantissa_bits: int = DEFAULT_MANTISSA_BITS, checkpoint_values: bool = False) -> DataFrame:
     """Distinct values of ``value`` (including null) with their global rank in ``out``."""
     dtype = df.schema[value].dataType
     if not isinstance(dtype, T.NumericType):
         raise TypeError(f"cell rank needs a numeric column, {value} is {dtype.simpleString()}")
     v = F.col(value)
     vals = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
+    if checkpoint_values and not df.isStreaming:
+        ensure_checkpoint_dir(df.sparkSession)
+        vals = vals.checkpoint(eager=True)
     key = cell_key(v, mantissa_bits)
     pos = key if ascending else -key
     null_pos = F.lit(-(_TOP + 2)) if ascending else F.lit(_TOP + 2)
@@ -110,16 +115,23 @@ def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, de
 
 def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
                 strategy: str = "cells", mantissa_bits: int = DEFAULT_MANTISSA_BITS,
-                checkpoint: bool = True) -> DataFrame:
-    """Add ``out`` = (dense_)rank of ``value`` over the whole DataFrame."""
+                checkpoint="input") -> DataFrame:
+    """Add ``out`` = (dense_)rank of ``value`` over the whole DataFrame.
+
+    ``checkpoint``: ``"input"`` (or True) materialises the input once - right
+    for summary tables, small but costly to recompute; ``"values"``
+    materialises only the distinct values and reads the input twice - right
+    for row-level inputs that are cheap to rescan but large to rewrite;
+    ``None``/False recomputes."""
     if strategy == "single":
         return rank_single_partition(df, value, out, ascending, dense)
     if strategy != "cells":
         raise ValueError(f"unknown rank strategy {strategy!r}")
-    if checkpoint and not df.isStreaming:
+    if checkpoint in (True, "input") and not df.isStreaming:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    ranks = value_ranks(df, value, out, ascending, dense, mantissa_bits)
+    ranks = value_ranks(df, value, out, ascending, dense, mantissa_bits,
+                        checkpoint_values=(checkpoint == "values"))
     cols = [F.col(f"l.{c}") for c in df.columns]
     return (df.alias("l")
             .join(ranks.alias("r"), F.col(f"l.{value}").eqNullSafe(F.col(f"r.{value}")), "left")
@@ -127,7 +139,7 @@ def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, de
 
 
 def dense_rank_desc(df: DataFrame, value: str, out: str, strategy: str = "cells",
-                    mantissa_bits: int = DEFAULT_MANTISSA_BITS, checkpoint: bool = True) -> DataFrame:
+                    mantissa_bits: int = DEFAULT_MANTISSA_BITS, checkpoint="input") -> DataFrame:
     """Dense rank, largest value first, nulls last."""
     return global_rank(df, value, out, ascending=False, dense=True, strategy=strategy,
                        mantissa_bits=mantissa_bits, checkpoint=checkpoint)

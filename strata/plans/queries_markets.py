@@ -212,4 +212,5 @@ def q_dense_rank_scaled(spark, sf_dir):
     """Range-split dense rank over every lineitem row (no single-partition window)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     li = li.withColumn("_v", round_half_up("l_extendedprice", 0))
-    return dense_rank_desc(li, "_v", "price_rank").drop("_v")
+    # row-level input: materialise only the distinct values, rescan lineitem for the join back
+    return dense_rank_desc(li, "_v", "price_rank", checkpoint="values").drop("_v")

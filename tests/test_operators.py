@@ -183,3 +183,12 @@ def test_row_number_split_equals_window(spark):
     w = Window.partitionBy("b").orderBy(F.col("v").desc(), F.col("e"))
     want = rows(df.withColumn("r", F.row_number().over(w)), "e", "r")
     assert rows(row_number_split(df, "b", "v", "r", tiebreak=["e"]), "e", "r") == want
+
+
+@pytest.mark.parametrize("mode", ["values", None])
+def test_cell_rank_checkpoint_modes(spark, mode):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(i, float(rnd.randint(-20, 20)) if i % 9 else None) for i in range(300)],
+                               "id long, v double")
+    want = rows(df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))), "id", "r")
+    assert rows(global_rank(df, "v", "r", checkpoint=mode), "id", "r") == want
