@@ -17,9 +17,14 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def snake_case_names(names) -> dict[str, str]:
-    """``"Number of Discharges"`` -> ``"number_of_discharges"`` for each name."""
+    """``"Number of Discharges"`` -> ``"number_of_discharges"`` for each name;
+    a name that is already snake_case (metadata such as ``_source_file``)
+    is kept as it is."""
     out = {}
     for name in names:
+        if name and all(ch.islower() or ch.isdigit() or ch == "_" for ch in name):
+            out[name] = name
+            continue
         words = "".join(ch if ch.isalnum() else " " for ch in name).split()
         out[name] = "_".join(w.lower() for w in words)
     return out

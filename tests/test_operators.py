@@ -75,8 +75,9 @@ def test_flag_and_null_sentinels(spark):
 
 
 def test_snake_case_names():
-    assert snake_case_names(["Number of Discharges", "Facility ID"]) == {
-        "Number of Discharges": "number_of_discharges", "Facility ID": "facility_id"}
+    assert snake_case_names(["Number of Discharges", "Facility ID", "_source_file"]) == {
+        "Number of Discharges": "number_of_discharges", "Facility ID": "facility_id",
+        "_source_file": "_source_file"}
 
 
 def test_dedupe_keeps_first_in_total_order_and_counts(spark):

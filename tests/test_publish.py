@@ -32,3 +32,29 @@ def test_publish_markets_and_readmissions(spark):
         spark.table("t_crypto_prices_clean").select("symbol").distinct().count()
     publish.publish_readmissions(spark, hrrp_raw(spark, SF_SMALL), root, ["k1", "k2", "k3"], prefix="t_hc")
     assert spark.table("t_hc_condition_readmission_summary").count() > 0
+
+
+def test_command_line_readmissions_and_carbon(spark, capsys):
+    import json
+
+    from strata.__main__ import main
+    from strata.plans import readmissions as rd
+    from strata.operators.clean import snake_case_names
+    from strata.sources.files import write_csv
+
+    raw = hrrp_raw(spark, SF_SMALL)
+    to_header = {snake_case_names([h])[h]: h for h in rd.RAW_HEADER}
+    csv = scratch_path(spark, "t-cli-csv")
+    write_csv(raw.select(*[F.col(c).cast("string").alias(h) for c, h in to_header.items()]), csv)
+    out = scratch_path(spark, "t-cli-out")
+    main(["readmissions", "--csv", csv, "--out", out, "--prefix", "t_cli_hc"])
+    paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(paths) == {"hospital_readmission_summary", "state_readmission_summary",
+                          "condition_readmission_summary"}
+    assert spark.table("t_cli_hc_cms_hrrp_clean").filter(F.col("_source_file").isNull()).count() == 0
+
+    i, g = scratch_path(spark, "t-cli-i"), scratch_path(spark, "t-cli-g")
+    intensity_raw(spark, SF_SMALL).write.parquet(i)
+    generation_raw(spark, SF_SMALL).write.parquet(g)
+    main(["carbon", "--intensity", i, "--generation", g, "--out", out, "--prefix", "t_cli_en"])
+    assert spark.table("t_cli_en_mart_peak_analysis").count() > 0
