@@ -50,13 +50,21 @@ def publish_carbon(spark: SparkSession, intensity_raw: DataFrame, generation_raw
 
 
 def publish_markets(spark: SparkSession, bronze: DataFrame, root: str, prefix: str = "crypto",
-                    chunk_width: int | None = None) -> dict:
-    """Clean series (partitioned by batch), checked, then the three serving tables."""
+                    chunk_width: int | None = None, batch_seconds: bool = True) -> dict:
+    """Clean series, checked, then the three serving tables.
+
+    The clean series is partitioned by the day of its batch (batch ids are
+    unix seconds when ``batch_seconds``), not by batch: polls every half hour
+    would otherwise make tens of thousands of tiny partitions. The newest-batch
+    filter still skips files by the Parquet min/max statistics of ``_batch_id``.
+    """
     silver = mk.silver_prices(bronze, chunk_width=chunk_width)
     gate(dq_report(silver, [not_null("symbol"), not_null("_batch_id"), not_null("current_price")],
                    "prices_clean"))
-    _publish(silver, f"{prefix}_prices_clean", root, partition_by="_batch_id")
-    s = spark.table(f"{prefix}_prices_clean")
+    day = (F.to_date(F.timestamp_seconds("_batch_id")) if batch_seconds
+           else F.col("_batch_id"))
+    _publish(silver.withColumn("batch_day", day), f"{prefix}_prices_clean", root, partition_by="batch_day")
+    s = spark.table(f"{prefix}_prices_clean").drop("batch_day")
     latest = mk.gold_latest_prices(s)
     out = {
         "latest_prices": latest,

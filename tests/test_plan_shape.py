@@ -48,3 +48,10 @@ def test_nation_is_the_only_forced_broadcast(spark):
     from strata.sources.testdata import hrrp_raw
     logical = hrrp_raw(spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
     assert logical.count("broadcast") <= 1
+
+
+def test_price_lag_is_split_by_chunk(spark):
+    import re
+    plan = executed(spark, "lag_price")
+    # the lag window is partitioned by (symbol, chunk), so one coin is many tasks
+    assert re.search(r"hashpartitioning\(symbol#\d+L?, _chunk#\d+L?", plan)

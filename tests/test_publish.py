@@ -27,7 +27,8 @@ def test_publish_carbon_and_gate(spark):
 
 def test_publish_markets_and_readmissions(spark):
     root = scratch_path(spark, "t-publish2")
-    publish.publish_markets(spark, prices_raw(spark, SF_SMALL), root, prefix="t_crypto", chunk_width=7)
+    publish.publish_markets(spark, prices_raw(spark, SF_SMALL), root, prefix="t_crypto", chunk_width=7,
+                            batch_seconds=False)
     assert spark.table("t_crypto_price_movement_summary").count() == \
         spark.table("t_crypto_prices_clean").select("symbol").distinct().count()
     publish.publish_readmissions(spark, hrrp_raw(spark, SF_SMALL), root, ["k1", "k2", "k3"], prefix="t_hc")
