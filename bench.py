@@ -41,7 +41,7 @@ def main() -> None:
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
     load_all()
     spark = local_session("strata-bench", cpus, extra={
-        "spark.sql.shuffle.partitions": str(max(int(cpus), 1) * 2),
+        "spark.sql.shuffle.partitions": os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(int(cpus), 1) * 2)),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
     })
     times = {}

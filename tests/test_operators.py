@@ -193,3 +193,12 @@ def test_cell_rank_checkpoint_modes(spark, mode):
                                "id long, v double")
     want = rows(df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))), "id", "r")
     assert rows(global_rank(df, "v", "r", checkpoint=mode), "id", "r") == want
+
+
+@pytest.mark.parametrize("width", [None, 2])
+def test_movement_same_batch_twice_uses_tiebreak(spark, width):
+    # two snapshots of one coin in batch 2: the tiebreak (ingest order) decides, on every run
+    data = [("a", 1, 0, 10.0), ("a", 2, 2, 12.0), ("a", 2, 1, 11.0), ("a", 3, 0, 13.0)]
+    df = spark.createDataFrame(data, "s string, b long, t long, p double")
+    out = movement(df, key="s", order="b", value="p", previous="prev", tiebreak="t", chunk_width=width)
+    assert rows(out, "b", "t", "prev") == [(1, 0, None), (2, 1, 10.0), (2, 2, 11.0), (3, 0, 12.0)]
