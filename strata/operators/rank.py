@@ -148,11 +148,15 @@ def dense_rank_desc(df: DataFrame, value: str, out: str, strategy: str = "cells"
 def row_number_split(df: DataFrame, partition_by, value: str, out: str, ascending: bool = False,
                      tiebreak=(), mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> DataFrame:
     """``row_number() over (partition by P order by value, tiebreak...)``
-    without gathering a whole partition ``P`` into one task.
-
-    Rows are numbered inside (P, cell of ``value``) and shifted by the number
-    of rows of ``P`` in better cells - a per-(P, cell) count table, prefix
-    summed per ``P``. ``tiebreak`` columns must make the order total.
+    without gathering a whole partition ``P`` - or one hot value - into one task.
+
+    Rows are numbered inside *units* (P, cell of ``value``, ``value``, cell of
+    the first tie-break column); the units are contiguous in the requested
+    order, so each row's number is its number in the unit plus the rows of
+    all better units of ``P``. Those offsets come from a per-unit count table
+    (map-side combined) by two prefix sums: over the cells of ``P``, and over
+    the units of one cell. A value held by a third of ``P`` is spread over
+    the cells of its tie-break. ``tiebreak`` columns must make the order total.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
@@ -160,11 +164,27 @@ def row_number_split(df: DataFrame, partition_by, value: str, out: str, ascendin
     key = cell_key(v, mantissa_bits)
     pos = key if ascending else -key
     null_pos = F.lit(-(_TOP + 2)) if ascending else F.lit(_TOP + 2)
-    d = df.withColumn("_pos", F.coalesce(pos, null_pos))
-    order = [_ordered(v, ascending), *[F.col(t).asc() for t in ties]]
-    local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*parts, "_pos").orderBy(*order)))
-    per_cell = d.groupBy(*parts, "_pos").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*parts).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_cell.select(*parts, "_pos", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    joined = local.join(offsets, [*parts, "_pos"])
-    return joined.select(*df.columns, (F.col("_offset") + F.col("_local")).cast("int").alias(out))
+    if ties and isinstance(df.schema[ties[0]].dataType, T.NumericType):
+        sub = F.coalesce(cell_key(F.col(ties[0]), mantissa_bits), F.lit(-(_TOP + 2)))  # ascending, nulls first
+    else:
+        sub = F.lit(0).cast("long")
+    d = df.withColumns({"_pos": F.coalesce(pos, null_pos), "_sub": sub})
+    unit = [*parts, "_pos", value, "_sub"]
+    in_unit = Window.partitionBy(*unit).orderBy(*[F.col(t).asc() for t in ties])
+    local = d.withColumn("_local", F.row_number().over(in_unit))
+
+    counts = d.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.unboundedPreceding, -1
+    in_cell = Window.partitionBy(*parts, "_pos").orderBy(_ordered(v, ascending), F.col("_sub").asc())
+    counts = counts.withColumn("_in_cell", F.coalesce(F.sum("_n").over(in_cell.rowsBetween(*before)), F.lit(0)))
+    cells = counts.groupBy(*parts, "_pos").agg(F.sum("_n").alias("_cell_n"))
+    over_cells = Window.partitionBy(*parts).orderBy("_pos").rowsBetween(*before)
+    cells = cells.select(*parts, "_pos", F.coalesce(F.sum("_cell_n").over(over_cells), F.lit(0)).alias("_before"))
+    c, k = counts.alias("c"), cells.alias("k")
+    offsets = c.join(k, [F.col(f"c.{x}").eqNullSafe(F.col(f"k.{x}")) for x in (*parts, "_pos")]).select(
+        *[F.col(f"c.{x}").alias(x) for x in unit], (F.col("k._before") + F.col("c._in_cell")).alias("_offset"))
+
+    lo, of = local.alias("l"), offsets.alias("o")
+    joined = lo.join(of, [F.col(f"l.{x}").eqNullSafe(F.col(f"o.{x}")) for x in unit])
+    return joined.select(*[F.col(f"l.{x}").alias(x) for x in df.columns],
+                         (F.col("o._offset") + F.col("l._local")).cast("int").alias(out))

@@ -202,3 +202,16 @@ def test_movement_same_batch_twice_uses_tiebreak(spark, width):
     df = spark.createDataFrame(data, "s string, b long, t long, p double")
     out = movement(df, key="s", order="b", value="p", previous="prev", tiebreak="t", chunk_width=width)
     assert rows(out, "b", "t", "prev") == [(1, 0, None), (2, 1, 10.0), (2, 2, 11.0), (3, 0, 12.0)]
+
+
+def test_row_number_split_hot_value_and_nulls(spark):
+    rnd = random.Random(13)
+    data = [(1, 7.5 if rnd.random() < 0.5 else round(rnd.uniform(0, 9), 1), i) for i in range(600)]
+    data += [(2, None, 1000 + i) for i in range(5)] + [(2, 1.0, 2000), (None, 2.0, 3000), (None, 2.0, 3001)]
+    df = spark.createDataFrame(data, "b long, v double, e long")
+    from strata.operators.rank import row_number_split
+    for asc in (False, True):
+        order = F.col("v").asc() if asc else F.col("v").desc()
+        w = Window.partitionBy("b").orderBy(order, F.col("e"))
+        want = rows(df.withColumn("r", F.row_number().over(w)), "e", "r")
+        assert rows(row_number_split(df, "b", "v", "r", ascending=asc, tiebreak=["e"]), "e", "r") == want
