@@ -73,8 +73,9 @@ def dedupe_natural_key(df: DataFrame, keys, order_by) -> DataFrame:
 
     ``order_by`` must make the choice total (unique within a key); the
     survivor is then the same on every run, unlike ``dropDuplicates``.
-    Implemented as ``min_by(row, order)`` - a hash aggregate with map-side
-    combine, so a key with a third of all rows is reduced before the shuffle.
+    Implemented as ``min_by(row, order)`` - an aggregate with map-side
+    combine (sort-based when the row holds strings), so a key with a third of
+    all rows is reduced to one row per task before the shuffle.
     Null keys form their own group, like ``dropDuplicates``.
     """
     keys = list(keys)

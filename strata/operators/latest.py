@@ -18,10 +18,11 @@ def latest_batch(df: DataFrame, order: str = "_batch_id") -> DataFrame:
     return df.filter(F.col(order) == newest)
 
 
-def latest_per_key(df: DataFrame, keys, order, out_order: str | None = None) -> DataFrame:
+def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
     """Newest row of every key (``max_by(row, order)``), also for keys that
-    stopped appearing. A hash aggregate with map-side combine: no sort, and a
-    hot key is reduced to one row per task before the shuffle."""
+    stopped appearing. An aggregate with map-side combine (partial
+    aggregation), so a hot key is reduced to one row per task before the
+    shuffle; Spark runs it sort-based when the row holds strings."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [order] if isinstance(order, str) else list(order)
     row = F.struct(*[F.col(c) for c in df.columns])
