@@ -99,3 +99,17 @@ def test_append_twice_reads_back_both(spark):
     sinks.append(a, path=path, fmt="parquet")
     sinks.append(a.selectExpr("b + 1 as b"), path=path, fmt="parquet")
     assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+
+
+def test_price_snapshot_file_is_a_json_array(spark):
+    path = scratch_path(spark, "t-json-array")
+    os.makedirs(_local(path))
+    poll = [{"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 42000.5, "market_cap": 800,
+             "market_cap_rank": 1, "last_updated": "2024-01-01T00:00:00.000Z"},
+            {"id": "ethereum", "symbol": "eth", "name": "Ethereum", "current_price": 2200, "market_cap": 270,
+             "market_cap_rank": 2, "max_supply": None, "unexpected_field": "ignored"}]
+    with open(os.path.join(_local(path), "poll-1.json"), "w") as f:
+        json.dump(poll, f, indent=2)
+    df = check_landing(read_price_snapshots(spark, path, multi_line=True))
+    assert rows(df, "symbol", "current_price", "market_cap_rank", "last_updated") == [
+        ("btc", 42000.5, 1, "2024-01-01T00:00:00.000Z"), ("eth", 2200.0, 2, None)]
