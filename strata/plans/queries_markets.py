@@ -214,3 +214,12 @@ def q_dense_rank_scaled(spark, sf_dir):
     li = li.withColumn("_v", round_half_up("l_extendedprice", 0))
     # row-level input: materialise only the distinct values, rescan lineitem for the join back
     return dense_rank_desc(li, "_v", "price_rank", checkpoint="values").drop("_v")
+
+
+@register("volatile_batches", with_ctes(*SILVER_CTES, select="""
+select name, symbol, _batch_id, current_price, batch_price_change_pct from silver where is_volatile"""))
+def q_volatile_batches(spark, sf_dir):
+    """Batches whose move exceeds the volatility threshold (boolean filter, P8)."""
+    s = _silver(spark, sf_dir)
+    return s.filter(F.col("is_volatile")).select("name", "symbol", "_batch_id", "current_price",
+                                                 "batch_price_change_pct")
