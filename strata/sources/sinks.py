@@ -78,6 +78,16 @@ def overwrite(df: DataFrame, name: str, location_root: str, fmt: str | None = No
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(location)
+    same_shape = (not partition_by and spark.catalog.tableExists(name)
+                  and spark.table(name).schema == spark.read.format(fmt).load(location).schema
+                  and not [c for c in spark.catalog.listColumns(name) if c.isPartition])
+    if same_shape:
+        # one catalog update: readers see either the old or the new folder
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.sql(f"REFRESH TABLE {name}")
+        return location
+    # new schema or partitioned table: partition entries would keep the old
+    # paths, so the entry is replaced (drop, then create on the new folder)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=location, source=fmt)
     if partition_by:

@@ -113,3 +113,14 @@ def test_price_snapshot_file_is_a_json_array(spark):
     df = check_landing(read_price_snapshots(spark, path, multi_line=True))
     assert rows(df, "symbol", "current_price", "market_cap_rank", "last_updated") == [
         ("btc", 42000.5, 1, "2024-01-01T00:00:00.000Z"), ("eth", 2200.0, 2, None)]
+
+
+def test_overwrite_same_schema_moves_location(spark):
+    root = scratch_path(spark, "t-swap-same")
+    name = "t_swap_same"
+    sinks.overwrite(spark.createDataFrame([(1, "a")], "id int, v string"), name, root, fmt="parquet")
+    loc2 = sinks.overwrite(spark.createDataFrame([(2, "b"), (3, "c")], "id int, v string"), name, root,
+                           fmt="parquet")
+    assert rows(spark.table(name)) == [(2, "b"), (3, "c")]
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert detail["Location"].rstrip("/").endswith(loc2.rstrip("/").split("/")[-1])
