@@ -48,12 +48,28 @@ def _ordered(c: Column, ascending: bool) -> Column:
     return c.asc() if ascending else c.desc()
 
 
+# Row bound for the single-partition window (one task sorts at most this many rows).
+SINGLE_PARTITION_MAX_ROWS = 1_000_000
+
+
 def rank_single_partition(df: DataFrame, value: str, out: str, ascending: bool = False,
-                          dense: bool = True) -> DataFrame:
-    """Plain window rank. Use only for inputs whose row count has a domain bound."""
+                          dense: bool = True, max_rows: int | None = SINGLE_PARTITION_MAX_ROWS) -> DataFrame:
+    """Plain window rank, for inputs whose row count has a domain bound.
+
+    The bound is checked, not assumed: the row count is taken in the same
+    single-partition stage (``count() over ()``, no extra pass over the
+    input) and every row asserts it is at most ``max_rows``, so an input that
+    outgrows its domain fails with a clear message instead of passing
+    silently (use ``strategy="cells"`` for such inputs)."""
     w = Window.orderBy(_ordered(F.col(value), ascending))
     fn = F.dense_rank() if dense else F.rank()
-    return df.withColumn(out, fn.over(w))
+    ranked = df.withColumn(out, fn.over(w))
+    if max_rows is None:
+        return ranked
+    ranked = ranked.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
+    ok = F.assert_true(F.col("_rows") <= F.lit(max_rows),
+                       F.lit(f"single-partition rank over more than {max_rows} rows; use the cells strategy"))
+    return ranked.filter(F.coalesce(ok.cast("boolean"), F.lit(True))).drop("_rows")
 
 
 def cell_key(c: Column, mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> Column:

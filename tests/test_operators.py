@@ -215,3 +215,11 @@ def test_row_number_split_hot_value_and_nulls(spark):
         w = Window.partitionBy("b").orderBy(order, F.col("e"))
         want = rows(df.withColumn("r", F.row_number().over(w)), "e", "r")
         assert rows(row_number_split(df, "b", "v", "r", ascending=asc, tiebreak=["e"]), "e", "r") == want
+
+
+def test_single_partition_rank_checks_its_bound(spark):
+    from strata.operators.rank import rank_single_partition
+    df = spark.range(50).select(F.col("id"), (F.col("id") % 7).cast("double").alias("v"))
+    assert rank_single_partition(df, "v", "r", max_rows=50).count() == 50
+    with pytest.raises(Exception, match="cells strategy"):
+        rank_single_partition(df, "v", "r", max_rows=10).collect()
