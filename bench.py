@@ -2,7 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (timed runs after one warm-up, default 3; the median is reported),
-BENCH_QUERIES (comma-separated subset). Each query is executed in full with the
+BENCH_QUERIES (comma-separated subset), BENCH_SHUFFLE_PARTITIONS (default 2 x cpus). Each query is executed in full with the
 ``noop`` sink, so nothing is collected to the driver.
 """
 
