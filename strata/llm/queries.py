@@ -7,6 +7,8 @@ from importlib import import_module
 MODULES = {
     "op2_byte_prefix_sharding": "sharding",
     "op6_transducer_token_counts": "token_counts",
+    "op7_tiled_topk_search": "topk_search",
+    "op8_counterfactual_toxicity": "toxicity",
     "op9_suffix_automaton_decontamination": "decontaminate",
 }
 
