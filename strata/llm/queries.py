@@ -5,7 +5,9 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = {
+    "op1_line_run_dedup": "line_dedup",
     "op2_byte_prefix_sharding": "sharding",
+    "op4_conflict_best_fit_packing": "packing",
     "op6_transducer_token_counts": "token_counts",
     "op7_tiled_topk_search": "topk_search",
     "op8_counterfactual_toxicity": "toxicity",
