@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = {
     "op1_line_run_dedup": "line_dedup",
     "op2_byte_prefix_sharding": "sharding",
+    "op3_subword_lattice_score": "lm_score",
     "op4_conflict_best_fit_packing": "packing",
     "op6_transducer_token_counts": "token_counts",
     "op7_tiled_topk_search": "topk_search",
