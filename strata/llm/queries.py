@@ -9,6 +9,7 @@ MODULES = {
     "op2_byte_prefix_sharding": "sharding",
     "op3_subword_lattice_score": "lm_score",
     "op4_conflict_best_fit_packing": "packing",
+    "op5_cover_suffix_dedup": "suffix_dedup",
     "op6_transducer_token_counts": "token_counts",
     "op7_tiled_topk_search": "topk_search",
     "op8_counterfactual_toxicity": "toxicity",
