@@ -14,6 +14,7 @@ MODULES = {
     "op7_tiled_topk_search": "topk_search",
     "op8_counterfactual_toxicity": "toxicity",
     "op9_suffix_automaton_decontamination": "decontaminate",
+    "op10_size_banded_jaccard_join": "jaccard_join",
 }
 
 QUERIES = {}
