@@ -151,15 +151,16 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
-                chars_col: str | None = "n_chars") -> DataFrame:
+                chars_col: str | None = "n_chars", keep_emptied: bool = True) -> DataFrame:
     """The same rows and columns with later copies of repeated line runs deleted from the text.
 
     ``chars_col``, where the table has it, is set to the new length of changed
     texts. A null text stays null and takes no part; an empty text has one empty
-    line; a text that loses every line becomes empty but its row stays. Rows
-    with equal ids are ordered by input position (the input must be a stored
-    table, whose scan order is fixed); null ids come first; an empty table
-    gives an empty result.
+    line. A text whose words all go becomes a text without words; its row stays,
+    or goes with ``keep_emptied=False`` (it was a copy as a whole). Rows with
+    equal ids are ordered by input position (the input must be a stored table,
+    whose scan order is fixed); null ids come first; an empty table gives an
+    empty result.
     """
     rows = _identified(docs, id_col, text_col)
     spans = later_copies(rows.filter(F.col("text").isNotNull()), min_words)
@@ -178,16 +179,19 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                 at = columns.index(text_col)
                 texts = batch.column(at).to_pylist()
                 chars = batch.column(columns.index(chars_col)).to_pylist() if chars_col else None
+                keep = [True] * len(texts)
                 for k in changed:
                     lines = texts[k].split("\n")
                     gone = _deleted(len(lines), found[k])
                     texts[k] = "\n".join(x for x, d in zip(lines, gone, strict=True) if not d)
+                    keep[k] = keep_emptied or bool(words_of(texts[k].encode()))
                     if chars is not None:
                         chars[k] = len(texts[k])
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.column(at).type))
                 if chars is not None:
                     c = columns.index(chars_col)
                     batch = batch.set_column(c, batch.schema.field(c), pa.array(chars, batch.column(c).type))
+                batch = batch.filter(pa.array(keep, pa.bool_()))
             yield batch
 
     return marked.select(*columns, "spans").mapInArrow(run, schema)
