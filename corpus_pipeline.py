@@ -15,8 +15,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of repeated line runs of 50 words or more."""
-    return line_dedup.dedup_lines(docs)
+    """The documents without later copies of repeated line runs of 50 words or more; whole copies go."""
+    return line_dedup.dedup_lines(docs, keep_emptied=False)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
