@@ -42,6 +42,14 @@ def lower_ascii(col: str | F.Column) -> F.Column:
     return F.translate(col, UPPER, UPPER.lower())
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -36,6 +36,7 @@ from strata.llm.common import (
     LOWER,
     SubstringHash,
     batches,
+    free_name,
     mix,
     n_partitions,
     pack,
@@ -450,8 +451,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         .filter("_n > 1").drop("_n")
     drop = store(full.join(least, "_component").filter(F.col("at") > F.col("_least"))
                  .select(F.col("at._row").alias("_drop_row")), "jaccard-dropped")
-    return docs.withColumn("_drop_row", F.monotonically_increasing_id()).join(drop, "_drop_row", "left_anti") \
-        .select(*docs.columns)
+    row = free_name(docs, "_row")
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(
+        drop.withColumnRenamed("_drop_row", row), row, "left_anti").select(*docs.columns)
 
 
 def query(spark, sf_dir):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import batches, n_partitions, store, text_bytes, words_of
+from strata.llm.common import batches, free_name, n_partitions, store, text_bytes, words_of
 
 MIN_WORDS = 50
 
@@ -165,16 +165,18 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     rows = _identified(docs, id_col, text_col)
     spans = later_copies(rows.filter(F.col("text").isNotNull()), min_words)
     columns = docs.columns
-    marked = docs.withColumn("_row", F.monotonically_increasing_id()).join(spans, "_row", "left")
+    row, found = free_name(docs, "_row"), free_name(docs, "_spans")
+    marked = docs.withColumn(row, F.monotonically_increasing_id()).join(
+        spans.select(F.col("_row").alias(row), F.col("spans").alias(found)), row, "left")
     if chars_col not in columns:
         chars_col = None
     schema = docs.schema
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = batch.column("spans").to_pylist()
-            batch = batch.select(columns)
-            changed = [k for k, s in enumerate(found) if s]
+            spans = batch.column(len(columns)).to_pylist()
+            batch = batch.select(list(range(len(columns))))
+            changed = [k for k, s in enumerate(spans) if s]
             if changed:
                 at = columns.index(text_col)
                 texts = batch.column(at).to_pylist()
@@ -182,7 +184,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                 keep = [True] * len(texts)
                 for k in changed:
                     lines = texts[k].split("\n")
-                    gone = _deleted(len(lines), found[k])
+                    gone = _deleted(len(lines), spans[k])
                     texts[k] = "\n".join(x for x, d in zip(lines, gone, strict=True) if not d)
                     keep[k] = keep_emptied or bool(words_of(texts[k].encode()))
                     if chars is not None:
@@ -194,7 +196,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                 batch = batch.filter(pa.array(keep, pa.bool_()))
             yield batch
 
-    return marked.select(*columns, "spans").mapInArrow(run, schema)
+    return marked.select(*columns, found).mapInArrow(run, schema)
 
 
 def line_report(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
