@@ -1,28 +1,46 @@
-"""Numeric column helpers: exact half-up rounding, guarded division, changes."""
+"""Numeric column helpers: half-up rounding, exact sums and averages, guarded division, changes."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Precision used to settle a double before rounding it. Six fraction digits
-# remove the last-bit noise that differs between summation orders, and the
-# following decimal rounding is exact half-away-from-zero.
-SETTLE_TYPE = "decimal(18,6)"
+# Sums and averages of measured values are taken in exact decimal arithmetic, so
+# that they do not depend on the order in which partitions are combined.
+EXACT_TYPE = "decimal(38,12)"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(c, digits: int, settle: str = SETTLE_TYPE) -> Column:
-    """Round to ``digits`` fraction digits, half away from zero, as a double.
+def round_half_up(c, digits: int | None) -> Column:
+    """Round once to ``digits`` fraction digits, half away from zero, as a double.
 
-    The value is first cast to a fixed decimal so that the result does not
-    depend on the binary representation of the double (``round(1.005, 2)``
-    must be 1.01 no matter how the sum that produced it was ordered).
+    Spark rounds the shortest decimal text of the double, so 1.005 gives 1.01
+    and 1.0049999996 gives 1.0. NaN and infinities stay; ``None`` leaves the
+    value alone.
     """
-    return F.round(_col(c).cast(settle), digits).cast("double")
+    x = _col(c).cast("double")
+    return x if digits is None else F.round(x, digits)
+
+
+def exact_sum(c) -> Column:
+    """Sum as a double, independent of the order of rows.
+
+    Values that the exact type cannot hold (NaN, infinities, 1e26 and beyond)
+    and sums that leave it are summed as doubles.
+    """
+    c = _col(c)
+    exact = c.try_cast(EXACT_TYPE)
+    return F.when(F.count(exact) == F.count(c), F.coalesce(F.try_sum(exact).cast("double"), F.sum(c.cast("double")))) \
+        .otherwise(F.sum(c.cast("double")))
+
+
+def exact_avg(c) -> Column:
+    """Average from the exact sum and the count; null without values."""
+    c = _col(c)
+    return exact_sum(c) / F.nullif(F.count(c), F.lit(0))
 
 
 def safe_divide(numerator, denominator) -> Column:

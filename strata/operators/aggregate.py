@@ -4,22 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.functions.numeric import round_half_up, share_pct
+from strata.functions.numeric import exact_sum, round_half_up, share_pct
 
-# Sums of measured values are taken in exact decimal arithmetic, so the result
-# does not depend on the order in which partitions are combined.
-EXACT_SUM_TYPE = "decimal(28,6)"
+WHOLE_TYPE = "decimal(38,0)"
 
 
-def exact_sum(c, exact: str | None = EXACT_SUM_TYPE) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    if exact is None:
-        return F.sum(c)
-    return F.sum(c.cast(exact)).cast("double")
-
-
-def conditional_sum_pivot(df: DataFrame, keys, spec, exact: str | None = EXACT_SUM_TYPE) -> DataFrame:
+def conditional_sum_pivot(df: DataFrame, keys, spec) -> DataFrame:
     """Rows to fixed columns in one aggregate pass.
 
     ``spec`` is a list of ``(out_name, condition Column, value column)``; each
@@ -29,14 +21,25 @@ def conditional_sum_pivot(df: DataFrame, keys, spec, exact: str | None = EXACT_S
     aggs = []
     for name, cond, value in spec:
         v = F.col(value) if isinstance(value, str) else value
-        aggs.append(exact_sum(F.when(cond, v).otherwise(F.lit(0)), exact).alias(name))
+        aggs.append(exact_sum(F.when(cond, v).otherwise(F.lit(0))).alias(name))
     return df.groupBy(*keys).agg(*aggs)
 
 
+def whole_total(c) -> Column:
+    """Sum of whole numbers without the range of bigint."""
+    return F.sum((F.col(c) if isinstance(c, str) else c).cast(WHOLE_TYPE))
+
+
+def total_of(df: DataFrame, value: str) -> Column:
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    return whole_total(value).cast("double") if whole else exact_sum(value)
+
+
 def share_of_total(df: DataFrame, value: str, out: str, digits: int = 4) -> DataFrame:
     """``value / sum(value) * 100`` rounded; the total is a scalar subquery
-    (computed once, no driver round trip)."""
-    total = df.agg(F.sum(value)).scalar()
+    (computed once, no driver round trip). Whole numbers are summed as wide
+    decimals, so no history is too long for the total."""
+    total = df.agg(total_of(df, value)).scalar()
     return df.withColumn(out, round_half_up(share_pct(F.col(value), total), digits))
 
 

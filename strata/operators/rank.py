@@ -1,206 +1,81 @@
-"""Global ranks (``rank`` / ``dense_rank`` over the whole table).
+"""Global ranks (``rank`` / ``dense_rank`` over the whole table) without a single-task window.
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row to one task.
-That is acceptable only when the row count is bounded by the domain (the few
-dozen states of a country, six medical conditions); ``strategy="single"``.
-
-For tables whose row count grows with the data, ``strategy="cells"``:
-
-0. cut the lineage with ``checkpoint()`` (reliable, in the session's
-   checkpoint folder) - the steps below read their input several times, and
-   each branch would otherwise recompute the whole upstream plan. Either the
-   input (summary tables) or only its distinct values (row-level inputs) is
-   materialised;
-1. collapse the input to its distinct values with their row counts (hash
-   aggregate with map-side combine, so a value held by a third of all rows is
-   a single row from here on);
-2. map each value to a *cell*: its binary exponent and the top
-   ``mantissa_bits`` bits of its mantissa (log-scale cells, mirrored for
-   negative values). The map is a fixed, order-preserving function of the
-   value - no data-dependent bounds, so every recomputation agrees - and there
-   are at most 2 x 2,200 x 2^bits cells, whatever the data;
-3. rank inside each cell with a window partitioned by cell (many cells per
-   task, spread by hash);
-4. add the number of distinct values (dense rank) or rows (rank) in all better
-   cells - one row per non-empty cell, so the prefix sum and the broadcast are
-   bounded (about 1.1 million rows at 8 bits);
-5. join the rank back on the value (null-safe; AQE broadcasts it when small
-   and splits skewed partitions when not).
-
-Nulls are one extra value: first for ascending and last for descending order,
-as Spark orders them by default; NaN is above every number, as in Spark.
+Here the ranking is split into ranges of the distinct values themselves:
+
+1. collapse the input to its distinct values with their row counts (an
+   aggregate with map-side combine, so a value held by a third of all rows is a
+   single row from here on);
+2. cut the distinct values at their own quantiles (``percentile_approx`` as a
+   scalar subquery: evaluated once per query, never collected by user code), so
+   every range holds about the same number of values whatever their distribution;
+3. rank inside each range with a window partitioned by range;
+4. add the number of distinct values (dense rank) or rows (rank) of all better
+   ranges - one row per range, so the prefix sum and the broadcast are bounded by
+   ``ranges``;
+5. join the rank back on the value (null-safe; AQE broadcasts it when small and
+   splits skewed partitions when not).
+
+One form serves all sizes and nothing runs while the query is built. The input
+is read twice; a caller with a costly input stores it first, as the publishers
+do. Nulls are one extra value: first for ascending and last for descending
+order, as Spark orders them by default; NaN is above every number.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strata.session import ensure_checkpoint_dir
-
-DEFAULT_MANTISSA_BITS = 8
-_EXP_OFFSET = 1100          # binary exponents of doubles lie in [-1074, 1023]
-_TOP = 1 << 62              # beyond every finite cell key
+RANGES = 256
 
 
 def _ordered(c: Column, ascending: bool) -> Column:
     return c.asc() if ascending else c.desc()
 
 
-# Row bound for the single-partition window (one task sorts at most this many rows).
-SINGLE_PARTITION_MAX_ROWS = 1_000_000
-
-
-def rank_single_partition(df: DataFrame, value: str, out: str, ascending: bool = False,
-                          dense: bool = True, max_rows: int | None = SINGLE_PARTITION_MAX_ROWS) -> DataFrame:
-    """Plain window rank, for inputs whose row count has a domain bound.
-
-    The bound is checked, not assumed: the row count is taken in the same
-    single-partition stage (``count() over ()``, no extra pass over the
-    input) and every row asserts it is at most ``max_rows``, so an input that
-    outgrows its domain fails with a clear message instead of passing
-    silently (use ``strategy="cells"`` for such inputs)."""
-    w = Window.orderBy(_ordered(F.col(value), ascending))
-    fn = F.dense_rank() if dense else F.rank()
-    ranked = df.withColumn(out, fn.over(w))
-    if max_rows is None:
-        return ranked
-    ranked = ranked.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
-    ok = F.assert_true(F.col("_rows") <= F.lit(max_rows),
-                       F.lit(f"single-partition rank over more than {max_rows} rows; use the cells strategy"))
-    return ranked.filter(F.coalesce(ok.cast("boolean"), F.lit(True))).drop("_rows")
-
-
-def cell_key(c: Column, mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> Column:
-    """Order-preserving long key of a double: 0 for zero, +/-(exponent, top
-    mantissa bits) otherwise; +/-infinity and NaN at the ends. ``log2`` is
-    monotone and the mantissa index is clamped, so ``a <= b`` implies
-    ``key(a) <= key(b)``; null stays null."""
-    m = 1 << mantissa_bits
-    x = c.cast("double")
-    ax = F.abs(x)
-    finite = ~F.isnan(x) & (ax < F.lit(float("inf")))
-    e = F.floor(F.log2(ax))
-    mant = ax / F.pow(F.lit(2.0), e)
-    mc = F.least(F.greatest(F.floor((mant - F.lit(1.0)) * F.lit(float(m))), F.lit(0)), F.lit(m - 1))
-    mag = (e + F.lit(_EXP_OFFSET)) * F.lit(m) + mc + F.lit(1)
-    return (F.when(x.isNull(), F.lit(None).cast("long"))
-            .when(F.isnan(x), F.lit(_TOP + 1))
-            .when(~finite & (x > 0), F.lit(_TOP))
-            .when(~finite & (x < 0), F.lit(-_TOP))
-            .when(x > 0, mag)
-            .when(x < 0, -mag)
-            .otherwise(F.lit(0)).cast("long"))
+def value_ranges(values: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
+    """Add ``_range`` to distinct values: 0 for null, else 1 + the number of cut points below the value."""
+    shares = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
+    cuts = values.agg(F.percentile_approx(value, shares, F.lit(20 * ranges)).alias("_cuts")).scalar()
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    return values.withColumn("_cuts", cuts).withColumn(
+        "_range", F.when(F.col(value).isNull(), F.lit(0)).otherwise(below + 1)).drop("_cuts")
 
 
 def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                mantissa_bits: int = DEFAULT_MANTISSA_BITS, checkpoint_values: bool = False) -> DataFrame:
-    """Distinct values of ``value`` (including null) with their global rank in ``out``."""
-    dtype = df.schema[value].dataType
-    if not isinstance(dtype, T.NumericType):
-        raise TypeError(f"cell rank needs a numeric column, {value} is {dtype.simpleString()}")
-    v = F.col(value)
-    vals = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-    if checkpoint_values and not df.isStreaming:
-        ensure_checkpoint_dir(df.sparkSession)
-        vals = vals.checkpoint(eager=True)
-    key = cell_key(v, mantissa_bits)
-    pos = key if ascending else -key
-    null_pos = F.lit(-(_TOP + 2)) if ascending else F.lit(_TOP + 2)
-    vals = vals.select(value, "_rows", F.coalesce(pos, null_pos).alias("_pos"))
-
-    in_cell = Window.partitionBy("_pos").orderBy(_ordered(v, ascending))
+                ranges: int = RANGES) -> DataFrame:
+    """Distinct values of ``value`` (including null) with their global rank (bigint) in ``out``."""
+    values = value_ranges(df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")), value, ranges)
+    position = F.col("_range") if ascending else -F.col("_range")
+    values = values.withColumn("_position", position)
+
+    in_range = Window.partitionBy("_position").orderBy(_ordered(F.col(value), ascending))
     if dense:
-        local = F.row_number().over(in_cell).cast("long")
+        local = F.row_number().over(in_range).cast("long")
     else:
-        before = in_cell.rowsBetween(Window.unboundedPreceding, -1)
+        before = in_range.rowsBetween(Window.unboundedPreceding, -1)
         local = F.coalesce(F.sum("_rows").over(before), F.lit(0)) + F.lit(1)
-    ranked = vals.withColumn("_local", local)
 
     size = F.count(F.lit(1)) if dense else F.sum("_rows")
-    per_cell = vals.groupBy("_pos").agg(size.alias("_size"))
-    # One row per non-empty cell (bounded, see module doc): the prefix sum on
-    # one partition and the broadcast below stay small at any data size.
-    earlier = Window.orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_cell.select("_pos", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    earlier = Window.orderBy("_position").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = values.groupBy("_position").agg(size.alias("_size")).select(
+        "_position", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
 
-    return (ranked.join(F.broadcast(offsets), "_pos")
-            .select(value, (F.col("_offset") + F.col("_local")).cast("int").alias(out)))
+    return (values.withColumn("_local", local).join(F.broadcast(offsets), "_position")
+            .select(value, (F.col("_offset") + F.col("_local")).alias(out)))
 
 
 def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                strategy: str = "cells", mantissa_bits: int = DEFAULT_MANTISSA_BITS,
-                checkpoint="input") -> DataFrame:
-    """Add ``out`` = (dense_)rank of ``value`` over the whole DataFrame.
-
-    ``checkpoint``: ``"input"`` (or True) materialises the input once - right
-    for summary tables, small but costly to recompute; ``"values"``
-    materialises only the distinct values and reads the input twice - right
-    for row-level inputs that are cheap to rescan but large to rewrite;
-    ``None``/False recomputes."""
-    if strategy == "single":
-        return rank_single_partition(df, value, out, ascending, dense)
-    if strategy != "cells":
-        raise ValueError(f"unknown rank strategy {strategy!r}")
-    if checkpoint in (True, "input") and not df.isStreaming:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    ranks = value_ranks(df, value, out, ascending, dense, mantissa_bits,
-                        checkpoint_values=(checkpoint == "values"))
+                ranges: int = RANGES) -> DataFrame:
+    """Add ``out`` (bigint) = (dense_)rank of ``value`` over the whole DataFrame."""
+    ranks = value_ranks(df, value, out, ascending, dense, ranges)
     cols = [F.col(f"l.{c}") for c in df.columns]
     return (df.alias("l")
             .join(ranks.alias("r"), F.col(f"l.{value}").eqNullSafe(F.col(f"r.{value}")), "left")
             .select(*cols, F.col(f"r.{out}")))
 
 
-def dense_rank_desc(df: DataFrame, value: str, out: str, strategy: str = "cells",
-                    mantissa_bits: int = DEFAULT_MANTISSA_BITS, checkpoint="input") -> DataFrame:
+def dense_rank_desc(df: DataFrame, value: str, out: str, ranges: int = RANGES) -> DataFrame:
     """Dense rank, largest value first, nulls last."""
-    return global_rank(df, value, out, ascending=False, dense=True, strategy=strategy,
-                       mantissa_bits=mantissa_bits, checkpoint=checkpoint)
-
-
-def row_number_split(df: DataFrame, partition_by, value: str, out: str, ascending: bool = False,
-                     tiebreak=(), mantissa_bits: int = DEFAULT_MANTISSA_BITS) -> DataFrame:
-    """``row_number() over (partition by P order by value, tiebreak...)``
-    without gathering a whole partition ``P`` - or one hot value - into one task.
-
-    Rows are numbered inside *units* (P, cell of ``value``, ``value``, cell of
-    the first tie-break column); the units are contiguous in the requested
-    order, so each row's number is its number in the unit plus the rows of
-    all better units of ``P``. Those offsets come from a per-unit count table
-    (map-side combined) by two prefix sums: over the cells of ``P``, and over
-    the units of one cell. A value held by a third of ``P`` is spread over
-    the cells of its tie-break. ``tiebreak`` columns must make the order total.
-    """
-    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    v = F.col(value)
-    key = cell_key(v, mantissa_bits)
-    pos = key if ascending else -key
-    null_pos = F.lit(-(_TOP + 2)) if ascending else F.lit(_TOP + 2)
-    if ties and isinstance(df.schema[ties[0]].dataType, T.NumericType):
-        sub = F.coalesce(cell_key(F.col(ties[0]), mantissa_bits), F.lit(-(_TOP + 2)))  # ascending, nulls first
-    else:
-        sub = F.lit(0).cast("long")
-    d = df.withColumns({"_pos": F.coalesce(pos, null_pos), "_sub": sub})
-    unit = [*parts, "_pos", value, "_sub"]
-    in_unit = Window.partitionBy(*unit).orderBy(*[F.col(t).asc() for t in ties])
-    local = d.withColumn("_local", F.row_number().over(in_unit))
-
-    counts = d.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.unboundedPreceding, -1
-    in_cell = Window.partitionBy(*parts, "_pos").orderBy(_ordered(v, ascending), F.col("_sub").asc())
-    counts = counts.withColumn("_in_cell", F.coalesce(F.sum("_n").over(in_cell.rowsBetween(*before)), F.lit(0)))
-    cells = counts.groupBy(*parts, "_pos").agg(F.sum("_n").alias("_cell_n"))
-    over_cells = Window.partitionBy(*parts).orderBy("_pos").rowsBetween(*before)
-    cells = cells.select(*parts, "_pos", F.coalesce(F.sum("_cell_n").over(over_cells), F.lit(0)).alias("_before"))
-    c, k = counts.alias("c"), cells.alias("k")
-    offsets = c.join(k, [F.col(f"c.{x}").eqNullSafe(F.col(f"k.{x}")) for x in (*parts, "_pos")]).select(
-        *[F.col(f"c.{x}").alias(x) for x in unit], (F.col("k._before") + F.col("c._in_cell")).alias("_offset"))
-
-    lo, of = local.alias("l"), offsets.alias("o")
-    joined = lo.join(of, [F.col(f"l.{x}").eqNullSafe(F.col(f"o.{x}")) for x in unit])
-    return joined.select(*[F.col(f"l.{x}").alias(x) for x in df.columns],
-                         (F.col("o._offset") + F.col("l._local")).cast("int").alias(out))
+    return global_rank(df, value, out, ascending=False, dense=True, ranges=ranges)

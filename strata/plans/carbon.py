@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.classify import (
     GRANULAR_REGION_RANGE, day_type, fuel_category, region_label, region_type, time_period,
 )
-from strata.functions.numeric import round_half_up
+from strata.functions.numeric import exact_avg, round_half_up
 from strata.functions.parse import parse_period
 from strata.operators.aggregate import conditional_sum_pivot, most_common
 from strata.operators.latest import latest_batch
@@ -56,6 +56,7 @@ GENERATION_RULES = (
     accepted_values("fuel_category", FUEL_CATEGORY_LABELS),
 )
 
+# Columns of the published serving tables.
 CARBON_MART_COLUMNS = [
     "region_id", "region_name", "region_label", "carbon_intensity_gco2_kwh", "intensity_category",
     "clean_energy_pct", "renewable_pct", "low_carbon_pct", "fossil_pct", "imports_pct", "wind_pct",
@@ -165,16 +166,16 @@ def mart_generation_mix(features: DataFrame) -> DataFrame:
 
 def mart_peak_analysis(features: DataFrame) -> DataFrame:
     return granular_only(features).groupBy("region_name", "region_label", "time_period", "day_type").agg(
-        round_half_up(F.avg("carbon_intensity_gco2_kwh"), 2).alias("avg_intensity"),
-        round_half_up(F.avg("renewable_pct"), 2).alias("avg_renewable_pct"),
-        round_half_up(F.avg("fossil_pct"), 2).alias("avg_fossil_pct"),
+        round_half_up(exact_avg("carbon_intensity_gco2_kwh"), 2).alias("avg_intensity"),
+        round_half_up(exact_avg("renewable_pct"), 2).alias("avg_renewable_pct"),
+        round_half_up(exact_avg("fossil_pct"), 2).alias("avg_fossil_pct"),
         F.count(F.lit(1)).alias("observations"),
     )
 
 
 def regional_summary(features: DataFrame) -> DataFrame:
     def avg2(c):
-        return round_half_up(F.avg(c), 2)
+        return round_half_up(exact_avg(c), 2)
     return granular_only(features).groupBy("region_id", "region_name", "region_label").agg(
         avg2("carbon_intensity_gco2_kwh").alias("avg_intensity"),
         round_half_up(F.min("carbon_intensity_gco2_kwh"), 2).alias("min_intensity"),
@@ -190,14 +191,17 @@ def regional_summary(features: DataFrame) -> DataFrame:
     )
 
 
-def mart_regional_comparison(features: DataFrame, rank_strategy: str = "single") -> DataFrame:
+def mart_regional_comparison(features: DataFrame) -> DataFrame:
     """Per granular region: 11 aggregates, cleanest (ascending) and dirtiest
-    (descending) rank. Granular regions are a fixed domain of 14 ids, so the
-    ranks use a single-partition window over at most a few dozen rows."""
-    s = regional_summary(features)
-    s = global_rank(s, "avg_intensity", "cleanest_rank", ascending=True, dense=False, strategy=rank_strategy)
-    return global_rank(s, "avg_intensity", "dirtiest_rank", ascending=False, dense=False,
-                       strategy=rank_strategy)
+    (descending) rank."""
+    return rank_both_ways(regional_summary(features))
+
+
+def rank_both_ways(summary: DataFrame, value: str = "avg_intensity") -> DataFrame:
+    """Rank ascending and descending; the published ranks are ints."""
+    s = global_rank(summary, value, "cleanest_rank", ascending=True, dense=False)
+    s = global_rank(s, value, "dirtiest_rank", ascending=False, dense=False)
+    return s.withColumns({c: F.col(c).cast("int") for c in ("cleanest_rank", "dirtiest_rank")})
 
 
 def quality_rules() -> dict[str, tuple[Rule, ...]]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.classify import is_volatile, overall_direction, price_direction
-from strata.functions.numeric import round_half_up
+from strata.functions.numeric import exact_avg, round_half_up
 from strata.functions.parse import parse_snapshot_time
 from strata.operators.aggregate import count_when, share_of_total
 from strata.operators.latest import latest_batch
@@ -28,6 +28,7 @@ PRICE_ROUNDING = {
     "low_24h": 2,
 }
 
+# Columns of the published serving tables.
 LATEST_COLUMNS = [
     "symbol", "name", "current_price", "market_cap", "market_cap_rank", "total_volume",
     "high_24h", "low_24h", "price_change_24h", "price_change_percentage_24h",
@@ -69,8 +70,7 @@ def gold_latest_prices(silver: DataFrame, order: str = "_batch_id") -> DataFrame
     return stamp_processed(latest, "_gold_processed_at")
 
 
-def gold_price_summary(silver: DataFrame, exclude_first: bool = False,
-                       rank_strategy: str = "cells") -> DataFrame:
+def gold_price_summary(silver: DataFrame, exclude_first: bool = False) -> DataFrame:
     """Per coin: price range and average, average move, direction counts,
     a dense rank by range (largest first) and an overall direction.
 
@@ -82,16 +82,17 @@ def gold_price_summary(silver: DataFrame, exclude_first: bool = False,
     summary = df.groupBy("symbol", "name").agg(
         round_half_up(F.min(price), 2).alias("min_price"),
         round_half_up(F.max(price), 2).alias("max_price"),
-        round_half_up(F.avg(price), 2).alias("avg_price"),
+        round_half_up(exact_avg(price), 2).alias("avg_price"),
         round_half_up(F.max(price) - F.min(price), 2).alias("price_range"),
-        round_half_up(F.avg("batch_price_change_pct"), 4).alias("avg_batch_change_pct"),
+        round_half_up(exact_avg("batch_price_change_pct"), 4).alias("avg_batch_change_pct"),
         count_when(direction == "UP").alias("up_count"),
         count_when(direction == "DOWN").alias("down_count"),
         count_when(direction == "FLAT").alias("flat_count"),
         count_when(F.col("is_volatile")).alias("volatile_batches"),
     )
-    ranked = dense_rank_desc(summary, "price_range", "volatility_rank", strategy=rank_strategy)
-    ranked = ranked.withColumn("overall_direction", overall_direction("up_count", "down_count"))
+    ranked = dense_rank_desc(summary, "price_range", "volatility_rank")
+    ranked = ranked.withColumns({"volatility_rank": F.col("volatility_rank").cast("int"),
+                                 "overall_direction": overall_direction("up_count", "down_count")})
     return stamp_processed(ranked, "_gold_processed_at")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata.operators.quality import dq_counts, dq_report
 from strata.plans import carbon as cb
 from strata.plans.registry import register
-from strata.plans.sqltext import exact_sum, rnd, with_ctes
+from strata.plans.sqltext import exact_sum, mean, rnd, with_ctes
 from strata.sources.documents import (
     carbon_documents_from_rows, flatten_generation_mix, flatten_regional_intensity,
 )
@@ -90,15 +90,15 @@ FEATURES = BASE + (_features_cte(False),)
 GRANULAR = ("granular", "select * from features where region_type = 'granular'")
 SUMMARY = ("summary", f"""
 select region_id, region_name, region_label,
-       {rnd('avg(carbon_intensity_gco2_kwh)', 2)} as avg_intensity,
+       {rnd(mean('carbon_intensity_gco2_kwh'), 2)} as avg_intensity,
        {rnd('min(carbon_intensity_gco2_kwh)', 2)} as min_intensity,
        {rnd('max(carbon_intensity_gco2_kwh)', 2)} as max_intensity,
-       {rnd('avg(clean_energy_pct)', 2)} as avg_clean_energy_pct,
-       {rnd('avg(renewable_pct)', 2)} as avg_renewable_pct,
-       {rnd('avg(wind_pct)', 2)} as avg_wind_pct,
-       {rnd('avg(solar_pct)', 2)} as avg_solar_pct,
-       {rnd('avg(nuclear_pct)', 2)} as avg_nuclear_pct,
-       {rnd('avg(gas_pct)', 2)} as avg_gas_pct,
+       {rnd(mean('clean_energy_pct'), 2)} as avg_clean_energy_pct,
+       {rnd(mean('renewable_pct'), 2)} as avg_renewable_pct,
+       {rnd(mean('wind_pct'), 2)} as avg_wind_pct,
+       {rnd(mean('solar_pct'), 2)} as avg_solar_pct,
+       {rnd(mean('nuclear_pct'), 2)} as avg_nuclear_pct,
+       {rnd(mean('gas_pct'), 2)} as avg_gas_pct,
        count(distinct period_from) as data_points,
        mode() within group (order by intensity_category) as most_common_category
 from granular group by region_id, region_name, region_label""")
@@ -225,9 +225,9 @@ def q_latest_period(spark, sf_dir):
 
 @register("mart_peak_analysis", with_ctes(*FEATURES, GRANULAR, select=f"""
 select region_name, region_label, time_period, day_type,
-       {rnd('avg(carbon_intensity_gco2_kwh)', 2)} as avg_intensity,
-       {rnd('avg(renewable_pct)', 2)} as avg_renewable_pct,
-       {rnd('avg(fossil_pct)', 2)} as avg_fossil_pct,
+       {rnd(mean('carbon_intensity_gco2_kwh'), 2)} as avg_intensity,
+       {rnd(mean('renewable_pct'), 2)} as avg_renewable_pct,
+       {rnd(mean('fossil_pct'), 2)} as avg_fossil_pct,
        count(*) as observations
 from granular group by region_name, region_label, time_period, day_type"""))
 def q_mart_peak_analysis(spark, sf_dir):
@@ -248,10 +248,8 @@ select region_id, avg_intensity,
        cast(rank() over (order by avg_intensity desc nulls last) as integer) as dirtiest_rank
 from summary"""))
 def q_rank_both_ways(spark, sf_dir):
-    """Rank ascending and descending with the range-split (cells) rank."""
-    s = cb.regional_summary(_features(spark, sf_dir)).select("region_id", "avg_intensity")
-    s = cb.global_rank(s, "avg_intensity", "cleanest_rank", ascending=True, dense=False, strategy="cells")
-    return cb.global_rank(s, "avg_intensity", "dirtiest_rank", ascending=False, dense=False, strategy="cells")
+    """Rank ascending and descending."""
+    return cb.rank_both_ways(cb.regional_summary(_features(spark, sf_dir)).select("region_id", "avg_intensity"))
 
 
 @register("distinct_periods", with_ctes(*FEATURES, GRANULAR, select="""

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_half_up
-from strata.operators.aggregate import share_of_total, value_frequency
+from strata.operators.aggregate import share_of_total, value_frequency, whole_total
 from strata.operators.latest import latest_batch, latest_per_key
 from strata.operators.quality import expected_first_nulls
 from strata.operators.rank import dense_rank_desc
 from strata.plans import markets
 from strata.plans.registry import register
-from strata.plans.sqltext import rnd, with_ctes
+from strata.plans.sqltext import mean, rnd, with_ctes
 from strata.sources.testdata import prices_raw, table
 
 
-# Batch ids of the test series are day numbers (month * 100 + day): split each
-# coin's series into weekly chunks so that no coin is a single task.
-CHUNK_WIDTH = 7
+# Batch ids of the test series count each coin's polls: split the series into
+# chunks of so many polls, so that no coin is a single task.
+CHUNK_WIDTH = 8
 
 
 def _silver(spark, sf_dir):
@@ -54,9 +54,9 @@ from silver where _batch_id = (select max(_batch_id) from silver)"""
 
 SUMMARY_CTE = ("s", f"""
 select symbol, name, {rnd('min(current_price)', 2)} as min_price, {rnd('max(current_price)', 2)} as max_price,
-       {rnd('avg(current_price)', 2)} as avg_price,
+       {rnd(mean('current_price'), 2)} as avg_price,
        {rnd('max(current_price) - min(current_price)', 2)} as price_range,
-       {rnd('avg(batch_price_change_pct)', 4)} as avg_batch_change_pct,
+       {rnd(mean('batch_price_change_pct'), 4)} as avg_batch_change_pct,
        count(case when price_direction = 'UP' then 1 end) as up_count,
        count(case when price_direction = 'DOWN' then 1 end) as down_count,
        count(case when price_direction = 'FLAT' then 1 end) as flat_count,
@@ -167,10 +167,12 @@ def q_batch_audit(spark, sf_dir):
 
 
 @register("global_max_batch", with_ctes(("bronze", "prices_raw"), select="""
-select max(_batch_id) as max_batch_id, cast(sum(market_cap) as bigint) as total_market_cap from bronze"""))
+select max(_batch_id) as max_batch_id, cast(sum(cast(market_cap as decimal(38,0))) as double) as total_market_cap
+from bronze"""))
 def q_global_max_batch(spark, sf_dir):
     b = prices_raw(spark, sf_dir)
-    return b.agg(F.max("_batch_id").alias("max_batch_id"), F.sum("market_cap").alias("total_market_cap"))
+    return b.agg(F.max("_batch_id").alias("max_batch_id"),
+                 whole_total("market_cap").cast("double").alias("total_market_cap"))
 
 
 @register("row_count", with_ctes(("bronze", "prices_raw"), select="select count(*) as row_count from bronze"))
@@ -206,14 +208,13 @@ def q_first_batch_nulls(spark, sf_dir):
 
 @register("dense_rank_scaled", f"""
 select l_orderkey, l_linenumber, l_extendedprice,
-       cast(dense_rank() over (order by {rnd('l_extendedprice', 0)} desc nulls last) as integer) as price_rank
+       dense_rank() over (order by {rnd('l_extendedprice', 0)} desc nulls last) as price_rank
 from lineitem""")
 def q_dense_rank_scaled(spark, sf_dir):
     """Range-split dense rank over every lineitem row (no single-partition window)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     li = li.withColumn("_v", round_half_up("l_extendedprice", 0))
-    # row-level input: materialise only the distinct values, rescan lineitem for the join back
-    return dense_rank_desc(li, "_v", "price_rank", checkpoint="values").drop("_v")
+    return dense_rank_desc(li, "_v", "price_rank").drop("_v")
 
 
 @register("volatile_batches", with_ctes(*SILVER_CTES, select="""

@@ -12,7 +12,7 @@ from strata.operators.clean import (
 from strata.operators.quality import profile_non_numeric, reconcile_flag
 from strata.plans import readmissions as rd
 from strata.plans.registry import register
-from strata.plans.sqltext import rnd, with_ctes
+from strata.plans.sqltext import mean, rnd, with_ctes
 from strata.sources.testdata import hrrp_raw
 
 ORDER = ["k1", "k2", "k3"]
@@ -68,11 +68,11 @@ where rn = 1"""),
 
 HOSPITAL_CTE = ("h", f"""
 select facility_id, facility_name, state, count(measure_name) as conditions_reported,
-       {rnd('avg(excess_readmission_ratio)', 4)} as avg_excess_ratio,
-       {rnd('avg(predicted_readmission_rate)', 4)} as avg_predicted_rate,
-       {rnd('avg(expected_readmission_rate)', 4)} as avg_expected_rate,
-       {rnd('avg(number_of_readmissions)', 0)} as avg_readmissions,
-       {rnd('avg(number_of_discharges)', 0)} as avg_discharges
+       {rnd(mean('excess_readmission_ratio'), 4)} as avg_excess_ratio,
+       {rnd(mean('predicted_readmission_rate'), 4)} as avg_predicted_rate,
+       {rnd(mean('expected_readmission_rate'), 4)} as avg_expected_rate,
+       {rnd(mean('number_of_readmissions'), 0)} as avg_readmissions,
+       {rnd(mean('number_of_discharges'), 0)} as avg_discharges
 from silver where not is_suppressed group by facility_id, facility_name, state""")
 
 HOSPITAL_SQL = """
@@ -185,7 +185,7 @@ def q_reconcile_suppressed(spark, sf_dir):
 
 
 @register("suppression_summary", with_ctes(*SILVER_CTES, select=f"""
-select is_suppressed, count(*) as row_count, {rnd('avg(excess_readmission_ratio)', 6)} as avg_excess_ratio
+select is_suppressed, count(*) as row_count, {rnd(mean('excess_readmission_ratio'), 6)} as avg_excess_ratio
 from silver group by is_suppressed"""))
 def q_suppression_summary(spark, sf_dir):
     return rd.suppression_summary(_silver(spark, sf_dir))
@@ -222,7 +222,7 @@ select facility_id, facility_name, state, avg_excess_ratio,
 from h"""))
 def q_dense_rank_desc(spark, sf_dir):
     """The plain single-partition dense rank on the same input (for comparison)."""
-    g = rd.gold_hospital_summary(_silver(spark, sf_dir), rank_strategy="single")
+    g = rd.gold_hospital_summary(_silver(spark, sf_dir))
     return g.select("facility_id", "facility_name", "state", "avg_excess_ratio", "national_rank")
 
 
@@ -247,9 +247,9 @@ def q_penalty_flag(spark, sf_dir):
 select *, cast(dense_rank() over (order by state_avg_excess_ratio desc nulls last) as integer) as state_rank,
        coalesce(state_avg_excess_ratio > 1.0, false) as state_penalty_flag
 from (select state, count(facility_id) as total_records,
-             {rnd('avg(excess_readmission_ratio)', 4)} as state_avg_excess_ratio,
-             {rnd('avg(predicted_readmission_rate)', 4)} as state_avg_predicted_rate,
-             {rnd('avg(number_of_readmissions)', 0)} as state_avg_readmissions
+             {rnd(mean('excess_readmission_ratio'), 4)} as state_avg_excess_ratio,
+             {rnd(mean('predicted_readmission_rate'), 4)} as state_avg_predicted_rate,
+             {rnd(mean('number_of_readmissions'), 0)} as state_avg_readmissions
       from silver where not is_suppressed group by state) s"""))
 def q_gold_state_summary(spark, sf_dir):
     return rd.gold_state_summary(_silver(spark, sf_dir))
@@ -259,10 +259,10 @@ def q_gold_state_summary(spark, sf_dir):
 select *, cast(dense_rank() over (order by condition_avg_excess_ratio desc nulls last) as integer)
           as condition_rank
 from (select measure_name, count(facility_id) as hospitals_reporting,
-             {rnd('avg(excess_readmission_ratio)', 4)} as condition_avg_excess_ratio,
-             {rnd('avg(predicted_readmission_rate)', 4)} as condition_avg_predicted_rate,
-             {rnd('avg(number_of_readmissions)', 0)} as condition_avg_readmissions,
-             {rnd('avg(number_of_discharges)', 0)} as condition_avg_discharges
+             {rnd(mean('excess_readmission_ratio'), 4)} as condition_avg_excess_ratio,
+             {rnd(mean('predicted_readmission_rate'), 4)} as condition_avg_predicted_rate,
+             {rnd(mean('number_of_readmissions'), 0)} as condition_avg_readmissions,
+             {rnd(mean('number_of_discharges'), 0)} as condition_avg_discharges
       from silver where not is_suppressed group by measure_name) s"""))
 def q_gold_condition_summary(spark, sf_dir):
     return rd.gold_condition_summary(_silver(spark, sf_dir))

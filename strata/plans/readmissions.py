@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.classify import penalty_flag, risk_tier
-from strata.functions.numeric import round_half_up
+from strata.functions.numeric import exact_avg, round_half_up
 from strata.functions.parse import parse_mixed_date
 from strata.operators.clean import (
     SUPPRESSED_VALUES, cast_columns, dedupe_natural_key, flag_suppressed, null_sentinels,
     rename_columns, snake_case_names, trim_columns, upper_trim_columns,
 )
-from strata.operators.rank import global_rank
+from strata.operators.rank import dense_rank_desc
 from strata.sources.sinks import stamp_processed
 
 # Header of the published file, in file order.
@@ -77,13 +77,18 @@ def reportable(silver: DataFrame) -> DataFrame:
 
 
 def _avg(c: str, digits: int):
-    return round_half_up(F.avg(c), digits)
+    return round_half_up(exact_avg(c), digits)
 
 
-def gold_hospital_summary(silver: DataFrame, rank_strategy: str = "cells") -> DataFrame:
+def _published_rank(g: DataFrame, value: str, out: str) -> DataFrame:
+    """Dense rank, largest first; the published ranks are ints."""
+    return dense_rank_desc(g, value, out).withColumn(out, F.col(out).cast("int"))
+
+
+def gold_hospital_summary(silver: DataFrame) -> DataFrame:
     """One row per hospital (id, name, state): conditions reported, five
     averages, national dense rank by average excess ratio, penalty flag, tier.
-    The number of hospitals grows with the data, so the rank is range-split."""
+    The rank is split by ranges of the averages."""
     g = reportable(silver).groupBy("facility_id", "facility_name", "state").agg(
         F.count("measure_name").alias("conditions_reported"),
         _avg("excess_readmission_ratio", 4).alias("avg_excess_ratio"),
@@ -92,30 +97,27 @@ def gold_hospital_summary(silver: DataFrame, rank_strategy: str = "cells") -> Da
         _avg("number_of_readmissions", 0).alias("avg_readmissions"),
         _avg("number_of_discharges", 0).alias("avg_discharges"),
     )
-    g = global_rank(g, "avg_excess_ratio", "national_rank", ascending=False, dense=True,
-                    strategy=rank_strategy)
+    g = _published_rank(g, "avg_excess_ratio", "national_rank")
     g = g.withColumns({"penalty_flag": penalty_flag("avg_excess_ratio"),
                        "risk_tier": risk_tier("avg_excess_ratio")})
     return stamp_processed(g, "_gold_processed_at")
 
 
-def gold_state_summary(silver: DataFrame, rank_strategy: str = "single") -> DataFrame:
-    """One row per state. States are a fixed domain (a few dozen rows), so the
-    rank uses a single-partition window by default."""
+def gold_state_summary(silver: DataFrame) -> DataFrame:
+    """One row per state."""
     g = reportable(silver).groupBy("state").agg(
         F.count("facility_id").alias("total_records"),
         _avg("excess_readmission_ratio", 4).alias("state_avg_excess_ratio"),
         _avg("predicted_readmission_rate", 4).alias("state_avg_predicted_rate"),
         _avg("number_of_readmissions", 0).alias("state_avg_readmissions"),
     )
-    g = global_rank(g, "state_avg_excess_ratio", "state_rank", ascending=False, dense=True,
-                    strategy=rank_strategy)
+    g = _published_rank(g, "state_avg_excess_ratio", "state_rank")
     g = g.withColumn("state_penalty_flag", penalty_flag("state_avg_excess_ratio"))
     return stamp_processed(g, "_gold_processed_at")
 
 
-def gold_condition_summary(silver: DataFrame, rank_strategy: str = "single") -> DataFrame:
-    """One row per condition (a handful of measures: fixed domain)."""
+def gold_condition_summary(silver: DataFrame) -> DataFrame:
+    """One row per condition."""
     g = reportable(silver).groupBy("measure_name").agg(
         F.count("facility_id").alias("hospitals_reporting"),
         _avg("excess_readmission_ratio", 4).alias("condition_avg_excess_ratio"),
@@ -123,8 +125,7 @@ def gold_condition_summary(silver: DataFrame, rank_strategy: str = "single") ->
         _avg("number_of_readmissions", 0).alias("condition_avg_readmissions"),
         _avg("number_of_discharges", 0).alias("condition_avg_discharges"),
     )
-    g = global_rank(g, "condition_avg_excess_ratio", "condition_rank", ascending=False, dense=True,
-                    strategy=rank_strategy)
+    g = _published_rank(g, "condition_avg_excess_ratio", "condition_rank")
     return stamp_processed(g, "_gold_processed_at")
 
 
@@ -132,7 +133,7 @@ def suppression_summary(silver: DataFrame, digits: int = 6) -> DataFrame:
     """Rows and average excess ratio by suppression flag."""
     return silver.groupBy("is_suppressed").agg(
         F.count(F.lit(1)).alias("row_count"),
-        round_half_up(F.avg("excess_readmission_ratio"), digits).alias("avg_excess_ratio"),
+        round_half_up(exact_avg("excess_readmission_ratio"), digits).alias("avg_excess_ratio"),
     )
 
 

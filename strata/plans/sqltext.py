@@ -6,13 +6,18 @@ from strata.sources.testdata import ADAPTER_SQL
 
 
 def rnd(expr: str, digits: int) -> str:
-    """SQL twin of ``round_half_up``: settle in decimal(18,6), round, back to double."""
-    return f"cast(round(cast({expr} as decimal(18,6)), {digits}) as double)"
+    """Half-up rounding of the decimal text of a double, back to double."""
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,20)), {digits}) as double)"
 
 
 def exact_sum(expr: str) -> str:
-    """SQL twin of ``exact_sum``: sum in decimal(28,6), back to double."""
-    return f"cast(sum(cast({expr} as decimal(28,6))) as double)"
+    """Sum in decimal(38,12), back to double."""
+    return f"cast(sum(cast({expr} as decimal(38,12))) as double)"
+
+
+def mean(expr: str) -> str:
+    """Average from the exact sum and the count."""
+    return f"{exact_sum(expr)} / nullif(count({expr}), 0)"
 
 
 def with_ctes(*ctes: tuple[str, str], select: str) -> str:

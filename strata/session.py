@@ -13,6 +13,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every session of ours carries. Values are chosen for correctness
 # (UTC, ANSI) and for runtime re-planning (AQE); sizes are left to the cluster.
 BASE_CONF = {
@@ -21,8 +23,7 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
 # Extra settings for a single-machine test session only.
@@ -56,7 +57,7 @@ def local_session(app: str = "strata", cores: int | str = "*", extra: dict | Non
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for key, value in BASE_CONF.items():
-        if key.startswith("spark.sql.") and "stateStore.providerClass" not in key:
+        if key.startswith("spark.sql."):
             spark.conf.set(key, value)
     return spark
 
@@ -65,12 +66,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster the folder is named by ``spark.checkpoint.dir`` (a shared
-    file system) and we only read it. Only when it is unset - as in local
-    tests - do we create a fresh scratch folder for this session.
+    file system) and we only read it. Only when it is unset in a ``local``
+    session - as in tests - do we create a fresh scratch folder; on a cluster
+    an unset folder is an error, as a machine-local one would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

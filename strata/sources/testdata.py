@@ -10,12 +10,9 @@ filters reach the Parquet scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.operators.rank import row_number_split
-from strata.session import ensure_checkpoint_dir
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -28,32 +25,16 @@ def _iso_minute(ts) -> F.Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm"), F.lit("Z"))
 
 
-def prices_raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
-    """Market snapshots: one row per user ("coin") and day ("batch").
-
-    Real snapshots arrive as a stored table; this derivation is costly (an
-    aggregate and a per-batch numbering), and the skew-safe operators read
-    their input more than once. With ``materialize`` the derived table is
-    written once with a reliable ``checkpoint()`` (the session's checkpoint
-    folder) and every consumer reads it back, like a stored raw table."""
-    e = table(spark, sf_dir, "events").select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("symbol"),
-        "ts", "value", "event_id",
-        (F.month("ts") * 100 + F.dayofmonth("ts")).cast("bigint").alias("batch_id"),
-    )
-    # Newest event of each user and day: a hash aggregate with map-side
-    # combine, no sort. event_id is unique, so each max_by picks the same row;
-    # fixed-width buffers keep it a HashAggregate (a struct would not).
-    eid = F.col("event_id")
-    snap = (e.groupBy("symbol", "batch_id")
-            .agg(F.max_by("ts", eid).alias("ts"), F.max_by("value", eid).alias("value"),
-                 F.max(eid).alias("event_id")))
-    # Market-cap rank inside a batch, as the publisher delivers it; numbered
-    # per value cell so that a heavy batch is not one task.
-    snap = row_number_split(snap, "batch_id", "value", "market_cap_rank", ascending=False,
-                            tiebreak=["event_id"])
+def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market snapshots: every event is a poll of one coin (its user); the batch
+    id counts the polls of the coin. Lazy: a query reads only the columns it uses."""
+    polls = Window.partitionBy("user_id").orderBy("event_id")
+    snap = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("symbol"), "ts", "value",
+        (F.col("event_id") % 250 + 1).cast("int").alias("market_cap_rank"),
+        F.row_number().over(polls).cast("bigint").alias("batch_id"))
     v = F.col("value")
-    out = snap.select(
+    return snap.select(
         F.col("symbol").alias("id"),
         "symbol",
         F.concat(F.lit("Coin "), F.col("symbol")).alias("name"),
@@ -72,10 +53,6 @@ def prices_raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
         F.col("ts").alias("_ingested_at"),
         F.col("batch_id").alias("_batch_id"),
     )
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        out = out.checkpoint(eager=True)
-    return out
 
 
 def _region_id() -> F.Column:
@@ -105,9 +82,12 @@ def generation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def intensity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carbon intensity rows (region x hour)."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "signup"))
-    agg = (e.groupBy(_region_id().alias("region_id"), F.date_trunc("hour", "ts").alias("p"))
+    """Carbon intensity rows (region x period). Clicks make periods of their own, half
+    an hour earlier, which have no generation mix."""
+    e = table(spark, sf_dir, "events")
+    hour = F.date_trunc("hour", "ts")
+    period = F.when(F.col("event_type") == "click", hour - F.expr("INTERVAL 30 MINUTES")).otherwise(hour)
+    agg = (e.groupBy(_region_id().alias("region_id"), period.alias("p"))
            .agg(F.max("value").alias("v"), F.max("event_id").alias("batch_id"),
                 F.max("ts").alias("ingested")))
     v = F.col("v")
@@ -176,17 +156,15 @@ ADAPTER_SQL = {
     "prices_raw": """
 select symbol as id, symbol, concat('Coin ', symbol) as name, value as current_price,
        cast(floor(value * 1000) as bigint) as market_cap,
-       cast(row_number() over (partition by batch_id order by value desc, event_id) as int) as market_cap_rank,
+       cast(event_id % 250 + 1 as int) as market_cap_rank,
        cast(floor(value * 10) as bigint) as total_volume, value + 1.2345 as high_24h, value * 0.9 as low_24h,
        value - 49.12345 as price_change_24h, value / 7 as price_change_percentage_24h,
        value * 1000000 as circulating_supply, value * 2000000 as total_supply, cast(null as double) as max_supply,
        concat(replace(substr(cast(ts as varchar(40)), 1, 19), ' ', 'T'), '.000Z') as last_updated,
        ts as _ingested_at, batch_id as _batch_id
 from (select concat('u', cast(user_id as varchar(10))) as symbol, ts, value, event_id,
-             cast(extract(month from ts) * 100 + extract(day from ts) as bigint) as batch_id,
-             row_number() over (partition by user_id, date_trunc('day', ts) order by event_id desc) as rn
-      from events) e
-where rn = 1""",
+             cast(row_number() over (partition by user_id order by event_id) as bigint) as batch_id
+      from events) e""",
     "generation_raw": """
 select user_id % 18 + 1 as region_id,
        concat('Region ', cast(user_id % 18 + 1 as varchar(10))) as short_name,
@@ -205,9 +183,11 @@ select region_id, concat('Region ', cast(region_id as varchar(10))) as short_nam
        concat(replace(substr(cast(p as varchar(40)), 1, 16), ' ', 'T'), 'Z') as period_from,
        concat(replace(substr(cast(p + interval '1' hour as varchar(40)), 1, 16), ' ', 'T'), 'Z') as period_to,
        batch_id, ingested as _ingested_at
-from (select user_id % 18 + 1 as region_id, date_trunc('hour', ts) as p, max(value) as v,
-             max(event_id) as batch_id, max(ts) as ingested
-      from events where event_type in ('view', 'signup') group by user_id % 18 + 1, date_trunc('hour', ts)) x""",
+from (select user_id % 18 + 1 as region_id,
+             case when event_type = 'click' then date_trunc('hour', ts) - interval '30' minute
+                  else date_trunc('hour', ts) end as p,
+             max(value) as v, max(event_id) as batch_id, max(ts) as ingested
+      from events group by 1, 2) x""",
     "hrrp_raw": """
 select l.l_suppkey as facility_id, concat(' ', s.s_name, ' ') as facility_name,
        concat(lower(n.n_name), ' ') as state, p.p_type as measure_name,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.classify import is_volatile, price_direction
-from strata.functions.numeric import change_pct, round_half_up
+from strata.functions.numeric import EXACT_TYPE, change_pct, round_half_up
 from strata.plans.markets import PRICE_ROUNDING
 from strata.streaming.movement_state import previous_value_stream
 
@@ -77,7 +77,7 @@ def run_movement(spark: SparkSession, landing: str, schema: T.StructType, sink:
 
 
 # ---- T3: gold refresh per micro-batch ----------------------------------------
-PART_TYPE = "decimal(38,6)"
+PART_TYPE = EXACT_TYPE
 
 
 def summary_parts(moved: DataFrame) -> DataFrame:
@@ -109,13 +109,13 @@ def merge_parts(old: DataFrame | None, new: DataFrame) -> DataFrame:
         F.sum("volatile_batches").alias("volatile_batches"))
 
 
-def summary_from_parts(parts: DataFrame, rank_strategy: str = "cells") -> DataFrame:
+def summary_from_parts(parts: DataFrame) -> DataFrame:
     """Serving summary from the parts table (same columns as the batch summary)."""
     from strata.functions.classify import overall_direction
     from strata.operators.rank import dense_rank_desc
 
     def avg_of(s, n, digits):
-        return F.round((F.col(s) / F.nullif(F.col(n), F.lit(0))).cast("decimal(38,6)"), digits).cast("double")
+        return round_half_up(F.col(s).cast("double") / F.nullif(F.col(n), F.lit(0)), digits)
 
     g = parts.select(
         "symbol", "name",
@@ -126,8 +126,9 @@ def summary_from_parts(parts: DataFrame, rank_strategy: str = "cells") -> DataFr
         avg_of("sum_pct", "n_pct", 4).alias("avg_batch_change_pct"),
         "up_count", "down_count", "flat_count", "volatile_batches",
     )
-    g = dense_rank_desc(g, "price_range", "volatility_rank", strategy=rank_strategy)
-    return g.withColumn("overall_direction", overall_direction("up_count", "down_count"))
+    g = dense_rank_desc(g, "price_range", "volatility_rank")
+    return g.withColumns({"volatility_rank": F.col("volatility_rank").cast("int"),
+                          "overall_direction": overall_direction("up_count", "down_count")})
 
 
 def run_gold_refresh(spark: SparkSession, landing: str, schema: T.StructType, root: str,
