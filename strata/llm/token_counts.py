@@ -49,169 +49,199 @@ def _byte_of_char() -> dict[str, int]:
 class Transducer:
     """Deterministic transducer that counts the tokens of one word.
 
-    A symbol is a byte, or 256 + byte for the last byte of a word. Tokens are
-    tuples of symbols.
+    A symbol is a character: the byte, or 256 + byte for the last byte of a
+    word. Tokens are strings of symbols.
     """
 
     def __init__(self, merges: list[tuple[str, str]], end: str):
         code = _byte_of_char()
 
-        def symbols(piece: str) -> tuple[int, ...]:
+        def symbols(piece: str) -> str:
             last = piece.endswith(end)
-            body = [code[c] for c in (piece[:-len(end)] if last else piece)]
-            if last:
-                body[-1] += 256
-            return tuple(body)
+            body = "".join(chr(code[c]) for c in (piece[:-len(end)] if last else piece))
+            return body[:-1] + chr(ord(body[-1]) + 256) if last else body
 
-        self.rank: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
-        self.split: dict[tuple[int, ...], tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.rank: dict[tuple[str, str], int] = {}
+        self.parts: dict[str, tuple[str, str]] = {}  # a token and the pair it is merged from
         for k, (a, b) in enumerate(merges):
             left, right = symbols(a), symbols(b)
             if self.rank.setdefault((left, right), k) == k:
-                self.split.setdefault(left + right, (left, right))
-        self.longest = max(map(len, self.split), default=1)
-        # Entries by their last symbol: what can be the last token after a step.
-        self.ends: dict[int, set[int]] = {}
-        for t in self.split:
-            self.ends.setdefault(t[-1], set()).add(len(t))
-        self.sizes = {s: sorted(n, reverse=True) for s, n in self.ends.items()}
-        self.stable: dict[tuple, bool] = {}
-        # state -> (recent symbols, token length at each of the last positions, tokens so far at them)
-        self.states: list[tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]]] = [((), (), (0,))]
-        self.number: dict[tuple, int] = {self.states[0]: 0}
-        self.delta: dict[tuple[int, int], tuple[int, int]] = {}
-
-    def encode(self, symbols: tuple[int, ...]) -> list[tuple[int, ...]]:
-        """Tokens by merging the lowest-ranked neighbours until none can merge."""
-        parts = [(s,) for s in symbols]
-        while len(parts) > 1:
-            best = min((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
-            if best[0] == 1 << 60:
-                break
-            i = best[1]
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return parts
-
-    def _stays(self, a: tuple[int, ...], b: tuple[int, ...]) -> bool:
-        key = (a, b)
-        if key not in self.stable:
-            self.stable[key] = self.encode(a + b) == [a, b]
-        return self.stable[key]
-
-    def step(self, state: int, symbol: int) -> tuple[int, int]:
-        """Next state and the change in the number of tokens of what has been read."""
-        key = (state, symbol)
-        got = self.delta.get(key)
+                self.parts.setdefault(left + right, (left, right))
+        # Entries that encode to themselves, by last symbol: lengths that a last token can have.
+        self.parts = {t: p for t, p in self.parts.items() if self._reachable(t, p)}
+        self.sizes: dict[str, set[int]] = {}
+        for t in self.parts:
+            self.sizes.setdefault(t[-1], set()).add(len(t))
+        self.longest = max(map(len, self.parts), default=1)
+        self.stable: dict[tuple[str, str], bool] = {}
+        self.forget()
+
+    def _reachable(self, token: str, parts: tuple[str, str]) -> bool:
+        return all(len(x) == 1 or x in self.parts for x in parts)
+
+    def forget(self) -> None:
+        """Back to the start state alone; what is compiled from the merge list stays."""
+        self.text = [""]  # the recent symbols
+        self.size = [0]  # length of the last token
+        self.back = [0]  # the state one symbol before
+        self.change = [0]  # tokens more than there
+        self.delta: dict[int, int] = {}  # state * 256 + byte -> state
+        self.merged: dict[tuple[str, tuple[int, ...]], int] = {}
+
+    def _edge(self, token: str, side: int) -> list[tuple[int, str]]:
+        """The pieces at one edge of a token while it is built: (rank of the merge that makes it, piece)."""
+        out = []
+        while len(token) > 1:
+            pair = self.parts[token]
+            out.append((self.rank[pair], token))
+            token = pair[side]
+        out.append((-1, token))
+        return out[::-1]
+
+    def stays(self, a: str, b: str) -> bool:
+        """Whether two neighbouring tokens stay apart: no merge across the border ever comes first.
+
+        Both tokens are rebuilt in merge order; between two steps the pieces at
+        the border must not have a merge that is due before the next step.
+        """
+        got = self.stable.get((a, b))
         if got is None:
-            got = self.delta[key] = self._make(state, symbol)
+            left, right = self._edge(a, 1), self._edge(b, 0)
+            i = j = 0
+            never = 1 << 60
+            got = True
+            while True:
+                next_left = left[i + 1][0] if i + 1 < len(left) else never
+                next_right = right[j + 1][0] if j + 1 < len(right) else never
+                due = self.rank.get((left[i][1], right[j][1]), never)
+                # Of equal ranks the leftmost place is merged first.
+                if due < next_left and due <= next_right and due != never:
+                    got = False
+                    break
+                if next_left == next_right == never:
+                    break
+                if next_left <= next_right:
+                    i += 1
+                else:
+                    j += 1
+            if len(self.stable) > KEEP_WORDS:
+                self.stable.clear()
+            self.stable[a, b] = got
         return got
 
-    def _make(self, state: int, symbol: int) -> tuple[int, int]:
-        text, lens, counts = self.states[state]  # counts[i]: tokens before recent symbol i, relative; one more entry
-        text = (*text, symbol)
-        n = len(text)
-        size = 1
-        for m in self.sizes.get(symbol, ()):
-            if m > n:
-                continue
-            token = text[n - m:]
-            if token not in self.split or self.encode_of(token) != 1:
-                continue
-            if m == n or self._stays(text[n - m - lens[n - m - 1]:n - m] if lens[n - m - 1] <= n - m else (), token):
-                size = m
-                break
-        lens, counts = (*lens, size), (*counts, counts[n - size] + 1)
-        change = counts[-1] - counts[-2]
-        keep = 2 * self.longest  # a last token and the one before it always lie in this much
-        if len(text) > keep:
-            text, lens, counts = text[-keep:], lens[-keep:], counts[-keep - 1:]
-        base = counts[0]
-        made = (text, lens, tuple(c - base for c in counts))
-        if made not in self.number:
-            self.number[made] = len(self.states)
-            self.states.append(made)
-        return self.number[made], change
-
-    def encode_of(self, token: tuple[int, ...]) -> int:
-        """Number of tokens that the symbols of a vocabulary entry encode to by themselves."""
-        got = self.stable.get(token)
+    def last_token(self, state: int, symbol: str) -> tuple[int, int]:
+        """(length of the last token, change in the number of tokens) after one more symbol."""
+        sizes = self.sizes.get(symbol, ())
+        text = self.text[state] + symbol
+        n, a, gone, m = len(text), state, 0, 1
+        while True:
+            # `a` is the state before the last m symbols, `gone` the tokens since then.
+            if m == 1 or m in sizes:
+                token = text[n - m:]
+                if m == 1 or token in self.parts:
+                    if m == n or not self.size[a]:
+                        return m, 1 - gone
+                    if self.stays(self.text[a][-self.size[a]:], token):
+                        return m, 1 - gone
+            gone += self.change[a]
+            a = self.back[a]
+            m += 1
+
+    def step(self, state: int, byte: int) -> int:
+        key = state * 256 + byte
+        got = self.delta.get(key)
         if got is None:
-            got = self.stable[token] = len(self.encode(token))
+            symbol = chr(byte)
+            size, change = self.last_token(state, symbol)
+            text = self.text[state] + symbol
+            # Two tokens back is all that a later step can look at: longer pasts are the same state.
+            same = None
+            if len(text) > 2 * self.longest:
+                text, past, a = text[-2 * self.longest:], [size, change], state
+                for _ in range(2 * self.longest - 1):
+                    past += [self.size[a], self.change[a]]
+                    a = self.back[a]
+                same = (text, tuple(past))
+            got = self.merged.get(same) if same else None
+            if got is None:
+                got = len(self.text)
+                self.text.append(text)
+                self.size.append(size)
+                self.back.append(state)
+                self.change.append(change)
+                if same:
+                    self.merged[same] = got
+            self.delta[key] = got
         return got
 
     def count(self, word: bytes) -> int:
         """Tokens of one word (at least one byte)."""
         state = total = 0
         for b in word[:-1]:
-            state, d = self.step(state, b)
-            total += d
-        return total + self.step(state, 256 + word[-1])[1]
+            state = self.step(state, b)
+            total += self.change[state]
+        return total + self.last_token(state, chr(256 + word[-1]))[1]
 
 
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed value of the vocabulary file's word pattern
 _PATTERN = regex.compile(_CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_SPACE = regex.compile(r"\s+")
+_SPACE = regex.compile(r"\s")
+_LAST_SPACE = regex.compile(r"(?r)\s")
 KEEP_WORDS = 300_000  # remembered words of a task; forgotten all at once beyond
-KEEP_STATES = 400_000
+KEEP_STATES = 250_000
+
+
+class _Words(dict):
+    """Token counts of words, made by the transducer when first asked for."""
+
+    def __init__(self, machine: Transducer):
+        super().__init__()
+        self.machine = machine
+
+    def __missing__(self, word: str) -> int:
+        machine = self.machine
+        if len(machine.text) > KEEP_STATES:
+            machine.forget()
+        got = machine.count(word.encode("utf-8", "surrogatepass"))
+        if len(self) > KEEP_WORDS:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = got
+        return got
 
 
 class WordCounter:
-    """Counts tokens of white-space-free pieces: special strings, normal form, word pattern, transducer."""
+    """Counts tokens of pieces of text: special strings, normal form, word pattern, transducer."""
 
     def __init__(self, spec: dict):
         model = spec["model"]
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges, self.end = merges, model["end_of_word_suffix"]
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) \
-            if self.special else None
-        self.machine = Transducer(merges, self.end)
-        self.known: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
+        special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.words = _Words(Transducer(merges, model["end_of_word_suffix"]))
 
     def piece(self, raw: str) -> int:
-        got = self.known.get(raw)
-        if got is None:
-            got = self._piece(raw)
-            if len(self.known) > KEEP_WORDS:
-                self.known.clear()
-            if len(raw) <= 64:
-                self.known[raw] = got
-        return got
-
-    def _piece(self, raw: str) -> int:
-        if self.cut is not None and "<" in raw:
-            found = self.cut.findall(raw)
+        """Tokens of text that no word crosses the ends of."""
+        if self.special is not None and "<" in raw:
+            found = self.special.findall(raw)
             if found:
-                return len(found) + sum(self._plain(x) for x in self.cut.split(raw) if x)
+                return len(found) + sum(self._plain(x) for x in self.special.split(raw) if x)
         return self._plain(raw)
 
     def _plain(self, raw: str) -> int:
-        if raw.isascii():
-            text = raw.lower()
-        else:
-            text = unicodedata.normalize("NFC", raw)
-            text = "".join(map(str.lower, text))  # letter by letter: no rule for a final sigma
-        return sum(map(self._word, _PATTERN.findall(text)))
-
-    def _word(self, word: str) -> int:
-        got = self.parts.get(word)
-        if got is None:
-            if len(self.machine.states) > KEEP_STATES:
-                self.machine = Transducer(self.merges, self.end)
-            got = self.machine.count(word.encode("utf-8", "surrogatepass"))
-            if len(self.parts) > KEEP_WORDS:
-                self.parts.clear()
-            if len(word) <= 64:
-                self.parts[word] = got
-        return got
+        if not raw.isascii() and not unicodedata.is_normalized("NFC", raw):
+            raw = unicodedata.normalize("NFC", raw)
+        # Letter by letter where a final sigma would be treated by its place in the word.
+        text = "".join(map(str.lower, raw)) if "\u03a3" in raw else raw.lower()
+        return sum(map(self.words.__getitem__, _PATTERN.findall(text)))
 
     def state_map(self, chunk: str) -> tuple[str, int | None, str]:
         """(open head, tokens of complete words, open tail); None: no white space in the chunk."""
-        pieces = _SPACE.split(chunk)
-        if len(pieces) == 1:
+        first = _SPACE.search(chunk)
+        if first is None:
             return chunk, None, ""
-        return pieces[0], sum(map(self.piece, pieces[1:-1])), pieces[-1]
+        last = _LAST_SPACE.search(chunk)
+        return chunk[:first.start()], self.piece(chunk[first.end():last.start()]) if last.start() > first.start() else 0, chunk[last.end():]
 
     def join(self, a: tuple, b: tuple) -> tuple:
         """Composition of the state maps of two neighbouring chunks."""
