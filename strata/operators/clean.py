@@ -71,19 +71,18 @@ def upper_trim_columns(df: DataFrame, columns) -> DataFrame:
 def dedupe_natural_key(df: DataFrame, keys, order_by) -> DataFrame:
     """Keep one row per natural key: the first in ``order_by`` (ascending).
 
-    ``order_by`` must make the choice total (unique within a key); the
-    survivor is then the same on every run, unlike ``dropDuplicates``.
-    Implemented as ``min_by(row, order)`` - an aggregate with map-side
-    combine (sort-based when the row holds strings), so a key with a third of
-    all rows is reduced to one row per task before the shuffle.
+    All other columns are the last tie-break, so the survivor is the same on
+    every run and every partitioning, unlike ``dropDuplicates``. One ``min`` of
+    the row as an ordered struct - an aggregate with map-side combine, so a key
+    with a third of all rows is reduced to one row per task before the shuffle.
     Null keys form their own group, like ``dropDuplicates``.
     """
     keys = list(keys)
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    row = F.struct(*[F.col(c) for c in df.columns])
-    order = F.struct(*[F.col(c) for c in order_by])
-    return (df.groupBy(*keys).agg(F.min_by(row, order).alias("_r"))
-            .select(*[F.col(f"_r.{c}").alias(c) for c in df.columns]))
+    order_by = [c for c in ([order_by] if isinstance(order_by, str) else order_by) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    row = F.struct(*order_by, *rest)
+    return df.groupBy(*keys).agg(F.min(row).alias("_r")).select(
+        *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
 def duplicate_count(df: DataFrame, keys, out: str = "duplicates_removed") -> DataFrame:

@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_batch(df: DataFrame, order: str = "_batch_id") -> DataFrame:
+def latest_batch(df: DataFrame, order: str = "_batch_id", partition: str | None = None) -> DataFrame:
     """Rows of the newest batch (``order == max(order)``).
 
+    ``partition`` names a partition column of the table that never decreases
+    with ``order`` (a day): the newest partition is found from the partition
+    values first, so the files of all others are pruned.
+
     The maximum is a scalar subquery: computed once by the engine, never
     collected to the driver, and pushed into the Parquet scan as a runtime
     filter, so row groups of older batches are skipped. A key missing from
     the newest batch is absent here; see ``latest_per_key``.
     """
+    if partition is not None:
+        df = df.filter(F.col(partition) == df.agg(F.max(partition)).scalar())
     newest = df.agg(F.max(order)).scalar()
     return df.filter(F.col(order) == newest)
 

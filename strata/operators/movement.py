@@ -29,7 +29,7 @@ def previous_value(df: DataFrame, key, order, value: str, out: str = "previous_v
     3. ``lag`` over that small table per key gives, for each chunk, the last
        value of the nearest earlier non-empty chunk;
     4. the first row of each chunk takes that value (join on key and chunk,
-       co-partitioned with step 1).
+       co-partitioned with step 1; null-safe, as a null key is a key).
 
     The result is identical to the plain window: the chunk is a monotone
     function of the order, so rows of earlier chunks are exactly the earlier rows.
@@ -52,9 +52,10 @@ def previous_value(df: DataFrame, key, order, value: str, out: str = "previous_v
             .agg(F.max_by(F.col(value), F.struct(*order_cols)).alias("_last")))
     per_key = Window.partitionBy(*keys).orderBy("_chunk")
     carried = last.select(*keys, "_chunk", F.lag("_last", 1).over(per_key).alias("_carried"))
-    joined = data.join(carried, [*keys, "_chunk"], "left")
-    return (joined.withColumn(out, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(out)))
-            .select(*df.columns, out))
+    d, c = data.alias("d"), carried.alias("c")
+    joined = d.join(c, [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "_chunk")], "left")
+    previous = F.when(F.col("d._first"), F.col("c._carried")).otherwise(F.col(f"d.{out}"))
+    return joined.select(*[F.col(f"d.{x}").alias(x) for x in df.columns], previous.alias(out))
 
 
 def movement(df: DataFrame, key="symbol", order="_batch_id", value: str = "current_price",

@@ -31,6 +31,8 @@ class Rule:
             return c.isNull()
         if self.kind == "accepted_values":
             return c.isNotNull() & ~c.isin(list(self.values))
+        if self.kind == "not_lost":
+            return F.coalesce(c, F.lit(False))
         raise ValueError(f"unknown rule kind {self.kind!r}")
 
 
@@ -38,6 +40,11 @@ def not_null(column: str) -> Rule:
     return Rule(f"not_null_{column}", column, "not_null")
 
 
+def not_lost(column: str) -> Rule:
+    """A boolean column that marks rows whose value was lost in parsing or casting."""
+    return Rule(f"not_lost_{column.strip('_')}", column, "not_lost")
+
+
 def accepted_values(column: str, values) -> Rule:
     return Rule(f"accepted_values_{column}", column, "accepted_values", tuple(values))
 
@@ -77,14 +84,21 @@ def reconcile_flag(df: DataFrame, flag: str) -> DataFrame:
     return out.withColumn("balanced", (F.col("flagged") + F.col("unflagged")) == F.col("total"))
 
 
+def gate_reconciled(df: DataFrame, flag: str) -> None:
+    """Raise when flagged and unflagged rows do not add up to all rows (one row is collected)."""
+    r = reconcile_flag(df, flag).first()
+    if not r["balanced"]:
+        raise QualityGateError(f"{flag}: {r['flagged']} + {r['unflagged']} of {r['total']} rows")
+
+
 def expected_first_nulls(df: DataFrame, key: str, column: str) -> DataFrame:
-    """One row: nulls in ``column`` and the number of keys (expected equal when
-    only each key's first snapshot lacks a previous value)."""
+    """One row: nulls in ``column``, the number of keys, and whether every key has
+    exactly one null (only its first snapshot lacks a previous value)."""
     per_key = df.groupBy(key).agg(F.count_if(F.col(column).isNull()).alias("_nulls"))
     return per_key.agg(
-        F.sum("_nulls").cast("long").alias("null_count"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).cast("long").alias("null_count"),
         F.count(F.lit(1)).alias("key_count"),
-    ).withColumn("as_expected", F.col("null_count") == F.col("key_count"))
+        F.coalesce(F.bool_and(F.col("_nulls") == 1), F.lit(True)).alias("as_expected"))
 
 
 def profile_non_numeric(df: DataFrame, patterns: dict[str, str]) -> DataFrame:

@@ -110,12 +110,16 @@ def stg_generation_mix(raw: DataFrame) -> DataFrame:
 
 def dedupe_polls(df: DataFrame, keys, order: str = "batch_id", keep: str = "first") -> DataFrame:
     """One row per key when the same period was polled more than once: the
-    first poll (smallest ``order``) by default, or the latest."""
+    first poll (smallest ``order``, a missing one last) by default, or the
+    latest (a missing one first). Polls of equal order are told apart by all
+    other columns, so the survivor does not depend on the partitioning."""
     keys = list(keys)
-    row = F.struct(*[F.col(c) for c in df.columns])
-    pick = F.min_by if keep == "first" else F.max_by
-    return (df.groupBy(*keys).agg(pick(row, F.col(order)).alias("_r"))
-            .select(*[F.col(f"_r.{c}").alias(c) for c in df.columns]))
+    rest = [c for c in df.columns if c not in keys and c != order]
+    first = F.col(order).isNull() if keep == "first" else F.col(order).isNotNull()
+    row = F.struct(first.alias("_known"), F.col(order), *rest)
+    pick = F.min if keep == "first" else F.max
+    return df.groupBy(*keys).agg(pick(row).alias("_r")).select(
+        *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
 def pivot_generation(gen: DataFrame, spec=PIVOT_SPEC) -> DataFrame:
@@ -159,9 +163,9 @@ def mart_carbon_intensity(features: DataFrame) -> DataFrame:
     return granular_only(features).select(*CARBON_MART_COLUMNS)
 
 
-def mart_generation_mix(features: DataFrame) -> DataFrame:
+def mart_generation_mix(features: DataFrame, partition: str | None = None) -> DataFrame:
     """Granular regions in the newest period (scalar-subquery filter)."""
-    return latest_batch(granular_only(features), "period_from").select(*GENERATION_MART_COLUMNS)
+    return latest_batch(granular_only(features), "period_from", partition).select(*GENERATION_MART_COLUMNS)
 
 
 def mart_peak_analysis(features: DataFrame) -> DataFrame:

@@ -64,9 +64,9 @@ def silver_prices(bronze: DataFrame, key: str = "symbol", order: str = "_batch_i
     return stamp_processed(df, "_silver_processed_at")
 
 
-def gold_latest_prices(silver: DataFrame, order: str = "_batch_id") -> DataFrame:
+def gold_latest_prices(silver: DataFrame, order: str = "_batch_id", partition: str | None = None) -> DataFrame:
     """Newest batch only, 12 columns."""
-    latest = latest_batch(silver, order).select(*LATEST_COLUMNS)
+    latest = latest_batch(silver, order, partition).select(*LATEST_COLUMNS)
     return stamp_processed(latest, "_gold_processed_at")
 
 

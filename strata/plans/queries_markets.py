@@ -199,7 +199,8 @@ def q_latest_batch_rows(spark, sf_dir):
 @register("first_batch_nulls", with_ctes(*SILVER_CTES, select="""
 select cast(count(*) filter (where previous_price is null) as bigint) as null_count,
        count(distinct symbol) as key_count,
-       count(*) filter (where previous_price is null) = count(distinct symbol) as as_expected
+       (select bool_and(n = 1) from (
+          select symbol, count(*) filter (where previous_price is null) as n from silver group by symbol) k) as as_expected
 from silver"""))
 def q_first_batch_nulls(spark, sf_dir):
     """Expected-null check: exactly one missing previous price per coin."""

@@ -39,7 +39,8 @@ def q_src_csv_hrrp(spark, sf_dir):
     """Published-header CSV written by Spark, read back as text and renamed."""
     raw = hrrp_raw(spark, sf_dir)
     to_header = {snake_case_names([h])[h]: h for h in rd.RAW_HEADER}
-    published = raw.select(*[F.col(c).cast("string").alias(h) for c, h in to_header.items()])
+    # the file has its columns in another order than the reader asks for
+    published = raw.select(*[F.col(c).cast("string").alias(h) for c, h in sorted(to_header.items())])
     path = scratch_path(spark, "hrrp-csv")
     write_csv(published, path)
     back = read_csv_strings(spark, path, rd.RAW_HEADER)

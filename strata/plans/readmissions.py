@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.classify import penalty_flag, risk_tier
+from strata.functions.classify import any_of, penalty_flag, risk_tier
 from strata.functions.numeric import exact_avg, round_half_up
 from strata.functions.parse import parse_mixed_date
 from strata.operators.clean import (
@@ -56,11 +56,17 @@ def bronze_hrrp(raw: DataFrame, source_file=None, source_year: int | None = None
 
 def silver_hrrp(bronze: DataFrame, order_by, sentinels=SUPPRESSED_VALUES,
                 checked=SUPPRESSION_CHECKED, cleaned=SENTINEL_COLUMNS, types=None,
-                dedupe: bool = True) -> DataFrame:
+                dedupe: bool = True, lost: str | None = None) -> DataFrame:
     """Flag suppression, null the sentinels, cast, parse dates, tidy text,
-    keep one row per facility and measure (the first in ``order_by``)."""
+    keep one row per facility and measure (the first in ``order_by``). ``lost``
+    names a boolean column to add: a number or date of the row was lost."""
     df = flag_suppressed(bronze, checked, sentinels)
     df = null_sentinels(df, cleaned, sentinels)
+    if lost is not None:
+        gone = [F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in (types or NUMERIC_TYPES).items()]
+        gone += [F.col(c).isNotNull() & parse_mixed_date(c, dtype=df.schema[c].dataType).isNull()
+                 for c in ("start_date", "end_date")]
+        df = df.withColumn(lost, any_of(gone))
     df = cast_columns(df, types or NUMERIC_TYPES)
     df = df.withColumns({c: parse_mixed_date(c, dtype=df.schema[c].dataType)
                          for c in ("start_date", "end_date")})
@@ -85,11 +91,15 @@ def _published_rank(g: DataFrame, value: str, out: str) -> DataFrame:
     return dense_rank_desc(g, value, out).withColumn(out, F.col(out).cast("int"))
 
 
-def gold_hospital_summary(silver: DataFrame) -> DataFrame:
+def gold_hospital_summary(silver: DataFrame, by_id: bool = False) -> DataFrame:
     """One row per hospital (id, name, state): conditions reported, five
     averages, national dense rank by average excess ratio, penalty flag, tier.
-    The rank is split by ranges of the averages."""
-    g = reportable(silver).groupBy("facility_id", "facility_name", "state").agg(
+    With ``by_id`` hospitals are grouped by id alone, as names differ between
+    files; the greatest name and state stand for them."""
+    keys = ["facility_id"] if by_id else ["facility_id", "facility_name", "state"]
+    names = [F.max(c).alias(c) for c in ("facility_name", "state")] if by_id else []
+    g = reportable(silver).groupBy(*keys).agg(
+        *names,
         F.count("measure_name").alias("conditions_reported"),
         _avg("excess_readmission_ratio", 4).alias("avg_excess_ratio"),
         _avg("predicted_readmission_rate", 4).alias("avg_predicted_rate"),

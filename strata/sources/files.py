@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from strata.session import ensure_checkpoint_dir
 
@@ -17,24 +16,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/strata-scratch/{label}-{uuid.uuid4().hex}"
 
 
-def string_schema(columns) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
-def read_csv_strings(spark: SparkSession, path: str, columns, multi_line: bool = True) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, columns, multi_line: bool = False) -> DataFrame:
     """CSV with a header row, every column read as text so that sentinels such
     as ``Too Few to Report`` or a leading-zero id survive; types come later.
 
-    ``multiLine`` is needed when a quoted cell holds a line break; it makes a
-    file unsplittable, so large inputs should arrive as many files.
+    Columns are taken by the names of the header (read when the frame is built),
+    in whatever order the file has them; a missing name raises. Files whose
+    header differs from the first one fail when they are read. ``multi_line`` is
+    for quoted cells with line breaks; it makes a file unsplittable.
     """
-    return (spark.read.schema(string_schema(columns))
-            .option("header", True)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(path))
+    reader = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    header = reader.option("inferSchema", False).csv(path).schema
+    missing = [c for c in columns if c not in header.names]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    return reader.schema(header).option("enforceSchema", False).csv(path).select(*[f"`{c}`" for c in columns])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

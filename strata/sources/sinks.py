@@ -3,12 +3,14 @@
 Tables live in the session catalog (``layer_table`` names) or at a path. The
 storage format is a parameter: Delta when its package is on the class path,
 otherwise Parquet. A full refresh never overwrites the files a query is
-reading: it writes a new location and swaps the table name to it.
+reading: it writes a new version folder and lets the name, a view, show it.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,36 +64,69 @@ def append(df: DataFrame, name: str | None = None, path: str | None = None,
         w.save(path)
 
 
+def stage(df: DataFrame, name: str, location_root: str, fmt: str | None = None, partition_by=None) -> str:
+    """Write a new version of a table to a folder of its own; returns the folder. Readers see nothing yet."""
+    fmt = fmt or table_format(df.sparkSession)
+    location = f"{location_root.rstrip('/')}/{name.replace('.', '_')}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    w = df.write.mode("errorifexists").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    w.save(location)
+    return location
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _comments(spark: SparkSession, name: str) -> tuple[str | None, dict]:
+    if not spark.catalog.tableExists(name):
+        return None, {}
+    return spark.catalog.getTable(name).description, {
+        c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
+
+
+def _define(spark: SparkSession, name: str, select: str, comment: str | None, columns: dict) -> None:
+    listed = ", ".join(f"`{c}`" + (f" COMMENT {_quoted(columns[c])}" if c in columns else "")
+                       for c in spark.sql(select).columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} ({listed})"
+              + (f" COMMENT {_quoted(comment)}" if comment else "") + f" AS {select}")
+
+
+def point(spark: SparkSession, name: str, location: str, fmt: str | None = None, drop=(), keep: int = 2) -> None:
+    """Let ``name`` show the staged version at ``location``, by one catalog call.
+
+    The name is a view over the folder, whether the schema or the partitioning
+    changed or not: readers get the old or the new version, never none, and
+    descriptions stay. ``drop`` columns are left out of the view. Of the older
+    versions the newest ``keep - 1`` stay for readers that resolved them; the
+    others go.
+    """
+    fmt = fmt or table_format(spark)
+    comment, columns = _comments(spark, name)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType not in ("VIEW", "TEMPORARY"):
+        spark.sql(f"DROP TABLE {name}")  # a plain table of this name cannot become a view in place
+    shown = [c for c in spark.read.format(fmt).load(location).columns if c not in drop]
+    _define(spark, name, f"SELECT {', '.join(f'`{c}`' for c in shown)} FROM {fmt}.`{location}`", comment, columns)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(location).getParent()
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    older = sorted((st.getPath().getName(), st.getPath()) for st in fs.listStatus(folder)
+                   if st.getPath().getName() < location.rsplit("/", 1)[-1])
+    for _, path in older[:max(len(older) - (keep - 1), 0)]:
+        fs.delete(path, True)
+
+
 def overwrite(df: DataFrame, name: str, location_root: str, fmt: str | None = None,
               partition_by=None) -> str:
-    """Full refresh with schema replacement.
+    """Full refresh with schema replacement: ``stage``, then ``point``.
 
-    The rows go to a fresh folder under ``location_root``; only after the
-    write succeeded is ``name`` pointed at it. Readers of the old version are
-    never cut off mid-read, and a failed write leaves the table as it was.
+    A failed write or a failure between the two leaves the table as it was.
     Returns the new location.
     """
-    spark = df.sparkSession
-    fmt = fmt or table_format(spark)
-    location = f"{location_root.rstrip('/')}/{name.replace('.', '_')}-{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.save(location)
-    same_shape = (not partition_by and spark.catalog.tableExists(name)
-                  and spark.table(name).schema == spark.read.format(fmt).load(location).schema
-                  and not [c for c in spark.catalog.listColumns(name) if c.isPartition])
-    if same_shape:
-        # one catalog update: readers see either the old or the new folder
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        spark.sql(f"REFRESH TABLE {name}")
-        return location
-    # new schema or partitioned table: partition entries would keep the old
-    # paths, so the entry is replaced (drop, then create on the new folder)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=location, source=fmt)
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    fmt = fmt or table_format(df.sparkSession)
+    location = stage(df, name, location_root, fmt, partition_by)
+    point(df.sparkSession, name, location, fmt)
     return location
 
 
@@ -112,18 +147,33 @@ def materialise(df: DataFrame, name: str, kind: str = "view", location_root: str
 
 def table_row_counts(spark: SparkSession, names) -> DataFrame:
     """``(table_name, row_count)`` for several tables, as one query."""
-    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(n).alias("table_name"), "row_count") for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, [
+        spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n in names])
+
+
+def table_audit(spark: SparkSession, names=None) -> DataFrame:
+    """``(table_name, row_count, n_columns, schema, description)`` of the named tables, or of all in the catalog."""
+    names = [t.name for t in spark.catalog.listTables()] if names is None else list(names)
+    if not names:
+        return spark.createDataFrame([], "table_name string, row_count long, n_columns int, schema string, description string")
+    facts = [(n, len(spark.table(n).columns), spark.table(n).schema.simpleString(),
+              spark.catalog.getTable(n).description) for n in names]
+    listed = spark.createDataFrame(facts, "table_name string, n_columns int, schema string, description string")
+    return table_row_counts(spark, names).join(listed, "table_name").select(
+        "table_name", "row_count", "n_columns", "schema", "description")
 
 
 def set_comments(spark: SparkSession, name: str, table_comment: str | None = None,
                  column_comments: dict | None = None) -> None:
-    """Store descriptions with a catalog table."""
+    """Store descriptions with a published name (kept by later refreshes)."""
+    if spark.catalog.getTable(name).tableType == "VIEW":
+        comment, columns = _comments(spark, name)
+        text = next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+                    if r["col_name"] == "View Text")
+        _define(spark, name, text, table_comment or comment, {**columns, **(column_comments or {})})
+        return
     if table_comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{table_comment.replace(chr(39), chr(39) * 2)}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(table_comment)}")
     for col, text in (column_comments or {}).items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {col} COMMENT '{text.replace(chr(39), chr(39) * 2)}'")
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT {_quoted(text)}")
