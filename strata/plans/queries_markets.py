@@ -123,11 +123,14 @@ def q_gold_price_summary(spark, sf_dir):
     return markets.gold_price_summary(_silver(spark, sf_dir))
 
 
-@register("gold_market_dominance", with_ctes(*SILVER_CTES, ("latest", LATEST_SQL), select=f"""
+DOMINANCE_SQL = f"""
 select symbol, name, market_cap,
        {rnd('market_cap / nullif((select sum(market_cap) from latest), 0) * 100', 4)} as market_cap_share_pct,
        market_cap_rank, current_price, total_volume
-from latest"""))
+from latest"""
+
+
+@register("gold_market_dominance", with_ctes(*SILVER_CTES, ("latest", LATEST_SQL), select=DOMINANCE_SQL))
 def q_gold_market_dominance(spark, sf_dir):
     """Share of the newest batch's total market cap (scalar subquery, no collect)."""
     return markets.gold_market_dominance(markets.gold_latest_prices(_silver(spark, sf_dir)))

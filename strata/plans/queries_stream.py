@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.plans.queries_markets import SILVER_CTES, SUMMARY_CTE
+from strata.plans import markets
+from strata.plans.queries_markets import CHUNK_WIDTH, DOMINANCE_SQL, LATEST_SQL, SILVER_CTES, SUMMARY_CTE
 from strata.plans.registry import register
 from strata.plans.sqltext import with_ctes
 from strata.sources.documents import SNAPSHOT_SCHEMA
@@ -71,17 +72,22 @@ def q_stream_bronze_append(spark, sf_dir):
     return spark.read.parquet(f"{root}/table")
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "stream-markets")
+    jobs.run_market_refresh(spark, _prices_landing(spark, sf_dir), PRICE_LANDING_SCHEMA, root,
+                            max_files_per_trigger=8, chunk_width=CHUNK_WIDTH)
+    return root
+
+
 @register("stream_movement", with_ctes(*SILVER_CTES, select="""
 select symbol, name, _batch_id, current_price, previous_price, batch_price_change, batch_price_change_pct,
        price_direction, is_volatile
 from silver"""))
 def q_stream_movement(spark, sf_dir):
-    """Previous price kept as per-coin state (transformWithState) across micro-batches."""
-    landing = _prices_landing(spark, sf_dir)
-    root = scratch_path(spark, "stream-movement")
-    jobs.run_movement(spark, landing, PRICE_LANDING_SCHEMA, f"{root}/table", f"{root}/_checkpoint",
-                      max_files_per_trigger=8)
-    return spark.read.parquet(f"{root}/table").filter(~F.col("is_late")).drop("is_late")
+    """Previous price chained across micro-batches through one state row per coin."""
+    return jobs.clean_series(spark, _refreshed(spark, sf_dir)).select(
+        "symbol", "name", "_batch_id", "current_price", "previous_price", "batch_price_change",
+        "batch_price_change_pct", "price_direction", "is_volatile")
 
 
 @register("stream_gold_refresh", with_ctes(*SILVER_CTES, SUMMARY_CTE, select="""
@@ -91,20 +97,77 @@ select *, cast(dense_rank() over (order by price_range desc nulls last) as integ
 from s"""))
 def q_stream_gold_refresh(spark, sf_dir):
     """Per-coin summary folded incrementally per micro-batch (foreachBatch)."""
-    landing = _prices_landing(spark, sf_dir)
-    root = scratch_path(spark, "stream-gold")
-    parts_root = jobs.run_gold_refresh(spark, landing, PRICE_LANDING_SCHEMA, root, max_files_per_trigger=8)
-    return jobs.summary_from_parts(jobs.latest_parts(spark, parts_root))
+    return jobs.summary_from_parts(jobs.latest_parts(spark, _refreshed(spark, sf_dir)))
+
+
+@register("stream_latest_prices", with_ctes(*SILVER_CTES, select=LATEST_SQL))
+def q_stream_latest_prices(spark, sf_dir):
+    """Newest batch, refreshed per micro-batch."""
+    return jobs.latest_prices(spark, _refreshed(spark, sf_dir))
+
+
+@register("stream_market_dominance", with_ctes(*SILVER_CTES, ("latest", LATEST_SQL), select=DOMINANCE_SQL))
+def q_stream_market_dominance(spark, sf_dir):
+    """Market-cap shares of the newest batch, refreshed per micro-batch."""
+    return markets.gold_market_dominance(jobs.latest_prices(spark, _refreshed(spark, sf_dir)))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Document files of 60 events each - several periods, regions and fuels in a
+    document - landed and ingested."""
+    landing, root = scratch_path(spark, "landing-documents"), scratch_path(spark, "stream-documents")
+    rows = generation_raw(spark, sf_dir).withColumn("batch_id", F.floor(F.col("batch_id") / 60))
+    mix = F.collect_list(F.struct(F.col("fuel_type").alias("fuel"), F.col("percentage").alias("perc")))
+    region = rows.groupBy("batch_id", "period_from", "period_to", "region_id", "short_name").agg(
+        mix.alias("generationmix"), F.max("percentage").alias("forecast"))
+    period = region.groupBy("batch_id", "period_from", "period_to").agg(F.collect_list(F.struct(
+        F.col("region_id").alias("regionid"), F.concat(F.lit("DNO "), F.col("region_id").cast("string")).alias("dnoregion"),
+        F.col("short_name").alias("shortname"),
+        F.struct("forecast", F.when(F.col("forecast") < 80, "low").otherwise("high").alias("index")).alias("intensity"),
+        "generationmix")).alias("regions"))
+    docs = period.groupBy("batch_id").agg(F.collect_list(F.struct(
+        F.col("period_from").alias("from"), F.col("period_to").alias("to"), "regions")).alias("data"))
+    docs.repartition(4, "batch_id").write.json(landing)
+    jobs.ingest_documents(spark, landing, root, max_files_per_trigger=2)
+    return jobs.document_tables(spark, root)
+
+
+@register("stream_documents_intensity", with_ctes(("generation_raw", "generation_raw"), select="""
+select region_id, short_name, concat('DNO ', cast(region_id as varchar)) as dno_region,
+       max(percentage) as intensity_forecast, case when max(percentage) < 80 then 'low' else 'high' end as intensity_index,
+       period_from, period_to, batch_id // 60 as batch_id
+from generation_raw group by region_id, short_name, period_from, period_to, batch_id // 60"""))
+def q_stream_documents_intensity(spark, sf_dir):
+    """Landed documents to the intensity table (written in one step with the mix table)."""
+    return _documents(spark, sf_dir)[0]
+
+
+@register("stream_documents_generation", with_ctes(("generation_raw", "generation_raw"), select="""
+select region_id, short_name, fuel_type, percentage, period_from, period_to, batch_id // 60 as batch_id
+from generation_raw"""))
+def q_stream_documents_generation(spark, sf_dir):
+    """Landed documents to the generation-mix table."""
+    return _documents(spark, sf_dir)[1]
 
 
 @register("stream_dedupe_polls", with_ctes(("generation_raw", "generation_raw"), select="""
-select distinct region_id, fuel_type, period_from from generation_raw"""))
+select region_id, short_name, fuel_type, period_from, period_to, count(*) as polls, true as kept_is_a_poll
+from generation_raw group by region_id, short_name, fuel_type, period_from, period_to"""))
 def q_stream_dedupe_polls(spark, sf_dir):
-    """Repeated polls of a region, fuel and period dropped within the watermark."""
+    """Repeated polls of a region, fuel and period dropped within the watermark: one
+    poll stays whole. Which one comes first depends on the order of files, so the
+    kept row is looked up among the polls of its key."""
     landing = scratch_path(spark, "landing-generation")
     g = generation_raw(spark, sf_dir)
     land_in_order(g, "_ingested_at", "region_id", landing)
     root = scratch_path(spark, "stream-dedupe")
-    jobs.run_dedupe_polls(spark, landing, GENERATION_LANDING_SCHEMA, ["region_id", "fuel_type", "period_from"],
+    keys = ["region_id", "fuel_type", "period_from"]
+    jobs.run_dedupe_polls(spark, landing, GENERATION_LANDING_SCHEMA, keys,
                           "_ingested_at", f"{root}/table", f"{root}/_checkpoint", max_files_per_trigger=8)
-    return spark.read.parquet(f"{root}/table").select("region_id", "fuel_type", "period_from")
+    kept = spark.read.parquet(f"{root}/table")
+    polls = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("polls"))
+    same = g.select("batch_id", F.struct(*[c for c in g.columns if c not in ("batch_id", "_ingested_at")]).alias("_poll"))
+    found = kept.withColumn("_row", F.struct(*[c for c in g.columns if c not in ("batch_id", "_ingested_at")]))
+    return found.join(same, "batch_id", "left").join(polls, keys).select(
+        "region_id", "short_name", "fuel_type", "period_from", "period_to", "polls",
+        F.coalesce(F.col("_row") == F.col("_poll"), F.lit(False)).alias("kept_is_a_poll"))

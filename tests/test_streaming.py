@@ -1,9 +1,12 @@
-"""Stream equals batch, also across a restart from the checkpoint."""
+"""Stream equals batch, also across restarts, late rows and repeated polls."""
+
+import json
 
 from pyspark.sql import functions as F
 
 from strata.plans import markets as mk
 from strata.plans.queries_stream import PRICE_LANDING_SCHEMA, land_in_order
+from strata.sources.documents import DOCUMENT_SCHEMA
 from strata.sources.files import scratch_path
 from strata.sources.testdata import prices_raw
 from strata.streaming import jobs
@@ -11,66 +14,112 @@ from tests.conftest import SF_SMALL, rows
 
 COLS = ("symbol", "_batch_id", "current_price", "previous_price", "batch_price_change",
         "batch_price_change_pct", "price_direction", "is_volatile")
+FIELDS = [f.name for f in PRICE_LANDING_SCHEMA.fields]
+
+
+def poll(symbol, batch, price, updated="2024-01-01T00:00:00.000Z"):
+    base = dict.fromkeys(FIELDS)
+    base.update(id=symbol, symbol=symbol, name=symbol, current_price=price, _batch_id=batch, last_updated=updated,
+                market_cap=100 + batch)
+    return tuple(base[f] for f in FIELDS)
+
+
+def land(spark, landing, polls):
+    spark.createDataFrame(polls, PRICE_LANDING_SCHEMA).coalesce(1).write.mode("append").json(landing)
+
 
+def batch_series(bronze):
+    return mk.silver_prices(bronze.withColumn("_text", F.col("last_updated")), tiebreak=["_text", "current_price"])
 
-def test_movement_stream_restart_equals_batch(spark):
+
+def test_market_refresh_restart_equals_batch(spark):
     bronze = prices_raw(spark, SF_SMALL)
-    landing = scratch_path(spark, "t-landing")
-    root = scratch_path(spark, "t-stream")
-    cut = 115
-    first = bronze.filter(F.col("_batch_id") < cut).select(*[f.name for f in PRICE_LANDING_SCHEMA.fields])
-    rest = bronze.filter(F.col("_batch_id") >= cut).select(*[f.name for f in PRICE_LANDING_SCHEMA.fields])
-    land_in_order(first, "_batch_id", "symbol", landing, chunks=2)
-    jobs.run_movement(spark, landing, PRICE_LANDING_SCHEMA, f"{root}/t", f"{root}/c", max_files_per_trigger=4)
-    n_first = spark.read.parquet(f"{root}/t").count()
-    land_in_order(rest, "_batch_id", "symbol", landing, chunks=2)
-    # A new query on the same checkpoint: resumes with the stored per-coin state.
-    jobs.run_movement(spark, landing, PRICE_LANDING_SCHEMA, f"{root}/t", f"{root}/c", max_files_per_trigger=4)
-    out = spark.read.parquet(f"{root}/t")
+    landing, root = scratch_path(spark, "t-landing"), scratch_path(spark, "t-stream")
+    land_in_order(bronze.filter("_batch_id < 4").select(*FIELDS), "_batch_id", "symbol", landing, chunks=2)
+    read = jobs.run_market_refresh(spark, landing, PRICE_LANDING_SCHEMA, root, max_files_per_trigger=8, chunk_width=3)
+    n_first = jobs.clean_series(spark, root).count()
+    land_in_order(bronze.filter("_batch_id >= 4").select(*FIELDS), "_batch_id", "symbol", landing, chunks=2)
+    # A new query on the same checkpoint: resumes with the stored state.
+    read += jobs.run_market_refresh(spark, landing, PRICE_LANDING_SCHEMA, root, max_files_per_trigger=8, chunk_width=3)
+    out = jobs.clean_series(spark, root)
     assert 0 < n_first < out.count()
-    assert out.filter("is_late").count() == 0
-    want = rows(mk.silver_prices(bronze), *COLS)
-    assert rows(out, *COLS) == want
+    assert sum(read) == bronze.count()  # every landed row was read once: one execution per micro-batch
+    assert rows(out, *COLS) == rows(mk.silver_prices(bronze), *COLS)
 
 
-def test_late_row_is_flagged_not_chained(spark):
-    landing = scratch_path(spark, "t-late")
-    root = scratch_path(spark, "t-late-out")
-    schema = PRICE_LANDING_SCHEMA
-    base = {f.name: None for f in schema.fields}
+def test_late_and_repeated_polls_equal_the_batch_result(spark):
+    landing, root = scratch_path(spark, "t-late"), scratch_path(spark, "t-late-out")
+    steps = [
+        [poll("a", 1, 10.0), poll("a", 3, 12.0), poll("b", 1, 5.0), poll(None, 1, 1.0)],
+        [poll("a", 2, 11.0), poll("b", 2, 6.0), poll(None, 2, 3.0)],               # a is late
+        [poll("b", 2, 6.5, "2024-01-01T00:00:01.000Z"), poll("a", 4, 13.0)],      # b is polled again
+        [poll("c", 5, 1.0), poll("c", 5, 2.0), poll("a", 5, 9.0), poll("b", 4, 7.0)],  # c twice at once
+    ]
+    seen = []
+    for step in steps:
+        land(spark, landing, step)
+        seen += step
+        jobs.run_market_refresh(spark, landing, PRICE_LANDING_SCHEMA, root)
+        bronze = spark.createDataFrame(seen, PRICE_LANDING_SCHEMA)
+        want = batch_series(bronze.withColumn("_ingested_at", F.current_timestamp()))
+        assert rows(jobs.clean_series(spark, root), *COLS) == rows(want, *COLS)
+        summary = mk.gold_price_summary(want).drop("_gold_processed_at")
+        got = jobs.summary_from_parts(jobs.latest_parts(spark, root))
+        assert rows(got.select(*summary.columns)) == rows(summary)
+        newest = [c for c in mk.LATEST_COLUMNS if c != "_ingested_at"]
+        assert rows(jobs.latest_prices(spark, root), *newest) == rows(mk.gold_latest_prices(want), *newest)
+    late = rows(jobs.late_rows(spark, root), "symbol", "_batch_id", "current_price")
+    assert late == [("a", 2, 11.0), ("b", 2, 6.5)]
 
-    def row(batch, price):
-        r = dict(base, id="a", symbol="a", name="A", current_price=price, _batch_id=batch)
-        return tuple(r[f.name] for f in schema.fields)
 
-    spark.createDataFrame([row(1, 10.0), row(3, 12.0)], schema).coalesce(1).write.json(landing)  # 2 rows, 1 file
-    jobs.run_movement(spark, landing, schema, f"{root}/t", f"{root}/c")
-    spark.createDataFrame([row(2, 11.0)], schema).write.mode("append").json(landing)
-    jobs.run_movement(spark, landing, schema, f"{root}/t", f"{root}/c")
-    out = rows(spark.read.parquet(f"{root}/t"), "_batch_id", "previous_price", "is_late")
-    assert out == [(1, None, False), (2, None, True), (3, 10.0, False)]
+def test_a_retried_micro_batch_gives_the_same_tables(spark):
+    root = scratch_path(spark, "t-retry")
+    first = spark.createDataFrame([poll("a", 1, 1.0), poll("b", 1, 2.0)], PRICE_LANDING_SCHEMA)
+    second = spark.createDataFrame([poll("a", 2, 3.0), poll("b", 1, 2.5)], PRICE_LANDING_SCHEMA)
+    stamp = lambda df: df.withColumn("_ingested_at", F.current_timestamp())
+    jobs.refresh_markets(stamp(first), 0, root)
+    jobs.refresh_markets(stamp(second), 1, root)
+    once = rows(jobs.clean_series(spark, root), *COLS), rows(jobs.latest_parts(spark, root))
+    jobs.refresh_markets(stamp(second), 1, root)
+    assert (rows(jobs.clean_series(spark, root), *COLS), rows(jobs.latest_parts(spark, root))) == once
 
 
-def test_gold_refresh_parts_equal_batch_summary(spark):
-    bronze = prices_raw(spark, SF_SMALL)
-    landing = scratch_path(spark, "t-gold-landing")
-    root = scratch_path(spark, "t-gold")
-    land_in_order(bronze.select(*[f.name for f in PRICE_LANDING_SCHEMA.fields]), "_batch_id", "symbol", landing)
-    parts = jobs.run_gold_refresh(spark, landing, PRICE_LANDING_SCHEMA, root, max_files_per_trigger=4)
-    got = jobs.summary_from_parts(jobs.latest_parts(spark, parts))
-    want = mk.gold_price_summary(mk.silver_prices(bronze)).drop("_gold_processed_at")
-    assert rows(got.select(*want.columns)) == rows(want)
-
-
-def test_chain_previous_pandas_logic():
-    import pandas as pd
-
-    from strata.streaming.movement_state import chain_previous
-    pdf = pd.DataFrame({"b": [5, 3, 4, 4, 2], "p": [50.0, 30.0, 40.0, 41.0, 20.0]})
-    out, lo, lv = chain_previous(pdf, "b", "p", "prev", 2, 19.0)
-    prev = [None if pd.isna(x) else float(x) for x in out["prev"]]
-    got = list(zip(out["b"], prev, out["is_late"]))
-    assert got == [(2, None, True), (3, 19.0, False), (4, 30.0, False), (4, None, True), (5, 40.0, False)]
-    assert (lo, lv) == (5, 50.0)
-    out, lo, lv = chain_previous(pd.DataFrame({"b": [1], "p": [1.5]}), "b", "p", "prev", None, None)
-    assert out["prev"].isna().all() and not out["is_late"].any() and (lo, lv) == (1, 1.5)
+def test_versions_without_success_are_not_read(spark):
+    root = scratch_path(spark, "t-partial")
+    jobs.refresh_markets(spark.createDataFrame([poll("a", 1, 1.0)], PRICE_LANDING_SCHEMA)
+                         .withColumn("_ingested_at", F.current_timestamp()), 0, root)
+    path, fs = jobs._fs(spark, f"{root}/silver/mb=7/part-0.parquet")
+    fs.create(path).close()  # a version that was being written
+    assert jobs.committed(spark, f"{root}/silver") == [0]
+    assert jobs.clean_series(spark, root).count() == 1
+
+
+def test_old_versions_are_compacted(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "FULL_EVERY", 2)
+    root = scratch_path(spark, "t-compact")
+    for i in range(6):
+        polls = [poll("a", i, float(i))] + ([poll("b", i, 1.0)] if i == 0 else [])
+        jobs.refresh_markets(spark.createDataFrame(polls, PRICE_LANDING_SCHEMA)
+                             .withColumn("_ingested_at", F.current_timestamp()), i, root)
+    assert jobs.committed(spark, f"{root}/parts") == [2, 3, 4, 5]
+    assert rows(jobs.latest_parts(spark, root), "symbol", "n") == [("a", 6), ("b", 1)]
+    assert jobs.clean_series(spark, root).count() == 7
+
+
+def test_documents_reach_both_tables_and_a_retry_replaces_them(spark):
+    landing, root = scratch_path(spark, "t-docs"), scratch_path(spark, "t-docs-out")
+    region = lambda i: {"regionid": i, "dnoregion": f"d{i}", "shortname": f"r{i}",
+                        "intensity": {"forecast": 10.0 * i, "index": "low"},
+                        "generationmix": [{"fuel": "wind", "perc": 40.0}, {"fuel": "gas", "perc": 60.0}]}
+    periods = [{"from": f"2024-01-01T0{h}:00Z", "to": f"2024-01-01T0{h}:30Z", "regions": [region(1), region(2)]}
+               for h in range(3)]
+    spark.createDataFrame([(json.dumps({"batch_id": 9, "data": periods}),)], "value string").write.text(landing)
+    path, fs = jobs._fs(spark, landing)
+    jobs.ingest_documents(spark, landing, root)
+    intensity, mix = jobs.document_tables(spark, root)
+    assert (intensity.count(), mix.count()) == (6, 12)
+    docs = spark.read.schema(DOCUMENT_SCHEMA).json(landing)
+    for name in ("carbon_intensity", "generation_mix"):
+        flat = jobs.flatten_regional_intensity if name == "carbon_intensity" else jobs.flatten_generation_mix
+        jobs._write_version(flat(docs), f"{root}/{name}", 0)  # the micro-batch again
+    assert tuple(t.count() for t in jobs.document_tables(spark, root)) == (6, 12)
