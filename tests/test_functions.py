@@ -21,6 +21,26 @@ def test_round_half_up_is_exact_on_halves(spark):
     assert [r[0] for r in df.select(round_half_up("x", 4)).collect()][2:] == [-42.5735, 0.0003, None]
 
 
+def test_round_once_large_values_and_nan(spark):
+    import math
+    df = spark.createDataFrame([(1.0049999996,), (1e13 + 0.125,), (1e300,), (float("nan"),), (float("inf"),)], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    assert got[:3] == [1.0, 1e13 + 0.13, 1e300] and math.isnan(got[3]) and got[4] == float("inf")
+    same = [r[0] for r in df.select(round_half_up("x", None)).collect()]
+    assert same[:3] == [1.0049999996, 1e13 + 0.125, 1e300]
+
+
+def test_exact_averages(spark):
+    import math
+
+    from strata.functions.numeric import exact_avg, exact_sum
+    df = spark.createDataFrame([("a", 0.1)] * 10 + [("b", 1e30), ("b", 1.0), ("c", float("nan")), ("c", 1.0), ("d", None)],
+                               "k string, x double")
+    got = {r.k: (r.s, r.a) for r in df.groupBy("k").agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).collect()}
+    assert got["a"] == (1.0, 0.1) and got["b"] == (1e30, 5e29) and got["d"] == (None, None)
+    assert math.isnan(got["c"][0]) and math.isnan(got["c"][1])
+
+
 def test_safe_divide_zero_and_negative_zero(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, -0.0), (1.0, None), (3.0, 2.0)], "a double, b double")
     assert [r[0] for r in df.select(safe_divide("a", "b")).collect()] == [None, None, None, 1.5]

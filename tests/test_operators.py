@@ -16,14 +16,14 @@ from strata.operators.movement import movement
 from strata.operators.quality import (
     QualityGateError, accepted_values, dq_report, gate, not_null, profile_non_numeric, reconcile_flag,
 )
-from strata.operators.rank import cell_key, global_rank
+from strata.operators.rank import global_rank, value_ranges
 from tests.conftest import rows
 
 
 # ---- rank --------------------------------------------------------------------
 @pytest.mark.parametrize("ascending", [False, True])
 @pytest.mark.parametrize("dense", [True, False])
-def test_cell_rank_equals_window_rank(spark, ascending, dense):
+def test_range_rank_equals_window_rank(spark, ascending, dense):
     rnd = random.Random(7)
     vals = [round(rnd.uniform(-50, 50), 1) for _ in range(400)]
     vals += [None] * 5 + [0.0] * 7 + [1e-300, -1e-300, 1e300, 3.0, 3.0, 3.0, 2.0 ** 10, 2.0 ** 10 - 1e-9]
@@ -35,23 +35,50 @@ def test_cell_rank_equals_window_rank(spark, ascending, dense):
     assert got == want
 
 
-def test_cell_key_is_monotone(spark):
-    xs = sorted({0.0, -0.0, 1.0, 2.0, 4.0, 3.999999999, 1e-320, -1e-320, 7.5, -7.5, 1e308, -1e308, 0.5, 0.25,
-                 float("inf"), float("-inf"), 123.456, 1.0 + 2 ** -52, 8.0 - 2 ** -50})
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    keys = [r[1] for r in df.select("x", cell_key(F.col("x"))).orderBy("x").collect()]
-    assert keys == sorted(keys)
+@pytest.mark.parametrize("kind", ["bigint", "date", "decimal(12,3)"])
+def test_range_rank_of_other_types(spark, kind):
+    base = spark.range(500).select("id", (F.col("id") * 37 % 101).alias("x"))
+    value = {"bigint": F.col("x") * 10 ** 15, "date": F.date_add(F.lit("2024-01-01"), F.col("x").cast("int")),
+             "decimal(12,3)": (F.col("x") / 7).cast("decimal(12,3)")}[kind]
+    df = base.select("id", F.when(F.col("id") % 50 != 0, value).alias("v"))
+    want = rows(df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))), "id", "r")
+    assert rows(global_rank(df, "v", "r"), "id", "r") == want
+
+
+def test_infinities_and_nan_rank_as_in_spark(spark):
+    vals = [1.0, float("inf"), float("-inf"), float("nan"), None, -0.0, 0.0, 5.0] * 2
+    df = spark.createDataFrame(list(enumerate(vals)), "id long, v double")
+    for asc in (False, True):
+        order = F.col("v").asc() if asc else F.col("v").desc()
+        want = rows(df.withColumn("r", F.rank().over(Window.orderBy(order))), "id", "r")
+        assert rows(global_rank(df, "v", "r", ascending=asc, dense=False), "id", "r") == want
 
 
-def test_cell_rank_moves_no_input_row_to_one_partition(spark):
+def test_rank_of_over_a_million_groups(spark):
+    n = 1_100_000
+    df = spark.range(n).select(F.col("id").alias("v"))
+    got = global_rank(df, "v", "r").agg(F.count_if(F.col("r") == n - F.col("v")).alias("right"), F.count("*").alias("n"))
+    assert tuple(got.first()) == (n, n)
+
+
+def test_no_range_of_narrow_or_dense_values_is_large(spark):
+    second = spark.range(200_000).select((F.lit(1_700_000_000) + F.col("id") * 157).alias("v"))  # a year of unix seconds
+    narrow = spark.range(200_000).select((F.lit(1_000_000) + F.col("id") / 50).alias("v"))
+    skewed = spark.range(200_000).select(F.exp(F.col("id") / 20_000).alias("v"))
+    for df in (second, narrow, skewed):
+        sizes = value_ranges(df, "v").groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[0] < 200_000 / 5 and sizes[1] > 100
+
+
+def test_building_a_rank_starts_no_job(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 37).cast("double").alias("v"))
-    out = global_rank(df, "v", "r", checkpoint=False)
+    out = global_rank(df, "v", "r")
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == list(before)
     out.write.format("noop").mode("overwrite").save()
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # The only single-partition exchange is the prefix sum over the per-cell
-    # table, which feeds a broadcast; the value rows are hash-partitioned by cell.
-    assert plan.count("SinglePartition") <= 1
-    assert "hashpartitioning(_pos" in plan
+    # the value rows are hash-partitioned by range
+    assert "hashpartitioning(_position" in plan
 
 
 # ---- cleaning ------------------------------------------------------------------
@@ -176,25 +203,6 @@ def test_chunked_lag_equals_window_lag(spark, width):
                                                                          "batch_price_change")
 
 
-def test_row_number_split_equals_window(spark):
-    rnd = random.Random(11)
-    data = [(rnd.randint(1, 4), round(rnd.uniform(0, 5), 1), i) for i in range(500)]
-    df = spark.createDataFrame(data, "b long, v double, e long")
-    from strata.operators.rank import row_number_split
-    w = Window.partitionBy("b").orderBy(F.col("v").desc(), F.col("e"))
-    want = rows(df.withColumn("r", F.row_number().over(w)), "e", "r")
-    assert rows(row_number_split(df, "b", "v", "r", tiebreak=["e"]), "e", "r") == want
-
-
-@pytest.mark.parametrize("mode", ["values", None])
-def test_cell_rank_checkpoint_modes(spark, mode):
-    rnd = random.Random(5)
-    df = spark.createDataFrame([(i, float(rnd.randint(-20, 20)) if i % 9 else None) for i in range(300)],
-                               "id long, v double")
-    want = rows(df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))), "id", "r")
-    assert rows(global_rank(df, "v", "r", checkpoint=mode), "id", "r") == want
-
-
 @pytest.mark.parametrize("width", [None, 2])
 def test_movement_same_batch_twice_uses_tiebreak(spark, width):
     # two snapshots of one coin in batch 2: the tiebreak (ingest order) decides, on every run
@@ -204,22 +212,52 @@ def test_movement_same_batch_twice_uses_tiebreak(spark, width):
     assert rows(out, "b", "t", "prev") == [(1, 0, None), (2, 1, 10.0), (2, 2, 11.0), (3, 0, 12.0)]
 
 
-def test_row_number_split_hot_value_and_nulls(spark):
-    rnd = random.Random(13)
-    data = [(1, 7.5 if rnd.random() < 0.5 else round(rnd.uniform(0, 9), 1), i) for i in range(600)]
-    data += [(2, None, 1000 + i) for i in range(5)] + [(2, 1.0, 2000), (None, 2.0, 3000), (None, 2.0, 3001)]
-    df = spark.createDataFrame(data, "b long, v double, e long")
-    from strata.operators.rank import row_number_split
-    for asc in (False, True):
-        order = F.col("v").asc() if asc else F.col("v").desc()
-        w = Window.partitionBy("b").orderBy(order, F.col("e"))
-        want = rows(df.withColumn("r", F.row_number().over(w)), "e", "r")
-        assert rows(row_number_split(df, "b", "v", "r", ascending=asc, tiebreak=["e"]), "e", "r") == want
-
-
-def test_single_partition_rank_checks_its_bound(spark):
-    from strata.operators.rank import rank_single_partition
-    df = spark.range(50).select(F.col("id"), (F.col("id") % 7).cast("double").alias("v"))
-    assert rank_single_partition(df, "v", "r", max_rows=50).count() == 50
-    with pytest.raises(Exception, match="cells strategy"):
-        rank_single_partition(df, "v", "r", max_rows=10).collect()
+def test_chunked_lag_of_a_null_key(spark):
+    data = [(None, b, float(b)) for b in range(10)] + [("a", 3, 1.0), ("a", 8, 2.0)]
+    df = spark.createDataFrame(data, "s string, b long, p double")
+    plain = movement(df, key="s", order="b", value="p", previous="prev")
+    chunked = movement(df, key="s", order="b", value="p", previous="prev", chunk_width=3)
+    assert rows(chunked, "s", "b", "prev") == rows(plain, "s", "b", "prev")
+
+
+def test_unrounded_movement_keeps_the_value(spark):
+    df = spark.createDataFrame([("a", 1, 1.25), ("a", 2, 1.3751)], "s string, b long, p double")
+    out = movement(df, key="s", order="b", value="p", previous="prev", change_digits=None, pct_digits=None)
+    got = rows(out, "batch_price_change", "batch_price_change_pct")[-1]
+    assert got == (1.3751 - 1.25, (1.3751 - 1.25) / 1.25 * 100)
+
+
+def test_first_nulls_are_counted_per_key(spark):
+    from strata.operators.quality import expected_first_nulls
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0)], "k string, v double")
+    assert tuple(expected_first_nulls(df, "k", "v").first()) == (2, 2, False)
+    good = spark.createDataFrame([("a", None), ("a", 2.0), ("b", None)], "k string, v double")
+    assert tuple(expected_first_nulls(good, "k", "v").first()) == (2, 2, True)
+
+
+def test_survivors_do_not_depend_on_the_partitioning(spark):
+    from strata.plans.carbon import dedupe_polls
+    data = [("a", "x", 1, i * 7 % 11) for i in range(11)] + [("b", "y", None, 3), ("b", "y", 2, 9), ("c", "z", None, 4)]
+    df = spark.createDataFrame(data, "k string, m string, o long, v long")
+    natural, polls = set(), set()
+    for n in (1, 2, 5, 11):
+        part = df.repartition(n)
+        natural.add(tuple(rows(dedupe_natural_key(part, ["k", "m"], ["k", "m"]))))
+        polls.add(tuple(rows(dedupe_polls(part, ["k"], "o"))))
+    assert natural == {(("a", "x", 1, 0), ("b", "y", None, 3), ("c", "z", None, 4))}
+    assert polls == {(("a", "x", 1, 0), ("b", "y", 2, 9), ("c", "z", None, 4))}
+    assert rows(dedupe_polls(df, ["k"], "o", keep="latest")) == [("a", "x", 1, 10), ("b", "y", 2, 9), ("c", "z", None, 4)]
+
+
+def test_totals_beyond_bigint(spark):
+    from strata.operators.aggregate import whole_total
+    df = spark.createDataFrame([(1, 5 * 10 ** 18), (2, 5 * 10 ** 18)], "id long, cap long")
+    assert int(df.agg(whole_total("cap")).first()[0]) == 10 ** 19
+    assert rows(share_of_total(df, "cap", "share"), "id", "share") == [(1, 50.0), (2, 50.0)]
+
+
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_latest_batch_by_partition(spark, partition):
+    df = spark.createDataFrame([(1, 10, "a"), (1, 11, "b"), (2, 20, "c"), (2, 25, "d"), (2, 25, "e")], "day int, b int, v string")
+    from strata.operators.latest import latest_batch
+    assert rows(latest_batch(df, "b", partition), "v") == [("d",), ("e",)]

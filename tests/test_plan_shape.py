@@ -32,7 +32,19 @@ def test_scan_reads_only_needed_columns(spark):
 
 def test_hospital_rank_is_range_split(spark):
     plan = executed(spark, "gold_hospital_summary")
-    assert "hashpartitioning(_pos" in plan
+    assert "hashpartitioning(_position" in plan
+
+
+def test_row_count_reads_no_columns_it_does_not_need(spark):
+    df = QUERIES["row_count"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "value" not in plan
+    assert "Scan ExistingRDD" not in plan
+
+
+def test_latest_filter_is_on_a_parquet_scan(spark):
+    plan = executed(spark, "gold_latest_prices")
+    assert "Scan parquet" in plan and "Scan ExistingRDD" not in plan
 
 
 def test_newest_period_filter_reaches_both_inputs_before_pivot(spark):

@@ -35,6 +35,32 @@ def test_publish_markets_and_readmissions(spark):
     assert spark.table("t_hc_condition_readmission_summary").count() > 0
 
 
+def test_newest_day_prunes_partitions(spark):
+    root = scratch_path(spark, "t-prune")
+    publish.publish_markets(spark, prices_raw(spark, SF_SMALL), root, prefix="t_prune", batch_seconds=False)
+    from strata.plans import markets as mk
+    run = [p for p in spark.table("t_prune_prices_clean").inputFiles()][0].split("/batch_day")[0]
+    latest = mk.gold_latest_prices(spark.read.parquet(run), partition="batch_day")
+    latest.write.format("noop").mode("overwrite").save()
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_day" in plan
+    want = mk.gold_latest_prices(spark.table("t_prune_prices_clean")).drop("_gold_processed_at")
+    assert sorted(map(tuple, latest.drop("_gold_processed_at").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_lost_values_fail_the_gate(spark):
+    root = scratch_path(spark, "t-losses")
+    bad = prices_raw(spark, SF_SMALL).withColumn("last_updated", F.lit("yesterday"))
+    with pytest.raises(QualityGateError, match="not_lost"):
+        publish.publish_markets(spark, bad, root, prefix="t_lost", batch_seconds=False)
+    assert not spark.catalog.tableExists("t_lost_prices_clean")
+    odd = hrrp_raw(spark, SF_SMALL).withColumn("number_of_discharges", F.lit("many"))
+    with pytest.raises(QualityGateError, match="not_lost"):
+        publish.publish_readmissions(spark, odd, root, ["k1"], prefix="t_lost_hc")
+    publish.publish_readmissions(spark, odd, root, ["k1"], prefix="t_lost_hc", allow_losses=True)
+    assert "_lost" not in spark.table("t_lost_hc_cms_hrrp_clean").columns
+
+
 def test_command_line_readmissions_and_carbon(spark, capsys):
     import json
 

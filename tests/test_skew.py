@@ -31,33 +31,3 @@ def test_hot_coin_lag_is_split_and_exact(spark):
         assert rows(chunked, "s", "b", "prev") == rows(plain, "s", "b", "prev")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-
-
-def test_hot_value_in_one_batch_is_split_and_exact(spark):
-    from pyspark.sql import Window
-
-    from strata.operators.rank import row_number_split
-    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
-             # at scale the row side of the final join is never broadcast; mirror that here
-             "spark.sql.autoBroadcastJoinThreshold": "-1",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k, None) for k in confs}
-    for k, v in confs.items():
-        spark.conf.set(k, v)
-    try:
-        df = spark.range(20000).select(
-            (F.col("id") % 3 == 0).cast("long").alias("b"),                  # two batches
-            F.when(F.col("id") % 5 < 3, F.lit(7.0)).otherwise((F.col("id") % 101).cast("double")).alias("v"),
-            (F.col("id") * 7919 % 20011).alias("e"))                        # unique tie-break
-        w = Window.partitionBy("b").orderBy(F.col("v").desc(), F.col("e"))
-        plain = df.withColumn("prev", F.row_number().over(w))
-        split = row_number_split(df, "b", "v", "prev", tiebreak=["e"])
-        assert _max_task_share(plain) >= 0.6          # the bigger batch is one task
-        assert _max_task_share(split) < 0.35
-        assert rows(split, "e", "prev") == rows(plain, "e", "prev")
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

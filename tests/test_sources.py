@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.sources import sinks
 from strata.sources.documents import (
@@ -25,10 +26,24 @@ def test_csv_multiline_quoted_cell_and_sentinels(spark):
         f.write('Facility ID,Facility Name,Number of Discharges\n'
                 '010001,"General\nHospital", N/A\n'
                 '010002,Other,Too Few to Report\n')
-    df = read_csv_strings(spark, path, ["Facility ID", "Facility Name", "Number of Discharges"])
+    df = read_csv_strings(spark, path, ["Facility ID", "Facility Name", "Number of Discharges"], multi_line=True)
     assert rows(df) == [("010001", "General\nHospital", " N/A"), ("010002", "Other", "Too Few to Report")]
 
 
+def test_csv_columns_are_taken_by_name(spark):
+    path = scratch_path(spark, "t-csv-names")
+    os.makedirs(_local(path))
+    with open(os.path.join(_local(path), "a.csv"), "w") as f:
+        f.write("State,Extra,Facility Name\nTX,1,General\n")
+    assert rows(read_csv_strings(spark, path, ["Facility Name", "State"])) == [("General", "TX")]
+    with pytest.raises(ValueError, match="lacks"):
+        read_csv_strings(spark, path, ["Facility Name", "County"])
+    with open(os.path.join(_local(path), "b.csv"), "w") as f:
+        f.write("Facility Name,Extra,State\nOther,2,NY\n")
+    with pytest.raises(Exception):  # noqa: B017  a file with another header does not load into the wrong columns
+        read_csv_strings(spark, path, ["Facility Name", "State"]).collect()
+
+
 def test_price_snapshot_missing_field_and_corrupt_record(spark):
     path = scratch_path(spark, "t-json")
     os.makedirs(_local(path))
@@ -115,12 +130,56 @@ def test_price_snapshot_file_is_a_json_array(spark):
         ("btc", 42000.5, 1, "2024-01-01T00:00:00.000Z"), ("eth", 2200.0, 2, None)]
 
 
-def test_overwrite_same_schema_moves_location(spark):
-    root = scratch_path(spark, "t-swap-same")
-    name = "t_swap_same"
-    sinks.overwrite(spark.createDataFrame([(1, "a")], "id int, v string"), name, root, fmt="parquet")
-    loc2 = sinks.overwrite(spark.createDataFrame([(2, "b"), (3, "c")], "id int, v string"), name, root,
-                           fmt="parquet")
-    assert rows(spark.table(name)) == [(2, "b"), (3, "c")]
-    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    assert detail["Location"].rstrip("/").endswith(loc2.rstrip("/").split("/")[-1])
+def test_refresh_keeps_descriptions_and_retires_versions(spark):
+    root, name = scratch_path(spark, "t-swap-same"), "t_swap_same"
+    first = spark.createDataFrame([(1, "it's a")], "id int, v string")
+    sinks.overwrite(first, name, root, fmt="parquet")
+    sinks.set_comments(spark, name, "What it's for", {"v": "the value's text"})
+    for k in range(3):
+        sinks.overwrite(first.withColumn("more", F.lit(k)), name, root, fmt="parquet", partition_by="more")
+    assert rows(spark.table(name)) == [(1, "it's a", 2)]
+    assert spark.catalog.getTable(name).description == "What it's for"
+    assert {c.name: c.description for c in spark.catalog.listColumns(name)}["v"] == "the value's text"
+    assert len([d for d in os.listdir(os.path.join(_local(root), name)) if d.startswith("v")]) == 2
+
+
+def test_a_failure_between_the_steps_leaves_the_old_table(spark, monkeypatch):
+    root, name = scratch_path(spark, "t-broken"), "t_broken"
+    df = spark.createDataFrame([(1,)], "id int")
+    sinks.overwrite(df, name, root, fmt="parquet")
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("stop")
+
+    monkeypatch.setattr(sinks, "point", fail)
+    with pytest.raises(RuntimeError):
+        sinks.overwrite(df.selectExpr("id + 1 as id"), name, root, fmt="parquet")
+    assert rows(spark.table(name)) == [(1,)]
+
+
+def test_table_audit(spark):
+    root = scratch_path(spark, "t-audit")
+    sinks.overwrite(spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string"), "t_audit_a", root, fmt="parquet")
+    sinks.set_comments(spark, "t_audit_a", "two rows")
+    got = rows(sinks.table_audit(spark, ["t_audit_a"]))
+    assert got == [("t_audit_a", 2, 2, "struct<id:int,v:string>", "two rows")]
+    assert "t_audit_a" in [r[0] for r in rows(sinks.table_audit(spark).select("table_name"))]
+
+
+def test_checkpoint_folder_must_be_set_on_a_cluster():
+    from strata.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
