@@ -85,3 +85,20 @@ def test_command_line_readmissions_and_carbon(spark, capsys):
     generation_raw(spark, SF_SMALL).write.parquet(g)
     main(["carbon", "--intensity", i, "--generation", g, "--out", out, "--prefix", "t_cli_en"])
     assert spark.table("t_cli_en_mart_peak_analysis").count() > 0
+
+
+def test_command_line_starts_from_json(spark):
+    from strata.__main__ import main
+    from strata.sources.documents import SNAPSHOT_SCHEMA
+    out, prices, docs = scratch_path(spark, "t-cli-json"), scratch_path(spark, "t-cli-p"), scratch_path(spark, "t-cli-d")
+    b = prices_raw(spark, SF_SMALL).filter("_batch_id <= 2").select(
+        *[f.name for f in SNAPSHOT_SCHEMA.fields], (F.col("_batch_id") * 86400).alias("_batch_id"))
+    b.coalesce(1).write.partitionBy("_batch_id").option("ignoreNullFields", "false").json(prices)
+    main(["markets", "--prices-json", prices, "--out", out, "--prefix", "t_json"])
+    assert spark.table("t_json_prices_clean").count() > 0
+    text = """{"batch_id": 1, "data": [{"from": "2024-01-01T00:00Z", "to": "2024-01-01T00:30Z", "regions": [
+      {"regionid": 3, "dnoregion": "d", "shortname": "r", "intensity": {"forecast": 90.0, "index": "low"},
+       "generationmix": [{"fuel": "wind", "perc": 60.0}, {"fuel": "gas", "perc": 40.0}]}]}]}"""
+    spark.createDataFrame([(text.replace("\n", " "),)], "value string").write.text(docs)
+    main(["carbon", "--documents", docs, "--out", out, "--prefix", "t_json_en"])
+    assert spark.table("t_json_en_mart_carbon_intensity").first()["renewable_pct"] == 60.0
