@@ -26,7 +26,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``store`` that nothing still to run reads."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words_of(text: bytes) -> list[bytes]:

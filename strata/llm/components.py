@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import store
+from strata.llm.common import discard, store
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v") \
             .unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        edges = store(small, "cc-round")
+        before, edges = edges, store(small, "cc-round")
+        discard(before)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == last:
             break

@@ -1,18 +1,19 @@
 """Exact n-gram Jaccard join: size-banded tiles with bitmap signatures.
 
 Every text is the set of hashes of its word shingles; texts with equal sets are
-one class. Two sets with a Jaccard similarity of at least t share one of the
-rarest n - ceil(t n) + 1 shingles of each (the prefix), for any fixed order of all
-shingles. The order is by a count sketch of the whole corpus, so frequent
-shingles stay out of the prefixes wherever a text has rarer ones.
-
-1. Blocks of texts send their prefix shingles to buckets and learn, one bit per
-   shingle, which occur in another block or twice in their own.
-2. Classes that hold a repeated prefix shingle are candidates: their sets are
+one class. Two sets of similarity t or more share at least ceil(t n) shingles of
+each, and so one of the first n - ceil(t n) + 1 shingles of each (the prefix) in
+any fixed order of all shingles. In the order used here, shingles of one class
+alone come first; a class with a whole prefix of them links nothing.
+
+1. Blocks of texts send their shingles (shortened hashes, as gaps) and classes to
+   buckets and learn, one bit each, which shingles another class may hold, and
+   which classes they stand for (the first block of a class does).
+2. Classes with a shared shingle in their prefix are candidates: their sets are
    stored with a bitmap signature.
-3. The candidates of a shingle are first compared with one of them (linear in the
-   group, so a group of near copies is joined without its pairs), twice with
-   different centres; linked classes become components.
+3. The candidates of a shingle are first compared with two of them (linear in the
+   group, so a group of near copies is joined without its pairs); linked classes
+   become components.
 4. What is left are pairs of one shingle in different components. They are
    compared completely: the classes are cut into bands by size (a link spans at
    most neighbouring bands) and hashed tiles of bounded size; in a pair of
@@ -36,6 +37,7 @@ from strata.llm.common import (
     LOWER,
     SubstringHash,
     batches,
+    discard,
     free_name,
     mix,
     n_partitions,
@@ -53,20 +55,21 @@ from strata.llm.components import connected_components
 WORDS = 5
 PERCENT = 80
 BLOCK_BYTES = 2 << 20
-SKETCH = 1 << 20  # counters of the sketch, whatever the corpus
-SIGNATURE = 256  # bits of the comparison in tiles; the stored signature grows with the set
+SIGNATURE = 1024  # bits of the comparison in tiles, at most; the stored signature grows with the set
 TILE = 512
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 
 ASKED = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()),
-                      T.StructField("keys", T.BinaryType()), T.StructField("many", T.BinaryType())])
+                      T.StructField("keys", T.BinaryType()), T.StructField("many", T.BinaryType()),
+                      T.StructField("classes", T.BinaryType())])
 REPLY = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()),
-                      T.StructField("shared", T.BinaryType())])
+                      T.StructField("shared", T.BinaryType()), T.StructField("owned", T.BinaryType())])
 CANDIDATES = T.StructType([
     T.StructField("class", T.LongType()), T.StructField("n", T.IntegerType()),
-    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("signature", T.BinaryType()),
+    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("small", T.BinaryType()),
+    T.StructField("signature", T.BinaryType()),
     T.StructField("shingles", T.BinaryType())])
 PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -107,17 +110,17 @@ class Shingles:
     def __getitem__(self, i: int) -> np.ndarray:
         return self.codes[self.starts[i]:self.starts[i] + self.sizes[i]]
 
-    def prefixes(self, sketch: np.ndarray, percent: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text, shingle) of the rarest shingles of the kept texts."""
+    def prefixes(self, shared: np.ndarray, percent: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, shingle) of the shared shingles in the prefixes of the kept texts."""
         use = keep[self.of]
-        codes, of = self.codes[use], self.of[use]
-        order = np.lexsort((codes, sketch[(codes >> np.uint64(44)).astype(np.int64)], of))
-        codes, of = codes[order], of[order]
+        codes, of, shared = self.codes[use], self.of[use], shared[use]
+        order = np.lexsort((codes, shared, of))  # unshared ones first
+        codes, of, shared = codes[order], of[order], shared[order]
         n = np.bincount(of, minlength=len(self.sizes))
         place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
         # overlap of at least percent of the union needs ceil(percent n / 100) shingles of this set
         size = n - -(-percent * n // 100) + 1
-        take = place < size[of]
+        take = shared & (place < size[of])
         return of[take], codes[take]
 
 
@@ -154,24 +157,20 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, words: int, block_bytes: int) -> DataFrame:
-    """Stored blocks of texts with their classes, and a share of the count sketch per task."""
+    """Stored blocks of texts with their classes."""
     schema = T.StructType([
         T.StructField("rows", T.ArrayType(T.LongType())), T.StructField("doc_ids", T.ArrayType(docs.schema[id_col].dataType)),
         T.StructField("n", T.ArrayType(T.LongType())), T.StructField("classes", T.ArrayType(T.LongType())),
-        T.StructField("sizes", T.BinaryType()), T.StructField("text", T.BinaryType()),
-        T.StructField("sketch", T.ArrayType(T.BinaryType()))])
+        T.StructField("sizes", T.BinaryType()), T.StructField("text", T.BinaryType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
-        sketch = np.zeros(SKETCH, np.uint32)
 
         def row(rows: list, ids: list, texts: list[bytes]) -> tuple:
             s = Shingles(texts, words)
-            np.add(sketch, np.bincount((s.codes >> np.uint64(44)).astype(np.int64), minlength=SKETCH)
-                   .astype(np.uint32), out=sketch)
             return (rows, ids, s.sizes.tolist(), s.classes.tolist(), pack(np.array([len(t) for t in texts], np.uint64)),
-                    pack_text(b"".join(texts)), None)
+                    pack_text(b"".join(texts)))
 
         rows, ids, texts, size = [], [], [], 0
         for batch in it:
@@ -185,73 +184,58 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, words: int, block_bytes
                 texts.append(text)
                 size += len(text) + 16
         if ids:
-            last = row(rows, ids, texts)
-            yield from batches(arrow, [(*last[:-1], [pack(x) for x in sketch.reshape(16, -1)])])
+            yield from batches(arrow, [row(rows, ids, texts)])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
     return store(rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), "shingle-blocks")
 
 
-def _sketch(blocks: DataFrame) -> np.ndarray:
-    """Sum of the sketches of all tasks: SKETCH counters in 16 parts."""
-    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-
-    def add(table: pa.Table) -> pa.Table:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        total = np.zeros(SKETCH // 16, np.uint32)
-        for x in table.column("counts").to_pylist():
-            y = unpack(x, np.uint32)
-            total = np.where(total + y < total, np.uint32(0xFFFFFFFF), total + y)  # counters stop at their end
-        return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([pack(total)], pa.binary())},
-                        schema=to_arrow_schema(schema))
-
-    parts = blocks.filter("sketch is not null").select(F.posexplode("sketch").alias("part", "counts")) \
-        .groupBy("part").applyInArrow(add, schema).collect()  # 16 rows
-    out = np.zeros((16, SKETCH // 16), np.uint32)
-    for r in parts:
-        out[r["part"]] = unpack(r["counts"], np.uint32)
-    return out.reshape(-1)
-
-
 def _block_texts(table: pa.Table | pa.RecordBatch) -> list[bytes]:
     sizes = unpack(table.column("sizes")[0].as_py(), np.uint64).astype(np.int64)
     raw, end = unpack_text(table.column("text")[0].as_py()), np.cumsum(sizes)
     return [raw[e - n:e] for e, n in zip(end.tolist(), sizes.tolist(), strict=True)]
 
 
-def _block_prefixes(table, words: int, percent: int, sketch: np.ndarray) -> tuple[Shingles, np.ndarray, np.ndarray]:
-    s = Shingles(_block_texts(table), words)
-    first = np.zeros(len(s.classes), bool)  # equal sets of a block take part once
+def _firsts(s: Shingles) -> np.ndarray:
+    """Texts with shingles that stand for their class within the block."""
+    first = np.zeros(len(s.classes), bool)
     first[np.unique(s.classes, return_index=True)[1]] = True
-    of, codes = s.prefixes(sketch, percent, first & (s.sizes > 0))
-    return s, of, codes
+    return first & (s.sizes > 0)
+
+
+def _block_classes(s: Shingles) -> np.ndarray:
+    """The distinct classes of a block's texts with shingles, as sorted unsigned numbers."""
+    return np.unique(s.classes[s.sizes > 0].view(np.uint64))
 
 
-def _width(buckets: int) -> int:
-    return -(-(1 << 64) // buckets)
+def _cuts(keys: np.ndarray, bits: int, buckets: int) -> list[int]:
+    """Where the buckets (equal ranges of the key space) begin in sorted keys."""
+    width = -(-(1 << bits) // buckets)
+    edges = np.array([min(k * width, (1 << bits) - 1) for k in range(1, buckets)], np.uint64)
+    return [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
 
 
-def _candidates(blocks: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """Stored classes that hold a prefix shingle of another class: (class, n, keys, signature, shingles)."""
-    sc = blocks.sparkSession.sparkContext
-    sketch = sc.broadcast(_sketch(blocks))
+def _candidates(blocks: DataFrame, words: int, percent: int, buckets: int, bits: int) -> DataFrame:
+    """Stored classes with a shared shingle in the prefix: (class, n, keys, small, signature, shingles)."""
     texts = blocks.select("block", "sizes", "text")
+    short = np.uint64(64 - bits)
 
     def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(ASKED)
-        edges = np.array([k * _width(buckets) for k in range(1, buckets)], np.uint64)
         for batch in it:
             for i in range(len(batch)):
                 one = batch.slice(i, 1)
-                _, _, codes = _block_prefixes(one, words, percent, sketch.value)
-                distinct, n = np.unique(codes, return_counts=True)
-                cut = [0, *np.searchsorted(distinct, edges).tolist(), len(distinct)]
+                s = Shingles(_block_texts(one), words)
+                distinct, n = np.unique(s.codes[_firsts(s)[s.of]] >> short, return_counts=True)
+                classes = _block_classes(s)
+                cut, by = _cuts(distinct, bits, buckets), _cuts(classes, 64, buckets)
                 block = one.column("block")[0].as_py()
                 yield from batches(arrow, [
-                    (block, k, pack_sorted(distinct[a:b]), np.packbits(n[a:b] > 1).tobytes())
-                    for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b])
+                    (block, k, pack_sorted(distinct[cut[k]:cut[k + 1]]), np.packbits(n[cut[k]:cut[k + 1]] > 1).tobytes(),
+                     pack_sorted(classes[by[k]:by[k + 1]]))
+                    for k in range(buckets) if cut[k] < cut[k + 1] or by[k] < by[k + 1]])
 
     def answer(table: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -262,61 +246,79 @@ def _candidates(blocks: DataFrame, words: int, percent: int, buckets: int) -> Da
         same[1:-1] = keys[by][1:] == keys[by][:-1]
         shared = np.empty(len(keys), bool)
         shared[by] = same[1:] | same[:-1]
-        rows, at = [], 0
-        for block, x, many in zip(table.column("block").to_pylist(), lists, table.column("many").to_pylist(),
-                                  strict=True):
+        blocks = table.column("block").to_pylist()
+        held = [unpack_sorted(x) for x in table.column("classes").to_pylist()]
+        classes, of = np.concatenate(held), np.repeat(np.array(blocks, np.int64), [len(x) for x in held])
+        order = np.lexsort((of, classes))
+        owned = np.zeros(len(classes), bool)
+        owned[order[np.flatnonzero(np.diff(classes[order], prepend=~classes[order][:1]))]] = True
+        rows, at, class_at = [], 0, 0
+        for block, x, many, c in zip(blocks, lists, table.column("many").to_pylist(), held, strict=True):
             own = np.unpackbits(np.frombuffer(many, np.uint8), count=len(x)).astype(bool)
-            rows.append((block, table.column("bucket")[0].as_py(),
-                         np.packbits(shared[at:at + len(x)] | own).tobytes()))
-            at += len(x)
+            rows.append((block, table.column("bucket")[0].as_py(), np.packbits(shared[at:at + len(x)] | own).tobytes(),
+                         np.packbits(owned[class_at:class_at + len(c)]).tobytes()))
+            at, class_at = at + len(x), class_at + len(c)
         return pa.Table.from_batches(batches(to_arrow_schema(REPLY), rows), schema=to_arrow_schema(REPLY))
 
     replies = texts.mapInArrow(ask, ASKED).groupBy("bucket").applyInArrow(answer, REPLY)
 
     def choose(block: pa.Table, replies: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
-        s, of, codes = _block_prefixes(block, words, percent, sketch.value)
-        distinct, back = np.unique(codes, return_inverse=True)
-        shared = np.zeros(len(distinct), bool)
-        edges = np.array([k * _width(buckets) for k in range(1, buckets)], np.uint64)
-        cut = [0, *np.searchsorted(distinct, edges).tolist(), len(distinct)]
+        s = Shingles(_block_texts(block), words)
+        first = _firsts(s)
+        distinct, classes = np.unique(s.codes[first[s.of]] >> short), _block_classes(s)
+        cut, by = _cuts(distinct, bits, buckets), _cuts(classes, 64, buckets)
+        shared, owned = np.zeros(len(distinct), bool), np.zeros(len(classes), bool)
         for r in replies.to_pylist():
             a, b = cut[r["bucket"]], cut[r["bucket"] + 1]
             shared[a:b] = np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=b - a).astype(bool)
-        use = shared[back] if len(back) else np.zeros(0, bool)
-        of, codes = of[use], codes[use]
+            a, b = by[r["bucket"]], by[r["bucket"] + 1]
+            owned[a:b] = np.unpackbits(np.frombuffer(r["owned"], np.uint8), count=b - a).astype(bool)
+        stands = first.copy()
+        stands[first] = owned[np.searchsorted(classes, s.classes[first].view(np.uint64))]
+        at = np.searchsorted(distinct, s.codes >> short)
+        hit = shared[np.minimum(at, max(len(distinct) - 1, 0))] if len(distinct) else np.zeros(len(s.codes), bool)
+        of, codes = s.prefixes(hit, percent, stands)
         edge = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
         rows = []
         for a, b in zip(edge[:-1], edge[1:], strict=True):
             i = int(of[a])
+            sig = signature(s[i], signature_bits(int(s.sizes[i])))
             rows.append((int(s.classes[i]), int(s.sizes[i]), codes[a:b].view(np.int64).tolist(),
-                         signature(s[i], signature_bits(int(s.sizes[i]))).tobytes(), pack_sorted(s[i])))
+                         fold(sig, SIGNATURE).tobytes(), sig.tobytes(), pack_sorted(s[i])))
         return pa.Table.from_batches(batches(to_arrow_schema(CANDIDATES), rows), schema=to_arrow_schema(CANDIDATES))
 
     return store(texts.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(choose, CANDIDATES),
                  "jaccard-candidates")
 
 
+def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (a, b) with columns of both classes, as ``<column>_a`` and ``<column>_b``."""
+    side = lambda x: sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by bit counts and then exact intersection of the sorted sets."""
-    side = lambda x: sets.select(
-        F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}"),
-        F.col("shingles").alias(f"c_{x}"))
+    """The pairs (a, b) that link: by the bit counts of their signatures first, and
+    what these leave by exact intersection of the sorted sets."""
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        arrow = to_arrow_schema(PAIRS)
+    def bound(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            rows = []
-            for r in zip(*(batch.column(c) for c in ("a", "b", "n_a", "n_b", "s_a", "s_b", "c_a", "c_b")), strict=True):
-                a, b, n_a, n_b, s_a, s_b = (x.as_py() for x in r[:6])
-                if 100 * min(n_a, n_b) >= percent * max(n_a, n_b) and may_link(
-                        np.frombuffer(s_a, np.uint64), n_a, np.frombuffer(s_b, np.uint64), n_b, percent) and links(
-                        unpack_sorted(r[6].as_py()), unpack_sorted(r[7].as_py()), percent):
-                    rows.append((a, b))
-            yield from batches(arrow, rows)
+            n_a, n_b = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            keep = [100 * min(x, y) >= percent * max(x, y) and may_link(
+                np.frombuffer(s.as_py(), np.uint64), x, np.frombuffer(t.as_py(), np.uint64), y, percent)
+                for x, y, s, t in zip(n_a, n_b, batch.column("signature_a"), batch.column("signature_b"), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return store(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, PAIRS), "jaccard-links")
+    def exact(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            keep = [links(unpack_sorted(x.as_py()), unpack_sorted(y.as_py()), percent)
+                    for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = store(_both(pairs, sets, ["n", "signature"]).select("a", "b", "n_a", "n_b", "signature_a", "signature_b")
+                 .mapInArrow(bound, PAIRS), "jaccard-bounded")
+    return store(_both(left, sets, ["shingles"]).mapInArrow(exact, PAIRS), "jaccard-links")
 
 
 def _stars(entries: DataFrame, salt: int) -> DataFrame:
@@ -339,7 +341,7 @@ def _open(entries: DataFrame, components: DataFrame) -> DataFrame:
 
 def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of one shingle and different components that sizes and signatures leave, compared tile by tile."""
-    small = sets.select("class", "signature")
+    small = sets.select("class", "small")
     # A link spans sizes of ratio percent / 100 at most, so at most two neighbouring bands.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
     entries = entries.join(small, "class").withColumn("band", band)
@@ -363,12 +365,14 @@ def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         (F.col("band") - 1).alias("cell_band"))))
     empty = F.array().cast("array<struct<up:int,t:int,u:int,side:int,cell_band:int>>")
     cells = entries.withColumn("cell", F.explode(F.concat(own, F.coalesce(up, empty), F.coalesce(down, empty)))).select(
-        "key", "cell.*", "class", "component", "n", "signature")
+        "key", "cell.*", "class", "component", "n", "small")
 
     def compare(table: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
         cls, comp, n, side = (table.column(c).to_numpy() for c in ("class", "component", "n", "side"))
-        sig = np.stack([fold(np.frombuffer(x, np.uint64), SIGNATURE) for x in table.column("signature").to_pylist()])
+        sigs = [np.frombuffer(x, np.uint64) for x in table.column("small").to_pylist()]
+        width = 64 * min(map(len, sigs))
+        sig = np.stack([fold(x, width) for x in sigs])
         up = table.column("up")[0].as_py()
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if up else left
@@ -394,19 +398,20 @@ def classes_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """(rows: _row, doc_id, n_shingles, class) and (components: class, component) of the linked classes."""
     buckets = buckets or max(64, n_partitions(docs.sparkSession))
     blocks = _blocks(docs, id_col, text_col, words, block_bytes)
-    found = _candidates(blocks, words, percent, buckets)
-    rows = blocks.select(F.explode(F.arrays_zip("rows", "doc_ids", "n", "classes")).alias("r")).select(
+    rows = store(blocks.select(F.explode(F.arrays_zip("rows", "doc_ids", "n", "classes")).alias("r")).select(
         F.col("r.rows").alias("_row"), F.col("r.doc_ids").alias("doc_id"), F.col("r.n").alias("n_shingles"),
-        F.col("r.classes").alias("class"))
-    # One row per class; equal sets of different blocks hold the same columns.
-    sets = store(found.groupBy("class").agg(*(F.first(c).alias(c) for c in ("n", "signature", "shingles"))),
-                 "jaccard-sets")
-    entries = found.select("class", "n", F.explode("keys").alias("key")).distinct()
-    entries = store(entries, "jaccard-entries")
-    linked = _verify(_stars(entries, 1), sets, percent)
-    components = connected_components(linked)
-    more = _stars(_open(entries, components), 2).join(linked, ["a", "b"], "left_anti")
-    linked = store(linked.unionByName(_verify(more, sets, percent)), "jaccard-links")
+        F.col("r.classes").alias("class")), "jaccard-rows")
+    # A shortened hash keeps chance meetings rare (one in 4096); they only make candidates.
+    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    bits = min(64, max(32, math.ceil(math.log2(total + 1)) + 12))
+    found = _candidates(blocks, words, percent, buckets, bits)
+    discard(blocks)
+    sets = found  # one row per class, as one block stands for it
+    entries = found.select("class", "n", F.explode("keys").alias("key"))
+    # A shingle of one class alone (its copies met) links nothing.
+    several = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
+    entries = store(entries.join(several, "key"), "jaccard-entries")
+    linked = _verify(_stars(entries, 1).unionByName(_stars(entries, 2)).distinct(), sets, percent)
     components = connected_components(linked)
     rest = _tile_pairs(_open(entries, components), sets, percent)
     linked = store(linked.unionByName(_verify(rest, sets, percent)), "jaccard-links")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import batches, free_name, n_partitions, store, text_bytes, words_of
+from strata.llm.common import batches, discard, free_name, n_partitions, store, text_bytes, words_of
 
 MIN_WORDS = 50
 
@@ -94,13 +94,17 @@ def _ranked(pairs: DataFrame, label: str) -> DataFrame:
 def later_copies(rows: DataFrame, min_words: int) -> DataFrame:
     """Lines to delete, from (_row, doc_id, text): one row per text, (_row, spans) with [start, end) line spans."""
     lines = store(_split(rows, min_words), "lines")
+    done = [lines]
     longest = lines.agg(F.max(F.greatest("fwd", "back"))).first()[0] or 0
 
     def ranks(pairs: DataFrame, k: int) -> DataFrame:
         """(_row, line, rank) of the positions whose pair occurs at least twice."""
         repeated = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("a", "b")
         names = store(_ranked(repeated, f"line-order-{k}"), f"line-names-{k}")
-        return store(pairs.join(names, ["a", "b"]).select("_row", "line", "rank"), f"line-ranks-{k}")
+        level = store(pairs.join(names, ["a", "b"]).select("_row", "line", "rank"), f"line-ranks-{k}")
+        done.append(level)
+        discard(names)
+        return level
 
     order = rows.select("_row", "doc_id")
     wanted = lines.select("_row", "line", F.col("fwd").alias("n")).unionByName(
@@ -134,6 +138,7 @@ def later_copies(rows: DataFrame, min_words: int) -> DataFrame:
     later = store(found.join(first, ["n", "a", "b"]).filter(F.col("at") > F.col("_first")).select(
         F.col("at._row").alias("_row"), F.col("at.line").alias("start"),
         (F.col("at.line") + F.col("n")).alias("end")), "line-later")
+    discard(*done, wanted, found, first)
     return later.groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 

@@ -167,7 +167,7 @@ def test_tiles_find_links_between_components(spark):
         codes = np.unique(codes)
         sets[k] = codes
         rows.append((k, len(codes), [1], bytearray(jaccard_join.signature(codes, 256).tobytes())))
-    found = spark.createDataFrame(rows, "class long, n int, keys array<long>, signature binary")
+    found = spark.createDataFrame(rows, "class long, n int, keys array<long>, small binary")
     entries = found.selectExpr("explode(keys) as key", "class", "n", "class as component")
     got = {tuple(r) for r in jaccard_join._tile_pairs(entries, found, 80).collect()}
     want = {(a, b) for a in sets for b in sets if a < b and jaccard_join.links(sets[a], sets[b], 80)}
