@@ -15,6 +15,7 @@ MODULES = {
     "op8_counterfactual_toxicity": "toxicity",
     "op9_suffix_automaton_decontamination": "decontaminate",
     "op10_size_banded_jaccard_join": "jaccard_join",
+    "op11_pointer_jumping_manifest": "merkle",
 }
 
 QUERIES = {}
