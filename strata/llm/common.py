@@ -8,11 +8,12 @@ lineage is cut and a lost executor costs no recomputation of earlier steps.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.files import scratch_path
@@ -59,6 +60,32 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def by_key(rows: DataFrame, table: DataFrame, key: list[str], weight: str, share: int = 4096) -> DataFrame:
+    """Left join of ``rows`` with a table of one row per key, null-safe, without a hot key in one task.
+
+    Keys that hold more than one part in ``share`` of all ``weight`` (rows per key) are fewer than ``share``:
+    they are broadcast, and their rows are salted in the shuffled join with the rest. The table is read
+    three times, so it should be a stored one.
+    """
+    cols = [c for c in table.columns if c not in key]
+    total = table.agg(F.sum(weight)).scalar()
+    heavy = table.withColumn("_total", total).filter(F.col(weight) * share > F.col("_total"))
+    light = table.withColumn("_total", total).filter(F.col(weight) * share <= F.col("_total"))
+
+    def named(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{prefix}k_{c}") for c in key], *[F.col(c).alias(f"{prefix}v_{c}") for c in cols])
+
+    def same(prefix: str) -> Column:
+        on = [F.col(c).eqNullSafe(F.col(f"{prefix}k_{c}")) for c in key]
+        return reduce(Column.__and__, on)
+
+    first = rows.join(F.broadcast(named(heavy, "_h")), same("_h"), "left")
+    salt = F.when(F.col(f"_hv_{weight}").isNotNull(), 1 + F.monotonically_increasing_id()).otherwise(0)
+    light = named(light, "_l").withColumn("_l_salt", F.lit(0).cast("long"))
+    both = first.withColumn("_salt", salt).join(light, same("_l") & (F.col("_salt") == F.col("_l_salt")), "left")
+    return both.select(*rows.columns, *[F.coalesce(f"_hv_{c}", f"_lv_{c}").alias(c) for c in cols])
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
