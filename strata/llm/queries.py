@@ -16,6 +16,7 @@ MODULES = {
     "op9_suffix_automaton_decontamination": "decontaminate",
     "op10_size_banded_jaccard_join": "jaccard_join",
     "op11_pointer_jumping_manifest": "merkle",
+    "op12_cross_polytope_near_dedup": "embedding_dedup",
     "op13_survivor_coalescence_repair": "convo_repair",
 }
 
