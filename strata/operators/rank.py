@@ -1,81 +1,77 @@
 """Global ranks (``rank`` / ``dense_rank`` over the whole table) without a single-task window.
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row to one task.
-Here the ranking is split into ranges of the distinct values themselves:
+Here the distinct values are ranked, range by range:
 
 1. collapse the input to its distinct values with their row counts (an
    aggregate with map-side combine, so a value held by a third of all rows is a
    single row from here on);
-2. cut the distinct values at their own quantiles (``percentile_approx`` as a
-   scalar subquery: evaluated once per query, never collected by user code), so
-   every range holds about the same number of values whatever their distribution;
-3. rank inside each range with a window partitioned by range;
-4. add the number of distinct values (dense rank) or rows (rank) of all better
-   ranges - one row per range, so the prefix sum and the broadcast are bounded by
-   ``ranges``;
+2. shuffle them by range and store them once with the number of their
+   partition: ranges follow the values' own distribution, and their number follows
+   the data (``spark.sql.shuffle.partitions``, coalesced by AQE to the advisory size);
+3. number them inside each range with one window;
+4. add the values and rows of all lower ranges, from a table of one row
+   per range;
 5. join the rank back on the value (null-safe; AQE broadcasts it when small and
    splits skewed partitions when not).
 
-One form serves all sizes and nothing runs while the query is built. The input
-is read twice; a caller with a costly input stores it first, as the publishers
-do. Nulls are one extra value: first for ascending and last for descending
-order, as Spark orders them by default; NaN is above every number.
+One form serves all sizes. Both directions, dense or not, come from the same pass: the
+descending rank is the ascending one counted from the total. The input is read
+twice, the distinct values are computed once; a caller with a costly input stores it first
+(``sources.files.stored``), as the serving tables do. Nulls are one extra value: first for
+ascending and last for descending order, as Spark orders them by default; NaN is above
+every number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+from strata.sources.files import stored
 
 
-def _ordered(c: Column, ascending: bool) -> Column:
-    return c.asc() if ascending else c.desc()
+def value_ranks(df: DataFrame, value: str, ranks: dict[str, tuple[bool, bool]]) -> DataFrame:
+    """Distinct values of ``value`` (including null) with global ranks (bigint): column -> (ascending, dense).
 
+    Runs one job, which stores the distinct values with their ranges.
+    """
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
+    values = stored(counted.repartitionByRange(value).withColumn("_range", F.spark_partition_id()), "rank-values")
 
-def value_ranges(values: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
-    """Add ``_range`` to distinct values: 0 for null, else 1 + the number of cut points below the value."""
-    shares = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
-    cuts = values.agg(F.percentile_approx(value, shares, F.lit(20 * ranges)).alias("_cuts")).scalar()
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    return values.withColumn("_cuts", cuts).withColumn(
-        "_range", F.when(F.col(value).isNull(), F.lit(0)).otherwise(below + 1)).drop("_cuts")
+    lower = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sizes = values.groupBy("_range").agg(F.count(F.lit(1)).alias("_n_values"), F.sum("_rows").alias("_n_rows"))
+    offsets = sizes.select(
+        "_range",
+        F.coalesce(F.sum("_n_values").over(lower), F.lit(0)).alias("_values_below"),
+        F.coalesce(F.sum("_n_rows").over(lower), F.lit(0)).alias("_rows_below"),
+        F.sum("_n_values").over(whole).alias("_all_values"), F.sum("_n_rows").over(whole).alias("_all_rows"))
 
+    inside = Window.partitionBy("_range").orderBy(F.col(value).asc())
+    placed = values.withColumns({
+        "_at": F.row_number().over(inside),
+        "_upto": F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    }).join(F.broadcast(offsets), "_range")
+    nth, upto = F.col("_values_below") + F.col("_at"), F.col("_rows_below") + F.col("_upto")
+    forms = {(True, True): nth, (False, True): F.col("_all_values") - nth + 1,
+             (True, False): upto - F.col("_rows") + 1, (False, False): F.col("_all_rows") - upto + 1}
+    return placed.select(value, *[forms[form].cast("long").alias(out) for out, form in ranks.items()])
 
-def value_ranks(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                ranges: int = RANGES) -> DataFrame:
-    """Distinct values of ``value`` (including null) with their global rank (bigint) in ``out``."""
-    values = value_ranges(df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")), value, ranges)
-    position = F.col("_range") if ascending else -F.col("_range")
-    values = values.withColumn("_position", position)
 
-    in_range = Window.partitionBy("_position").orderBy(_ordered(F.col(value), ascending))
-    if dense:
-        local = F.row_number().over(in_range).cast("long")
-    else:
-        before = in_range.rowsBetween(Window.unboundedPreceding, -1)
-        local = F.coalesce(F.sum("_rows").over(before), F.lit(0)) + F.lit(1)
-
-    size = F.count(F.lit(1)) if dense else F.sum("_rows")
-    earlier = Window.orderBy("_position").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = values.groupBy("_position").agg(size.alias("_size")).select(
-        "_position", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-
-    return (values.withColumn("_local", local).join(F.broadcast(offsets), "_position")
-            .select(value, (F.col("_offset") + F.col("_local")).alias(out)))
+def global_ranks(df: DataFrame, value: str, ranks: dict[str, tuple[bool, bool]]) -> DataFrame:
+    """Add several ranks of one column over the whole DataFrame: column -> (ascending, dense)."""
+    found = value_ranks(df, value, ranks)
+    return (df.alias("l")
+            .join(found.alias("r"), F.col(f"l.{value}").eqNullSafe(F.col(f"r.{value}")), "left")
+            .select(*[F.col(f"l.{c}") for c in df.columns], *[F.col(f"r.{c}") for c in ranks]))
 
 
-def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True,
-                ranges: int = RANGES) -> DataFrame:
+def global_rank(df: DataFrame, value: str, out: str, ascending: bool = False, dense: bool = True) -> DataFrame:
     """Add ``out`` (bigint) = (dense_)rank of ``value`` over the whole DataFrame."""
-    ranks = value_ranks(df, value, out, ascending, dense, ranges)
-    cols = [F.col(f"l.{c}") for c in df.columns]
-    return (df.alias("l")
-            .join(ranks.alias("r"), F.col(f"l.{value}").eqNullSafe(F.col(f"r.{value}")), "left")
-            .select(*cols, F.col(f"r.{out}")))
+    return global_ranks(df, value, {out: (ascending, dense)})
 
 
-def dense_rank_desc(df: DataFrame, value: str, out: str, ranges: int = RANGES) -> DataFrame:
+def dense_rank_desc(df: DataFrame, value: str, out: str) -> DataFrame:
     """Dense rank, largest value first, nulls last."""
-    return global_rank(df, value, out, ascending=False, dense=True, ranges=ranges)
+    return global_rank(df, value, out, ascending=False, dense=True)

@@ -20,7 +20,8 @@ from strata.functions.parse import parse_period
 from strata.operators.aggregate import conditional_sum_pivot, most_common
 from strata.operators.latest import latest_batch
 from strata.operators.quality import Rule, accepted_values, not_null
-from strata.operators.rank import global_rank
+from strata.operators.rank import global_ranks
+from strata.sources.files import stored
 
 # Output columns of the pivot, in published order, as
 # (column, compared column, compared value).
@@ -202,9 +203,9 @@ def mart_regional_comparison(features: DataFrame) -> DataFrame:
 
 
 def rank_both_ways(summary: DataFrame, value: str = "avg_intensity") -> DataFrame:
-    """Rank ascending and descending; the published ranks are ints."""
-    s = global_rank(summary, value, "cleanest_rank", ascending=True, dense=False)
-    s = global_rank(s, value, "dirtiest_rank", ascending=False, dense=False)
+    """Rank ascending and descending in one pass; the published ranks are ints. The summary is stored first."""
+    s = global_ranks(stored(summary, "regional-summary"), value,
+                     {"cleanest_rank": (True, False), "dirtiest_rank": (False, False)})
     return s.withColumns({c: F.col(c).cast("int") for c in ("cleanest_rank", "dirtiest_rank")})
 
 

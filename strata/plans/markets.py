@@ -17,6 +17,7 @@ from strata.operators.aggregate import count_when, share_of_total
 from strata.operators.latest import latest_batch
 from strata.operators.movement import movement
 from strata.operators.rank import dense_rank_desc
+from strata.sources.files import stored
 from strata.sources.sinks import stamp_processed
 
 # Rounding of the published clean table (column -> fraction digits).
@@ -90,7 +91,7 @@ def gold_price_summary(silver: DataFrame, exclude_first: bool = False) -> DataFr
         count_when(direction == "FLAT").alias("flat_count"),
         count_when(F.col("is_volatile")).alias("volatile_batches"),
     )
-    ranked = dense_rank_desc(summary, "price_range", "volatility_rank")
+    ranked = dense_rank_desc(stored(summary, "price-summary"), "price_range", "volatility_rank")
     ranked = ranked.withColumns({"volatility_rank": F.col("volatility_rank").cast("int"),
                                  "overall_direction": overall_direction("up_count", "down_count")})
     return stamp_processed(ranked, "_gold_processed_at")

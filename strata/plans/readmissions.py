@@ -18,6 +18,7 @@ from strata.operators.clean import (
     rename_columns, snake_case_names, trim_columns, upper_trim_columns,
 )
 from strata.operators.rank import dense_rank_desc
+from strata.sources.files import stored
 from strata.sources.sinks import stamp_processed
 
 # Header of the published file, in file order.
@@ -87,8 +88,8 @@ def _avg(c: str, digits: int):
 
 
 def _published_rank(g: DataFrame, value: str, out: str) -> DataFrame:
-    """Dense rank, largest first; the published ranks are ints."""
-    return dense_rank_desc(g, value, out).withColumn(out, F.col(out).cast("int"))
+    """Dense rank, largest first; the published ranks are ints. The summary is stored, then ranked."""
+    return dense_rank_desc(stored(g, "readmission-summary"), value, out).withColumn(out, F.col(out).cast("int"))
 
 
 def gold_hospital_summary(silver: DataFrame, by_id: bool = False) -> DataFrame:

@@ -16,6 +16,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/strata-scratch/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and return the stored table, whatever reads it how often."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_csv_strings(spark: SparkSession, path: str, columns, multi_line: bool = False) -> DataFrame:
     """CSV with a header row, every column read as text so that sentinels such
     as ``Too Few to Report`` or a leading-zero id survive; types come later.

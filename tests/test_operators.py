@@ -16,7 +16,7 @@ from strata.operators.movement import movement
 from strata.operators.quality import (
     QualityGateError, accepted_values, dq_report, gate, not_null, profile_non_numeric, reconcile_flag,
 )
-from strata.operators.rank import global_rank, value_ranges
+from strata.operators.rank import global_rank, global_ranks, value_ranks
 from tests.conftest import rows
 
 
@@ -61,24 +61,38 @@ def test_rank_of_over_a_million_groups(spark):
     assert tuple(got.first()) == (n, n)
 
 
-def test_no_range_of_narrow_or_dense_values_is_large(spark):
-    second = spark.range(200_000).select((F.lit(1_700_000_000) + F.col("id") * 157).alias("v"))  # a year of unix seconds
-    narrow = spark.range(200_000).select((F.lit(1_000_000) + F.col("id") / 50).alias("v"))
-    skewed = spark.range(200_000).select(F.exp(F.col("id") / 20_000).alias("v"))
-    for df in (second, narrow, skewed):
-        sizes = value_ranges(df, "v").groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
-        assert sizes[0] < 200_000 / 5 and sizes[1] > 100
-
-
-def test_building_a_rank_starts_no_job(spark):
-    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
-    df = spark.range(1000).select(F.col("id"), (F.col("id") % 37).cast("double").alias("v"))
-    out = global_rank(df, "v", "r")
-    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == list(before)
-    out.write.format("noop").mode("overwrite").save()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # the value rows are hash-partitioned by range
-    assert "hashpartitioning(_position" in plan
+def test_ranks_in_both_directions_come_from_one_pass(spark):
+    vals = [float(i * i % 97) for i in range(300)] + [None] * 4 + [5.0] * 30
+    df = spark.createDataFrame(list(enumerate(vals)), "id long, v double")
+    forms = {"a": (True, False), "b": (False, False), "c": (True, True), "d": (False, True)}
+    want = df
+    for out, (asc, dense) in forms.items():
+        fn = F.dense_rank() if dense else F.rank()
+        want = want.withColumn(out, fn.over(Window.orderBy(F.col("v").asc() if asc else F.col("v").desc())))
+    got = global_ranks(df, "v", forms)
+    assert rows(got, "id", *forms) == rows(want, "id", *forms)
+
+
+def test_values_are_split_into_even_ranges_and_ranked_there(spark, tmp_path):
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for value in (F.lit(1_700_000_000) + F.col("id") * 157, F.exp(F.col("id") / 20_000)):
+            df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(value).alias("v"))
+            df.write.mode("overwrite").parquet(f"{tmp_path}/v")
+            out = global_rank(spark.read.parquet(f"{tmp_path}/v"), "v", "r")
+            ranked = value_ranks(spark.read.parquet(f"{tmp_path}/v"), "v", {"r": (False, True)})
+            ranges = ranked.groupBy((F.col("r") / 40_000).cast("int")).count()
+            assert ranges.agg(F.max("count")).first()[0] <= 40_000
+            out.write.format("noop").mode("overwrite").save()
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(_range" in plan       # numbered inside ranges
+            assert "lambda" not in plan                    # nothing is compared with cut points, row by row
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 # ---- cleaning ------------------------------------------------------------------
