@@ -17,8 +17,10 @@ from strata.sources.documents import SNAPSHOT_SCHEMA
 from strata.sources.files import scratch_path
 from strata.sources.testdata import generation_raw, prices_raw
 from strata.streaming import jobs
+from strata.streaming.market import Market, run_market_refresh
 
 CHUNKS = 3
+LATENESS = 2  # batch ids a poll may lag behind and still be placed from the state
 PRICE_LANDING_SCHEMA = T.StructType(SNAPSHOT_SCHEMA.fields + [jobs.BATCH_FIELD])
 GENERATION_LANDING_SCHEMA = T.StructType([
     T.StructField("region_id", T.LongType()),
@@ -69,14 +71,14 @@ def q_stream_bronze_append(spark, sf_dir):
     root = scratch_path(spark, "stream-bronze")
     jobs.bronze_append(spark, landing, PRICE_LANDING_SCHEMA, f"{root}/table", f"{root}/_checkpoint",
                        max_files_per_trigger=8)
-    return spark.read.parquet(f"{root}/table")
+    return jobs.bronze_rows(spark, f"{root}/table")
 
 
-def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+def _refreshed(spark: SparkSession, sf_dir: str, serving: bool = True) -> Market:
     root = scratch_path(spark, "stream-markets")
-    jobs.run_market_refresh(spark, _prices_landing(spark, sf_dir), PRICE_LANDING_SCHEMA, root,
-                            max_files_per_trigger=8, chunk_width=CHUNK_WIDTH)
-    return root
+    stream = jobs.read_landing_json(spark, _prices_landing(spark, sf_dir), PRICE_LANDING_SCHEMA, 8)
+    run_market_refresh(spark, stream, root, lateness=LATENESS, chunk_width=CHUNK_WIDTH, serving=serving)
+    return Market(spark, root)
 
 
 @register("stream_movement", with_ctes(*SILVER_CTES, select="""
@@ -84,8 +86,8 @@ select symbol, name, _batch_id, current_price, previous_price, batch_price_chang
        price_direction, is_volatile
 from silver"""))
 def q_stream_movement(spark, sf_dir):
-    """Previous price chained across micro-batches through one state row per coin."""
-    return jobs.clean_series(spark, _refreshed(spark, sf_dir)).select(
+    """Previous price chained across micro-batches by keyed state; the series is the log of signed rows, netted."""
+    return _refreshed(spark, sf_dir, serving=False).clean_series().select(
         "symbol", "name", "_batch_id", "current_price", "previous_price", "batch_price_change",
         "batch_price_change_pct", "price_direction", "is_volatile")
 
@@ -96,20 +98,20 @@ select *, cast(dense_rank() over (order by price_range desc nulls last) as integ
             else 'NEUTRAL' end as overall_direction
 from s"""))
 def q_stream_gold_refresh(spark, sf_dir):
-    """Per-coin summary folded incrementally per micro-batch (foreachBatch)."""
-    return jobs.summary_from_parts(jobs.latest_parts(spark, _refreshed(spark, sf_dir)))
+    """Per-coin summary folded from signed rows per micro-batch; the rank is read from the stored tree of counts."""
+    return _refreshed(spark, sf_dir).price_summary()
 
 
 @register("stream_latest_prices", with_ctes(*SILVER_CTES, select=LATEST_SQL))
 def q_stream_latest_prices(spark, sf_dir):
     """Newest batch, refreshed per micro-batch."""
-    return jobs.latest_prices(spark, _refreshed(spark, sf_dir))
+    return _refreshed(spark, sf_dir).latest_prices()
 
 
 @register("stream_market_dominance", with_ctes(*SILVER_CTES, ("latest", LATEST_SQL), select=DOMINANCE_SQL))
 def q_stream_market_dominance(spark, sf_dir):
     """Market-cap shares of the newest batch, refreshed per micro-batch."""
-    return markets.gold_market_dominance(jobs.latest_prices(spark, _refreshed(spark, sf_dir)))
+    return markets.gold_market_dominance(_refreshed(spark, sf_dir).latest_prices())
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and return the stored table, whatever reads it how often."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing still to run reads."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns, multi_line: bool = False) -> DataFrame:

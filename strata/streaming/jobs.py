@@ -1,311 +1,155 @@
-"""Structured Streaming jobs: bronze ingest, incremental movement and serving tables,
-document ingest, duplicate polls.
+"""Structured Streaming jobs: bronze ingest, document ingest, duplicate polls (market tables: ``market``).
 
 All jobs read a landing folder with the file source and an explicit schema,
 keep their progress in a checkpoint folder, and run with
 ``trigger(availableNow=True)``: each run processes what has landed since the
 previous run and stops - the scheduled-append model, made incremental and
-restartable. Sinks are idempotent per micro-batch id: every table is a folder
-of ``mb=<id>`` versions, a retried micro-batch rewrites its own version from the
-versions before it, and readers take versions with ``_SUCCESS`` only.
+restartable. Records that are not valid JSON are kept in a table of their own with their text; how
+many there were is observed while a micro-batch is read. Sinks are idempotent per micro-batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.classify import is_volatile, overall_direction, price_direction
-from strata.functions.numeric import EXACT_TYPE, round_half_up
-from strata.operators.movement import movement
-from strata.operators.rank import dense_rank_desc
-from strata.plans import markets
 from strata.session import ROCKSDB
-from strata.sources.documents import DOCUMENT_SCHEMA, flatten_generation_mix, flatten_regional_intensity
+from strata.sources.documents import (
+    CORRUPT, DOCUMENT_SCHEMA, LandingError, flatten_generation_mix, flatten_regional_intensity,
+)
+from strata.streaming.versions import Log, commit, committed
 
 MAX_BYTES = 8 << 30  # landed bytes of a micro-batch
 
 BATCH_FIELD = T.StructField("_batch_id", T.LongType())
 
 
-def _await(query) -> None:
+def _await(query, on_malformed: str = "keep") -> list[dict]:
+    """Wait for the end; the observed (rows, malformed) of each micro-batch."""
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    seen = [p["observedMetrics"].get("landing") for p in query.recentProgress if p["numInputRows"]]
+    counts = [{"rows": m["rows"], "malformed": m["malformed"]} for m in seen if m is not None]
+    bad = sum(c["malformed"] for c in counts)
+    if bad and on_malformed == "raise":
+        raise LandingError(f"{bad} malformed record(s) landed; they are kept apart")
+    return counts
 
 
-def read_landing_json(spark: SparkSession, landing: str, schema: T.StructType,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """File stream; a micro-batch is bounded by bytes, or by files when asked for."""
-    reader = spark.readStream.schema(schema)
+def _limited(reader, max_files_per_trigger: int | None):
+    """A micro-batch is bounded by bytes, or by files when asked for."""
     if max_files_per_trigger:
-        return reader.option("maxFilesPerTrigger", max_files_per_trigger).json(landing)
-    return reader.option("maxBytesPerTrigger", str(MAX_BYTES)).json(landing)
+        return reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.option("maxBytesPerTrigger", str(MAX_BYTES))
 
 
-# ---- versions of a table by micro-batch --------------------------------------
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
+def read_landing_json(spark: SparkSession, landing: str, schema: T.StructType,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stream of JSON lines; a malformed line keeps its text in ``_corrupt_record``."""
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return _limited(reader, max_files_per_trigger).json(landing)
 
-def committed(spark: SparkSession, table: str) -> list[int]:
-    """Micro-batch ids whose version of ``table`` is complete."""
-    path, fs = _fs(spark, table)
-    if not fs.exists(path):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(path)]
-    done = [n for n in names if n.startswith("mb=") and fs.exists(_fs(spark, f"{table}/{n}/_SUCCESS")[0])]
-    return sorted(int(n[3:]) for n in done)
 
+def read_landing_documents(spark: SparkSession, landing: str, schema: T.StructType,
+                           max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stream of JSON documents, one per file in any layout, or one per line.
 
-def read_versions(spark: SparkSession, table: str, ids) -> DataFrame | None:
-    """The rows of some versions with their ``mb``; None without versions."""
-    paths = [f"{table}/mb={i}" for i in ids]
-    return spark.read.option("basePath", table).parquet(*paths) if paths else None
+    A file whose first line is a document of its own holds one document per line; any other file is one
+    document over all its lines, as the published files are. A file is read as one text, so this is for polls;
+    bulk loads go through ``read_landing_json``. A malformed document keeps its text in ``_corrupt_record``, and so
+    does a file of white space (files of no bytes are skipped by Spark's reader).
+    """
+    files = _limited(spark.readStream, max_files_per_trigger).text(landing, wholetext=True)
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
+    def parsed(text: Column) -> Column:
+        return F.from_json(text, whole, options)
 
-def _drop_before(spark: SparkSession, table: str, first: int) -> None:
-    for i in committed(spark, table):
-        if i < first:
-            path, fs = _fs(spark, f"{table}/mb={i}")
-            fs.delete(path, True)
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    by_line = (F.size(lines) > 0) & parsed(F.get(lines, F.lit(0)))[CORRUPT].isNull() & \
+        F.trim(F.get(lines, F.lit(0))).endswith("}")
+    texts = files.select(F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("_text"))
+    docs = texts.select("_text", parsed(F.col("_text")).alias("d")).select("_text", "d.*")
+    broken = F.col(CORRUPT).isNotNull() | (F.trim("_text") == "")
+    return docs.withColumn(CORRUPT, F.when(broken, F.col("_text"))).drop("_text")
 
 
-def _write_version(df: DataFrame, table: str, batch_id: int) -> DataFrame:
-    df.write.mode("overwrite").parquet(f"{table}/mb={batch_id}")
-    return df.sparkSession.read.parquet(f"{table}/mb={batch_id}")
+def observed(stream: DataFrame) -> DataFrame:
+    """Count rows and malformed records as they are read; the progress of the query carries the counts."""
+    return stream.observe("landing", F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"))
 
 
 # ---- T1: incremental bronze ingest ------------------------------------------
 def bronze_append(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
-                  partition_by: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Append every newly landed snapshot file to the bronze folder (Parquet)."""
-    stream = read_landing_json(spark, landing, schema, max_files_per_trigger) \
-        .withColumn("_ingested_at", F.current_timestamp())
-    w = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    _await(w.start(sink))
-
-
-# ---- T2, T3: clean series and serving tables per micro-batch ------------------
-PART_TYPE = EXACT_TYPE
-TIEBREAK = ("last_updated", "current_price")  # polls of one coin and batch id
-FULL_EVERY = 20  # a version in so many holds all keys; older ones can go
-
-
-def summary_parts(moved: DataFrame) -> DataFrame:
-    """Per-coin partial aggregates that merge associatively (exact decimal sums)."""
-    p, d = F.col("current_price"), F.col("price_direction")
-    return moved.groupBy("symbol", "name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(p).alias("n_price"),
-        F.min(p).alias("min_price"),
-        F.max(p).alias("max_price"),
-        F.sum(p.cast(PART_TYPE)).alias("sum_price"),
-        F.count("batch_price_change_pct").alias("n_pct"),
-        F.sum(F.col("batch_price_change_pct").cast(PART_TYPE)).alias("sum_pct"),
-        F.count_if(d == "UP").alias("up_count"),
-        F.count_if(d == "DOWN").alias("down_count"),
-        F.count_if(d == "FLAT").alias("flat_count"),
-        F.count_if(F.col("is_volatile")).alias("volatile_batches"),
-    )
-
-
-def merge_parts(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    if old is None:
-        return new
-    low, high = F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price")
-    exact = [F.sum(c).cast(PART_TYPE).alias(c) for c in ("sum_price", "sum_pct")]
-    counts = [F.sum(c).alias(c) for c in new.columns
-              if c not in ("symbol", "name", "min_price", "max_price", "sum_price", "sum_pct")]
-    return old.unionByName(new).groupBy("symbol", "name").agg(low, high, *exact, *counts).select(*new.columns)
-
-
-def summary_from_parts(parts: DataFrame) -> DataFrame:
-    """Serving summary from the parts table (same columns as the batch summary)."""
-    def avg_of(s, n, digits):
-        return round_half_up(F.col(s).cast("double") / F.nullif(F.col(n), F.lit(0)), digits)
-
-    g = parts.select(
-        "symbol", "name",
-        round_half_up("min_price", 2).alias("min_price"),
-        round_half_up("max_price", 2).alias("max_price"),
-        avg_of("sum_price", "n_price", 2).alias("avg_price"),
-        round_half_up(F.col("max_price") - F.col("min_price"), 2).alias("price_range"),
-        avg_of("sum_pct", "n_pct", 4).alias("avg_batch_change_pct"),
-        "up_count", "down_count", "flat_count", "volatile_batches",
-    )
-    g = dense_rank_desc(g, "price_range", "volatility_rank")
-    return g.withColumns({"volatility_rank": F.col("volatility_rank").cast("int"),
-                          "overall_direction": overall_direction("up_count", "down_count")})
-
-
-def _newest_per_symbol(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """Rows of the newest version of each symbol, from the last full version on."""
-    ids = [i for i in committed(spark, table) if before is None or i < before]
-    full = max((i for i in ids if i % FULL_EVERY == 0), default=0)
-    rows = read_versions(spark, table, [i for i in ids if i >= full])
-    if rows is None:
-        return None
-    newest = rows.groupBy("symbol").agg(F.max("mb").alias("_mb"))
-    r, n = rows.alias("r"), newest.alias("n")
-    same = F.col("r.symbol").eqNullSafe(F.col("n.symbol")) & (F.col("r.mb") == F.col("n._mb"))
-    return r.join(n, same).select(*[F.col(f"r.{c}").alias(c) for c in rows.columns if c != "mb"])
-
-
-def _keyed(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Null-safe join on the symbol; the right side's symbol is dropped."""
-    right = right.withColumnRenamed("symbol", "_symbol")
-    out = left.join(right, left["symbol"].eqNullSafe(right["_symbol"]), how)
-    return out.drop("_symbol") if "_symbol" in out.columns else out
-
-
-def clean_series(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The clean series: each coin's rows from its last repair on."""
-    rows = read_versions(spark, f"{root}/silver",
-                         [i for i in committed(spark, f"{root}/silver") if before is None or i < before])
-    state = _newest_per_symbol(spark, f"{root}/state", before)
-    repaired = state.filter("since > 0").select("symbol", "since")
-    return _keyed(rows, repaired, "left").filter("since IS NULL OR mb >= since").drop("since", "mb")
-
-
-def late_rows(spark: SparkSession, root: str) -> DataFrame | None:
-    """Rows that arrived after a newer batch of their coin, or for a batch already there."""
-    return read_versions(spark, f"{root}/late", committed(spark, f"{root}/late"))
-
-
-def latest_parts(spark: SparkSession, root: str) -> DataFrame:
-    return _newest_per_symbol(spark, f"{root}/parts")
-
-
-def latest_prices(spark: SparkSession, root: str) -> DataFrame:
-    """The newest batch over all coins (12 columns)."""
-    newest = committed(spark, f"{root}/latest")[-1]
-    return spark.read.parquet(f"{root}/latest/mb={newest}").select(*markets.LATEST_COLUMNS)
-
-
-def refresh_markets(batch: DataFrame, batch_id: int, root: str, chunk_width: int | None = None) -> None:
-    """One micro-batch: the clean rows, the late rows, one state row and the summary
-    parts of each coin that it holds, and the newest batch.
-
-    The batch is evaluated once (written, then read). Rows newer than their
-    coin's state are chained to its last price. A coin with a row that is not -
-    late, or a repeat of a batch id - is repaired: its whole series is computed
-    again from the clean table, so the result always equals the batch job's.
-    All of it is DataFrame work; with ``chunk_width`` a hot coin is many tasks.
-    """
-    spark = batch.sparkSession
-    rounded = {c: round_half_up(c, d) for c, d in markets.PRICE_ROUNDING.items()}
-    arrived = _write_version(batch.withColumns(rounded), f"{root}/arrived", batch_id)
-    columns = arrived.columns
-
-    def moved(rows: DataFrame) -> DataFrame:
-        out = movement(rows, tiebreak=list(TIEBREAK), chunk_width=chunk_width)
-        return out.withColumns({"price_direction": price_direction("batch_price_change"),
-                                "is_volatile": is_volatile("batch_price_change_pct")})
-
-    state = _newest_per_symbol(spark, f"{root}/state", batch_id)
-    repeats = arrived.groupBy("symbol", "_batch_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("symbol")
-    if state is None:
-        late, repair, fresh = arrived.filter("false"), repeats.distinct(), arrived
-    else:
-        known = _keyed(arrived, state.select("symbol", "last_batch"), "left")
-        late = known.filter(F.col("_batch_id") <= F.col("last_batch")).select(*columns)
-        repair = late.select("symbol").unionByName(repeats).distinct()
-        seeds = state.select("symbol", F.col("last_batch").alias("_batch_id"), F.col("last_price").alias("current_price"))
-        seeds = _keyed(seeds, arrived.select("symbol").distinct(), "left_semi")
-        fresh = arrived.withColumn("_seed", F.lit(False)).unionByName(
-            seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-    late = _write_version(late, f"{root}/late", batch_id)
-    clean = moved(_keyed(fresh, repair, "left_anti"))
-    if state is None:
-        again = _keyed(arrived, repair, "left_semi")
-    else:
-        clean = clean.filter(~F.col("_seed")).drop("_seed")
-        history = clean_series(spark, root, batch_id).select(*columns)
-        again = _keyed(history.unionByName(arrived), repair, "left_semi")
-    silver = _write_version(clean.unionByName(moved(again)), f"{root}/silver", batch_id)
-
-    full = batch_id % FULL_EVERY == 0
-    order = F.struct("_batch_id", *TIEBREAK)
-    now = silver.groupBy("symbol").agg(F.max("_batch_id").alias("last_batch"),
-                                       F.max_by("current_price", order).alias("last_price"))
-    fixed = repair.withColumn("_fixed", F.lit(batch_id).cast("long"))
-    now = _keyed(now, fixed, "left")
-    if state is None:
-        now = now.withColumn("since", F.coalesce("_fixed", F.lit(0).cast("long"))).drop("_fixed")
-    else:
-        now = _keyed(now, state.select("symbol", "since"), "left").withColumn(
-            "since", F.coalesce("_fixed", "since", F.lit(0).cast("long"))).drop("_fixed")
-        now = now.select("symbol", "last_batch", "last_price", "since")
-        if full:
-            now = now.unionByName(_keyed(state, now.select("symbol"), "left_anti").select(*now.columns))
-    now = _write_version(now.select("symbol", "last_batch", "last_price", "since"), f"{root}/state", batch_id)
-
-    parts = summary_parts(silver)
-    old = _newest_per_symbol(spark, f"{root}/parts", batch_id)
-    if old is not None:
-        here = silver.select("symbol").distinct()
-        kept = _keyed(_keyed(old, repair, "left_anti"), here, "left_semi")  # repaired coins start anew
-        parts = merge_parts(kept, parts)
-        if full:
-            parts = parts.unionByName(_keyed(old, here, "left_anti"))
-    _write_version(parts, f"{root}/parts", batch_id)
-
-    earlier = [i for i in committed(spark, f"{root}/latest") if i < batch_id]
-    newest = arrived.select(*columns)
-    if earlier:
-        newest = newest.unionByName(spark.read.parquet(f"{root}/latest/mb={earlier[-1]}"))
-    _write_version(newest.filter(F.col("_batch_id") == newest.agg(F.max("_batch_id")).scalar()),
-                   f"{root}/latest", batch_id)
-    # What no reader or retry needs any more: earlier arrivals and newest batches, and
-    # versions before the full one before the last.
-    _drop_before(spark, f"{root}/arrived", batch_id)
-    _drop_before(spark, f"{root}/latest", earlier[-1] if earlier else 0)
-    for table in ("state", "parts"):
-        _drop_before(spark, f"{root}/{table}", (batch_id // FULL_EVERY - 1) * FULL_EVERY)
-
-
-def run_market_refresh(spark: SparkSession, landing: str, schema: T.StructType, root: str,
-                       max_files_per_trigger: int | None = None, chunk_width: int | None = None) -> list[int]:
-    """Process what has landed into the tables under ``root``; returns the rows read by each micro-batch."""
-    stream = read_landing_json(spark, landing, schema, max_files_per_trigger)
-    if "_ingested_at" not in stream.columns:
-        stream = stream.withColumn("_ingested_at", F.current_timestamp())
-    q = (stream.writeStream.foreachBatch(lambda b, i: refresh_markets(b, i, root, chunk_width))
-         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
-    _await(q)
-    return [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+                  max_files_per_trigger: int | None = None, on_malformed: str = "keep") -> list[dict]:
+    """Append every newly landed snapshot file to the bronze folder (Parquet); (rows, malformed) of each micro-batch.
 
+    Malformed records go to the partition ``_malformed=true`` in the same transaction. With ``on_malformed``
+    "raise" the run then fails (a failed fetch must not pass unseen), and what landed is stored all the same.
+    """
+    stream = observed(read_landing_json(spark, landing, schema, max_files_per_trigger)).withColumns(
+        {"_ingested_at": F.current_timestamp(), "_malformed": F.col(CORRUPT).isNotNull()})
+    return _await(stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy("_malformed")
+                  .outputMode("append").trigger(availableNow=True).start(sink), on_malformed)
 
-# ---- S3 as a stream: nested documents to two tables ---------------------------
-def ingest_documents(spark: SparkSession, landing: str, root: str, max_files_per_trigger: int | None = None) -> None:
-    """Landed documents appended to ``carbon_intensity`` and ``generation_mix`` under ``root``.
 
-    Both tables are written under the micro-batch id in one step, so a retry
-    replaces both; readers take the ids that both have.
-    """
-    stream = read_landing_json(spark, landing, DOCUMENT_SCHEMA, max_files_per_trigger)
+def bronze_rows(spark: SparkSession, sink: str, malformed: bool = False) -> DataFrame:
+    """The sound rows of the bronze folder, or the malformed records (``_corrupt_record``, ``_ingested_at``)."""
+    rows = spark.read.parquet(sink).filter(F.col("_malformed") == malformed).drop("_malformed")
+    return rows.select(CORRUPT, "_ingested_at") if malformed else rows.drop(CORRUPT)
 
-    def both(batch: DataFrame, batch_id: int) -> None:
-        docs = _write_version(batch, f"{root}/arrived", batch_id)
-        _write_version(flatten_regional_intensity(docs), f"{root}/carbon_intensity", batch_id)
-        _write_version(flatten_generation_mix(docs), f"{root}/generation_mix", batch_id)
-        _drop_before(spark, f"{root}/arrived", batch_id)
 
-    _await(stream.writeStream.foreachBatch(both).option("checkpointLocation", f"{root}/_checkpoint")
-           .trigger(availableNow=True).start())
+# ---- S3 as a stream: nested documents to two tables ---------------------------
+class Documents:
+    """``carbon_intensity`` and ``generation_mix`` under ``root``, written in one step per micro-batch, and malformed texts."""
+
+    KINDS = ("intensity", "mix", "bad")
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.logs = {kind: Log(spark, f"{root}/{kind}", key, 1)
+                     for kind, key in zip(self.KINDS, ("region_id", "region_id", CORRUPT), strict=True)}
+
+    def write(self, batch: DataFrame, mb: int) -> None:
+        arrived = Log(self.spark, f"{self.root}/arrived", CORRUPT, 1)
+        arrived.write(batch.withColumn("kind", F.lit("document")), mb, 8)  # the files are read once
+        if arrived.touched(mb):
+            docs = arrived.read(mb, mb=mb).drop("kind", "bucket")
+            parts = {"intensity": flatten_regional_intensity(docs.filter(F.col(CORRUPT).isNull())),
+                     "mix": flatten_generation_mix(docs.filter(F.col(CORRUPT).isNull())),
+                     "bad": docs.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)}
+            for kind, rows in parts.items():
+                self.logs[kind].write(rows.withColumn("kind", F.lit(kind)), mb)
+        arrived.forget(mb)
+        commit(self.spark, self.root, mb)
+        for log in self.logs.values():
+            log.tidy(mb)
+
+    def read(self, kind: str) -> DataFrame | None:
+        """Rows of all committed micro-batches; None when there are none of the kind."""
+        upto = committed(self.spark, self.root)
+        log = self.logs[kind]
+        return log.read(upto, (kind,)).drop("kind", "bucket") if log.has(kind, upto) else None
+
+
+def ingest_documents(spark: SparkSession, landing: str, root: str, max_files_per_trigger: int | None = None,
+                     on_malformed: str = "keep") -> list[dict]:
+    """Landed documents to both tables; (documents, malformed) of each micro-batch. Both tables are written
+    before the micro-batch is committed, so a retry replaces both."""
+    stream = observed(read_landing_documents(spark, landing, DOCUMENT_SCHEMA, max_files_per_trigger))
+    tables = Documents(spark, root)
+    return _await(stream.writeStream.foreachBatch(tables.write).option("checkpointLocation", f"{root}/_checkpoint")
+                  .trigger(availableNow=True).start(), on_malformed)
 
 
 def document_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(carbon_intensity, generation_mix) of all micro-batches that both tables have."""
-    names = (f"{root}/carbon_intensity", f"{root}/generation_mix")
-    ids = sorted(set(committed(spark, names[0])) & set(committed(spark, names[1])))
-    return tuple(read_versions(spark, n, ids).drop("mb") for n in names)
+    """(carbon_intensity, generation_mix) of all committed micro-batches."""
+    tables = Documents(spark, root)
+    return tables.read("intensity"), tables.read("mix")
 
 
 # ---- T4: duplicate polls ----------------------------------------------------
@@ -322,6 +166,7 @@ def run_dedupe_polls(spark: SparkSession, landing: str, schema: T.StructType, ke
                      max_files_per_trigger: int | None = None) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # state beyond memory
     stream = read_landing_json(spark, landing, schema, max_files_per_trigger)
+    stream = stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     out = dedupe_polls_stream(stream, keys, event_time, delay)
     q = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(sink))
