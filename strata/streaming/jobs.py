@@ -22,6 +22,8 @@ from strata.streaming.versions import Log, commit, committed
 
 MAX_BYTES = 8 << 30  # landed bytes of a micro-batch
 
+WHITE = " \t\r\n"
+
 BATCH_FIELD = T.StructField("_batch_id", T.LongType())
 
 
@@ -69,12 +71,12 @@ def read_landing_documents(spark: SparkSession, landing: str, schema: T.StructTy
     def parsed(text: Column) -> Column:
         return F.from_json(text, whole, options)
 
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.btrim(x, F.lit(WHITE)) != "")
     by_line = (F.size(lines) > 0) & parsed(F.get(lines, F.lit(0)))[CORRUPT].isNull() & \
-        F.trim(F.get(lines, F.lit(0))).endswith("}")
+        F.btrim(F.get(lines, F.lit(0)), F.lit(WHITE)).endswith("}")
     texts = files.select(F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("_text"))
     docs = texts.select("_text", parsed(F.col("_text")).alias("d")).select("_text", "d.*")
-    broken = F.col(CORRUPT).isNotNull() | (F.trim("_text") == "")
+    broken = F.col(CORRUPT).isNotNull() | (F.btrim("_text", F.lit(WHITE)) == "")
     return docs.withColumn(CORRUPT, F.when(broken, F.col("_text"))).drop("_text")
 
 
