@@ -3,14 +3,15 @@
 A rule is ``Rule(name, column, kind, values)`` with ``kind`` in
 ``not_null`` (a null fails) and ``accepted_values`` (a non-null value outside
 ``values`` fails; null passes). ``dq_report`` returns one row per rule with
-its number of failing rows; ``gate`` raises before anything is published.
+its number of failing rows; ``gate`` raises before anything is published. ``Watch`` gathers the same
+counts while a table is written, so that a gate needs no scan of its own.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -74,6 +75,48 @@ def gate(report: DataFrame) -> list:
     return failed
 
 
+class Watch:
+    """Failure counts of rules, row count and flag counts of a table, observed while it is written.
+
+    ``on(df)`` goes into the plan that is written; after the write ``failures``, ``rows`` and ``gate`` are
+    there without another scan. ``flag`` names a boolean column whose two sides must add up to all rows.
+    """
+
+    def __init__(self, rules=(), flag: str | None = None, columns: dict[str, Column] | None = None):
+        self.rules, self.flag, self.columns = list(rules), flag, columns or {}
+        self.seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        counts = [F.count_if(r.failing()).cast("long").alias(r.name) for r in self.rules]
+        if self.flag is not None:
+            counts += [F.count_if(F.col(self.flag)).alias("_flagged"), F.count_if(~F.col(self.flag)).alias("_unflagged")]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("_rows"), *counts, *[c.alias(n) for n, c in self.columns.items()])
+
+    @property
+    def rows(self) -> int:
+        return self.seen.get["_rows"]
+
+    def failures(self) -> dict[str, int]:
+        """Rule -> failing rows; the flag's imbalance is one more rule."""
+        seen = self.seen.get
+        out = {r.name: seen[r.name] for r in self.rules}
+        if self.flag is not None:
+            out[f"balanced_{self.flag}"] = seen["_rows"] - seen["_flagged"] - seen["_unflagged"]
+        return out
+
+    def report(self, spark, table: str | None = None) -> DataFrame:
+        """The rows of ``dq_report``, from the observed counts."""
+        rows = [(table, name, n) for name, n in self.failures().items()]
+        out = spark.createDataFrame(rows, "table string, rule string, failures long")
+        return out if table is not None else out.drop("table")
+
+    def gate(self) -> None:
+        """Raise ``QualityGateError`` when any rule failed."""
+        failed = {name: n for name, n in self.failures().items() if n}
+        if failed:
+            raise QualityGateError("data-quality rules failed: " + ", ".join(f"{k}={n}" for k, n in failed.items()))
+
+
 def reconcile_flag(df: DataFrame, flag: str) -> DataFrame:
     """One row: rows flagged, not flagged, total, and whether they add up."""
     out = df.agg(

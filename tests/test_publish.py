@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.quality import QualityGateError
+from strata.operators.quality import QualityGateError, Watch, accepted_values, dq_report, not_null
 from strata.plans import publish
 from strata.sources.files import scratch_path
 from strata.sources.testdata import generation_raw, hrrp_raw, intensity_raw, prices_raw
@@ -35,6 +35,27 @@ def test_publish_markets_and_readmissions(spark):
     assert spark.table("t_hc_condition_readmission_summary").count() > 0
 
 
+def test_the_gate_scans_nothing_again(spark, monkeypatch):
+    """Counts come from the write itself; between staging and publishing no job reads the staged rows for the rules."""
+    rules = [not_null("symbol"), accepted_values("symbol", ["a", "b"])]
+    df = spark.createDataFrame([("a", True), ("b", False), (None, True), ("z", None)], "symbol string, flag boolean")
+    watch = Watch(rules, flag="flag")
+    path = scratch_path(spark, "t-watch")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("t-watch", "")
+    watch.on(df).write.parquet(path)
+    jobs = len(tracker.getJobIdsForGroup("t-watch"))
+    assert watch.failures() == {"not_null_symbol": 1, "accepted_values_symbol": 1, "balanced_flag": 1} and watch.rows == 4
+    with pytest.raises(QualityGateError, match="not_null_symbol=1"):
+        watch.gate()
+    assert len(tracker.getJobIdsForGroup("t-watch")) == jobs
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = sorted(map(tuple, dq_report(spark.read.parquet(path), rules, "t").collect()))
+    assert [r for r in sorted(map(tuple, watch.report(spark, "t").collect())) if "balanced" not in r[1]] == want
+    import inspect
+    assert "dq_report" not in inspect.getsource(publish)
+
+
 def test_newest_day_prunes_partitions(spark):
     root = scratch_path(spark, "t-prune")
     publish.publish_markets(spark, prices_raw(spark, SF_SMALL), root, prefix="t_prune", batch_seconds=False)

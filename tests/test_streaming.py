@@ -234,7 +234,7 @@ def test_documents_of_any_layout_reach_both_tables(spark):
     assert rows(intensity.select("batch_id").distinct()) == [(1,), (2,), (3,)]
     assert sum(c["malformed"] for c in counts) == 3
     bad = [r[0] for r in jobs.Documents(spark, root).read("bad").collect()]
-    assert sorted(x.strip()[:14] for x in bad) == ["", '{"batch_id": 4', '{\n  "batch_id"']
+    assert {x.strip()[:14] for x in bad} == {"", '{"batch_id": 4', '{\n  "batch_id"'}
     with pytest.raises(LandingError, match="3 malformed"):
         jobs.ingest_documents(spark, landing, scratch_path(spark, "t-docs-raise"), on_malformed="raise")
 
