@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -183,6 +184,20 @@ class SubstringHash:
         return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+LONG_WORD = 64
+
+
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words. Beyond ``LONG_WORD`` bytes a polynomial modulo 2**64 has known collisions (strings of the
+    Thue-Morse kind), so these words are hashed by blake2b."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    out, raw = SubstringHash(buf).of(start, end), buf.tobytes()
+    for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[k] = int.from_bytes(blake2b(raw[start[k]:end[k]], digest_size=8).digest(), "little")
+    return out
+
+
 def word_spans(buf: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of words in a buffer of documents joined by separators.
 

@@ -29,14 +29,14 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import (
     LOWER,
-    SubstringHash,
     batches,
+    by_key,
     discard,
     free_name,
     mix,
@@ -49,14 +49,16 @@ from strata.llm.common import (
     unpack,
     unpack_sorted,
     unpack_text,
+    word_hashes,
 )
 from strata.llm.components import connected_components
 
 WORDS = 5
 PERCENT = 80
 BLOCK_BYTES = 2 << 20
-SIGNATURE = 1024  # bits of the comparison in tiles, at most; the stored signature grows with the set
+SIGNATURE = 1 << 14  # bits of the comparison in tiles, at most; below that a signature has two to four bits a shingle
 TILE = 512
+BUCKET_SHINGLES = 4_000_000  # shingles (of all blocks) that one task looks up at once
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -85,7 +87,7 @@ class Shingles:
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         first = np.searchsorted(start, np.cumsum(sizes) - sizes)
         n_words = np.diff(np.append(first, len(start)))
-        h = SubstringHash(buf).of(start, end) if len(start) else np.zeros(0, np.uint64)
+        h = word_hashes(buf, start, end)
         # A shingle starts at each word that has enough followers in its text; a short text is one shingle.
         n_shingles = np.where(n_words >= words, n_words - words + 1, np.minimum(n_words, 1))
         of = np.repeat(np.arange(len(texts)), n_shingles)
@@ -156,8 +158,8 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * overlap >= percent * (len(a) + len(b) - overlap)
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, words: int, block_bytes: int) -> DataFrame:
-    """Stored blocks of texts with their classes."""
+def _blocks(docs: DataFrame, id_col: str, text_col: str, words: int, block_bytes: int, row_col: str | None) -> DataFrame:
+    """Stored blocks of texts with their classes (and row ids, where the table has them)."""
     schema = T.StructType([
         T.StructField("rows", T.ArrayType(T.LongType())), T.StructField("doc_ids", T.ArrayType(docs.schema[id_col].dataType)),
         T.StructField("n", T.ArrayType(T.LongType())), T.StructField("classes", T.ArrayType(T.LongType())),
@@ -186,7 +188,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, words: int, block_bytes
         if ids:
             yield from batches(arrow, [row(rows, ids, texts)])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+    rows = docs.select((F.col(row_col) if row_col else F.lit(0).cast("long")).alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
     return store(rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), "shingle-blocks")
 
@@ -322,88 +324,111 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _stars(entries: DataFrame, salt: int) -> DataFrame:
-    """Pairs of each class of a shingle with one centre of the shingle: the least by a hash."""
+    """Pairs of each class of a shingle with one centre of the shingle: the least by a hash.
+
+    Centres are found by an aggregate that reduces in every task; a shingle that very many classes hold is
+    joined by broadcast.
+    """
     rank = F.struct(F.xxhash64("class", F.lit(salt)).alias("h"), F.col("class").alias("c"))
-    centres = entries.groupBy("key").agg(F.min(rank).alias("_m")).select("key", F.col("_m.c").alias("centre"))
-    pairs = entries.join(centres, "key").filter(F.col("class") != F.col("centre"))
+    centres = store(entries.groupBy("key").agg(F.min(rank)["c"].alias("centre"), F.count(F.lit(1)).alias("held")),
+                    "jaccard-centres")
+    pairs = by_key(entries, centres, ["key"], "held").filter(F.col("class") != F.col("centre"))
     return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
 def _open(entries: DataFrame, components: DataFrame) -> DataFrame:
     """Entries of the shingles whose classes are in more than one component, with the component."""
-    labelled = entries.join(components, "class", "left").select(
-        "key", "class", "n", F.coalesce("component", "class").alias("component"))
+    labelled = entries.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
     labelled = store(labelled, "jaccard-open")
-    many = labelled.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")) \
-        .filter("_lo < _hi").select("key")
-    return labelled.join(many, "key")
+    many = labelled.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+                                       F.count(F.lit(1)).alias("held")).filter("_lo < _hi").select("key", "held")
+    return by_key(labelled, store(many, "jaccard-open-keys"), ["key"], "held").filter("held IS NOT NULL").drop("held")
 
 
-def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one shingle and different components that sizes and signatures leave, compared tile by tile."""
-    small = sets.select("class", "small")
-    # A link spans sizes of ratio percent / 100 at most, so at most two neighbouring bands.
+CELL = "array<struct<up:int,t:int,u:int,side:int,cell_band:int>>"
+
+
+def _cells(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries of each shingle dealt to pairs of tiles: ``cell_band``, ``up``, ``t``, ``u`` and ``side``.
+
+    A link spans sizes of ratio percent / 100 at most, so at most two neighbouring bands. A (shingle, band) has
+    as many tiles as its size asks for; a class meets the tiles of its own band, each pair of tiles once, and those of
+    the next band.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
-    entries = entries.join(small, "class").withColumn("band", band)
-    sizes = entries.groupBy("key", "band").agg(F.count(F.lit(1)).alias("_count"))
-    # Tiles of a (shingle, band): by hash, as many as its size asks for.
-    width = sizes.select("key", "band", F.ceil(F.col("_count") / TILE).cast("int").alias("tiles"))
-    lower = width.select("key", (F.col("band") + 1).alias("band"), F.col("tiles").alias("below"))
-    upper = width.select("key", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
-    entries = entries.join(width, ["key", "band"]).join(lower, ["key", "band"], "left") \
-        .join(upper, ["key", "band"], "left").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
-    # A class meets the tiles of its own band (each pair of tiles once) and those of the next band.
+    entries = entries.withColumn("band", band)
+    width = entries.groupBy("key", "band").agg(F.count(F.lit(1)).alias("held")).withColumn(
+        "tiles", F.ceil(F.col("held") / TILE).cast("int"))
+    per_key = Window.partitionBy("key").orderBy("band").rangeBetween
+    width = width.withColumns({"below": F.max("tiles").over(per_key(-1, -1)), "above": F.max("tiles").over(per_key(1, 1))})
+    entries = by_key(entries, store(width, "jaccard-tiles"), ["key", "band"], "held").withColumn(
+        "tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
     numbers = lambda n: F.sequence(F.lit(0), n - 1)
     own = F.transform(numbers(F.col("tiles")), lambda t: F.struct(
         F.lit(0).alias("up"), F.least(t, F.col("tile")).alias("t"), F.greatest(t, F.col("tile")).alias("u"),
-        F.lit(0).alias("side"), F.col("band").alias("cell_band")))
+        (F.col("tile") > t).cast("int").alias("side"), F.col("band").alias("cell_band")))
     up = F.when(F.col("above").isNotNull(), F.transform(numbers(F.col("above")), lambda t: F.struct(
         F.lit(1).alias("up"), F.col("tile").alias("t"), t.alias("u"), F.lit(0).alias("side"),
         F.col("band").alias("cell_band"))))
     down = F.when(F.col("below").isNotNull(), F.transform(numbers(F.col("below")), lambda t: F.struct(
         F.lit(1).alias("up"), t.alias("t"), F.col("tile").alias("u"), F.lit(1).alias("side"),
         (F.col("band") - 1).alias("cell_band"))))
-    empty = F.array().cast("array<struct<up:int,t:int,u:int,side:int,cell_band:int>>")
-    cells = entries.withColumn("cell", F.explode(F.concat(own, F.coalesce(up, empty), F.coalesce(down, empty)))).select(
-        "key", "cell.*", "class", "component", "n", "small")
+    empty = F.array().cast(CELL)
+    return entries.withColumn("cell", F.explode(F.concat(own, F.coalesce(up, empty), F.coalesce(down, empty)))).select(
+        "key", "cell.*", "class", "component", "n", "earlier", "small")
+
+
+def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one shingle and different components that sizes and signatures leave, compared tile by tile.
+
+    A pair that shares several open shingles is taken up at the least of them only: an entry carries the lesser
+    shingles of its class's prefix, and two classes with one in common there were compared before. (A shingle they
+    share is open, as they are in different components.)
+    """
+    sets = sets.select("class", "keys", "small")
+    earlier = F.filter("keys", lambda k: k < F.col("key"))
+    entries = entries.join(sets, "class").withColumn("earlier", earlier).drop("keys")
+    cells = _cells(entries, percent)
 
     def compare(table: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
         cls, comp, n, side = (table.column(c).to_numpy() for c in ("class", "component", "n", "side"))
         sigs = [np.frombuffer(x, np.uint64) for x in table.column("small").to_pylist()]
+        before = [frozenset(x) for x in table.column("earlier").to_pylist()]
         width = 64 * min(map(len, sigs))
         sig = np.stack([fold(x, width) for x in sigs])
-        up = table.column("up")[0].as_py()
+        crossing = table.column("up")[0].as_py() or table.column("t")[0].as_py() != table.column("u")[0].as_py()
         left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if up else left
-        out = []
+        right = np.flatnonzero(side == 1) if crossing else left
+        a, b = [], []
         for i in left.tolist():
-            j = right if up else right[cls[right] > cls[i]]
+            j = right if crossing else right[cls[right] > cls[i]]
             j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
             if len(j):
                 over = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[j]).sum(1).astype(np.int64),
                                   n[j] - np.bitwise_count(sig[j] & ~sig[i]).sum(1).astype(np.int64))
                 j = j[100 * over >= percent * (n[i] + n[j] - over)]
-                out.append(np.stack([np.full(len(j), cls[i]), cls[j]], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs.min(1) if len(pairs) else pairs[:, 0], "b": pairs.max(1) if len(pairs) else pairs[:, 0]},
-                        schema=to_arrow_schema(PAIRS))
+                j = [k for k in j.tolist() if before[i].isdisjoint(before[k])]
+                a += [cls[i]] * len(j)
+                b += cls[j].tolist()
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)}, schema=to_arrow_schema(PAIRS))
 
-    return cells.groupBy("key", "cell_band", "up", "t", "u").applyInArrow(compare, PAIRS).distinct()
+    return cells.groupBy("key", "cell_band", "up", "t", "u").applyInArrow(compare, PAIRS)
 
 
 def classes_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                            percent: int = PERCENT, block_bytes: int = BLOCK_BYTES,
-                           buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+                           buckets: int | None = None, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows: _row, doc_id, n_shingles, class) and (components: class, component) of the linked classes."""
-    buckets = buckets or max(64, n_partitions(docs.sparkSession))
-    blocks = _blocks(docs, id_col, text_col, words, block_bytes)
+    blocks = _blocks(docs, id_col, text_col, words, block_bytes, row_col)
     rows = store(blocks.select(F.explode(F.arrays_zip("rows", "doc_ids", "n", "classes")).alias("r")).select(
         F.col("r.rows").alias("_row"), F.col("r.doc_ids").alias("doc_id"), F.col("r.n").alias("n_shingles"),
         F.col("r.classes").alias("class")), "jaccard-rows")
     # A shortened hash keeps chance meetings rare (one in 4096); they only make candidates.
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     bits = min(64, max(32, math.ceil(math.log2(total + 1)) + 12))
+    buckets = buckets or max(64, n_partitions(docs.sparkSession), -(-total // BUCKET_SHINGLES))
     found = _candidates(blocks, words, percent, buckets, bits)
     discard(blocks)
     sets = found  # one row per class, as one block stands for it
@@ -427,38 +452,38 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Two rows link when 100 * intersection >= percent * union of non-empty sets;
     ``component_id`` is the smallest id reachable by links (null ids are not
     counted; null when no row of the component has an id). Repeated rows link
-    like other equal sets; other columns are ignored; an empty table gives an
-    empty result. Sets are of 64-bit hashes of shingles, classes of 64-bit
-    hashes of sets.
+    like other equal sets; very long texts are compared whole; other columns are ignored;
+    an empty table gives an empty result. Sets are of 64-bit hashes of shingles (words beyond 64 bytes enter by
+    blake2b), classes of 64-bit hashes of sets.
     """
     rows, components = classes_and_components(docs, id_col, text_col, **options)
     labelled = rows.join(components, "class", "left").withColumn(
         "_component", F.coalesce("component", "class")).select("doc_id", "n_shingles", "_component")
     full = labelled.filter("n_shingles > 0")
-    least = full.groupBy("_component").agg(F.min("doc_id").alias("component_id"))
+    least = full.groupBy("_component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
     alone = labelled.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.join(least, "_component").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    whole = by_key(full, store(least, "jaccard-least"), ["_component"], "_n")
+    return whole.select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without all but one document of each component.
 
-    The row with the smallest (id, input position) stays, null ids last; texts
-    without shingles all stay. The input must be a stored table, whose scan
-    order is fixed.
+    The row with the smallest (id, row) stays, null ids last; texts without shingles all stay. Very long texts
+    are compared whole; names of other columns cannot clash. The rows are stored once with a row id of
+    their own, which everything that follows reads, so it does not matter how often or how the input is scanned.
     """
-    rows, components = classes_and_components(docs, id_col, text_col, **options)
+    row = free_name(docs, "_row")
+    kept = store(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-docs")
+    rows, components = classes_and_components(kept, id_col, text_col, row_col=row, **options)
     full = rows.filter("n_shingles > 0").join(components, "class", "left").select(
         F.coalesce("component", "class").alias("_component"),
         F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("at"))
     full = store(full, "jaccard-members")
-    least = full.groupBy("_component").agg(F.min("at").alias("_least"), F.count(F.lit(1)).alias("_n")) \
-        .filter("_n > 1").drop("_n")
-    drop = store(full.join(least, "_component").filter(F.col("at") > F.col("_least"))
-                 .select(F.col("at._row").alias("_drop_row")), "jaccard-dropped")
-    row = free_name(docs, "_row")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(
-        drop.withColumnRenamed("_drop_row", row), row, "left_anti").select(*docs.columns)
+    least = full.groupBy("_component").agg(F.min("at").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    drop = store(by_key(full, store(least, "jaccard-least"), ["_component"], "_n").filter(F.col("at") > F.col("_least"))
+                 .select(F.col("at._row").alias(row)), "jaccard-dropped")
+    return kept.join(drop, row, "left_anti").select(*docs.columns)
 
 
 def query(spark, sf_dir):

@@ -6,8 +6,9 @@ with the term swapped for another of its set; a penalty on the change of the
 document's score keeps the group terms themselves, and words next to them, from
 carrying the verdict. So neutral mentions of a group are not rejected.
 
-Features are made on the executors. The fit runs on a bounded sample of
-labelled documents (``max_train_docs``); scoring covers every document whole.
+Features are made and screened on the executors: documents and toxic documents are counted per feature, and only
+the features that pass - a hundredth of all - come to the driver, as numbers. The fit runs on a
+bounded sample of labelled documents (``max_train_docs``) of any length; scoring covers every document whole.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import LOWER, batches, text_bytes
+from strata.llm.common import LOWER, batches, discard, store, text_bytes
 
 MAX_TRAIN_DOCS = 8_000  # labelled documents the model is fitted on, at most
-MAX_TRAIN_BYTES = 65_536  # longer documents are left out of the fit (never of the scoring)
 THRESHOLD = 0.7
+MIN_DOCS = 3    # a feature of the model is in so many sampled documents
+SCREEN = 4.5    # and its share of toxic ones is so many standard errors away from the sample's
 
 # Sets of interchangeable identity terms.
 IDENTITY_SETS = (
@@ -89,48 +92,37 @@ def swapped(text: bytes) -> bytes | None:
     return b"".join(out)
 
 
-def fit(samples: list[tuple[int, np.ndarray, np.ndarray]], l1: float = 2e-4, counterfactual: float = 0.5,
-        min_docs: int = 3, screen: float = 4.5, steps: int = 300) -> tuple[float, dict[int, float]]:
-    """(bias, weights) from (label, features, features after the swap) rows.
+def fit(samples: list[tuple[int, np.ndarray, np.ndarray | None]], names: np.ndarray, l1: float = 2e-4,
+        counterfactual: float = 0.5, steps: int = 300) -> tuple[float, dict[int, float]]:
+    """(bias, weights) from rows (label, places of its features in ``names``, those after the swap or None).
 
     Accelerated proximal gradient for mean log loss (classes weighted by the
     root of their inverse share) + l1 * |w| + counterfactual * mean squared
     change of the raw score under the swap.
     """
     y = np.array([s[0] for s in samples], np.float64)
-    if not len(y) or y.min() == y.max():
+    if not len(y) or y.min() == y.max() or not len(names):
         rate = float(y.mean()) if len(y) else 0.0
         return (np.log((rate + 1e-6) / (1 - rate + 1e-6)), {})
-    flat = np.concatenate([s[1] for s in samples])
-    names, at, n = np.unique(flat, return_inverse=True, return_counts=True)
-    hits = np.bincount(at, np.repeat(y, [len(s[1]) for s in samples]), len(names))
-    rate = float(y.mean())
-    # Screening: features whose share of toxic documents is not what chance gives.
-    z = (hits - n * rate) / np.sqrt(n * rate * (1 - rate))
-    names = names[(n >= min_docs) & (np.abs(z) >= screen)]
-    del flat, at
-
-    def rows(k: int) -> tuple[np.ndarray, np.ndarray]:
-        size = [len(s[k]) for s in samples]
-        col = np.concatenate([s[k] for s in samples]) if sum(size) else np.zeros(0, np.uint32)
-        row = np.repeat(np.arange(len(samples)), size)
-        at = np.searchsorted(names, col)
-        at[at == len(names)] = 0
-        ok = names[at] == col if len(names) else np.zeros(len(col), bool)
-        return row[ok], at[ok]
-
-    if not len(names):
-        return (np.log(rate / (1 - rate)), {})
-    m = len(samples)
-    changed = np.array([len(s[2]) > 0 for s in samples])
+
+    def rows(k: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lists = [s[k] if s[k] is not None else np.zeros(0, np.int32) for s in samples]
+        row = np.repeat(np.arange(len(samples)), [len(x) for x in lists])
+        at = place[np.concatenate(lists)]
+        return row[at >= 0], at[at >= 0]
+
+    changed = np.array([s[2] is not None for s in samples])
     share = np.where(y == 1, y.mean(), 1 - y.mean())
     weight = share ** -0.5
     weight /= weight.sum()
-    bias, w = _solve(y, weight, changed, rows(1), rows(2), np.zeros(len(names)), l1, counterfactual, steps)
+    place = np.arange(len(names))
+    bias, w = _solve(y, weight, changed, rows(1, place), rows(2, place), np.zeros(len(names)), l1, counterfactual, steps)
     # The penalty that chose the features also shrank them: fit the chosen ones again, nearly free.
-    names = names[w != 0]
+    names, chosen = names[w != 0], np.flatnonzero(w)
     if len(names):
-        bias, w = _solve(y, weight, changed, rows(1), rows(2), w[w != 0], l1 / 20, counterfactual, steps, bias)
+        place = np.full(len(place), -1)
+        place[chosen] = np.arange(len(chosen))
+        bias, w = _solve(y, weight, changed, rows(1, place), rows(2, place), w[chosen], l1 / 20, counterfactual, steps, bias)
     keep = np.flatnonzero(w)
     return bias, {int(names[k]): float(w[k]) for k in keep}
 
@@ -182,47 +174,104 @@ def _solve(y: np.ndarray, weight: np.ndarray, changed: np.ndarray, plain: tuple[
     return float(b), w
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_train_docs: int, max_train_bytes: int) -> DataFrame:
-    """A bounded hash sample of labelled documents outside the held-out third: (label, text).
+def _sampled(rows: DataFrame, total: int, bound: int, *key: str) -> DataFrame:
+    """A hash sample by ``key`` of about ``bound`` rows at most; all rows when there are no more."""
+    if total <= bound:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(1 << 30)) < int((1 << 30) * 0.98 * bound / total))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """A bounded hash sample of labelled documents outside the held-out third: (doc_id, label, text).
 
-    Several label rows of an id count as toxic when one of them is.
+    Several label rows of an id count as toxic when one of them is; null labels, null ids and null texts teach
+    nothing. Texts of any length take part. Other columns are not read.
     """
-    kept = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
-    total = kept.count()
-    if total > max_train_docs:
-        kept = kept.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30))
-                           < int((1 << 30) * 0.98 * max_train_docs / total))
-    texts = docs.select("doc_id", "text").filter(
-        F.col("text").isNotNull() & (F.octet_length("text") <= max_train_bytes))
-    return texts.join(kept, "doc_id").select("label", "text")
+    kept = (labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+            .groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").cast("int").alias("label")))
+    kept = _sampled(kept, kept.count(), max_train_docs, "doc_id")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    return texts.join(kept, "doc_id").select("doc_id", "label", "text")
 
 
 def held_out(doc_id: F.Column) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS,
-          max_train_bytes: int = MAX_TRAIN_BYTES, **options) -> tuple[float, dict[int, float]]:
-    """Fit on the labelled documents outside the held-out third."""
-    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("x", T.BinaryType()),
-                           T.StructField("swap", T.BinaryType())])
+TRAINING = "doc_id string, digest binary, label int, x binary, swap binary"
 
+
+def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id",
+          text_col: str = "text", min_docs: int = MIN_DOCS, screen: float = SCREEN, **options) -> tuple[float, dict[int, float]]:
+    """Fit on the labelled documents outside the held-out third (rules of ``training_rows``).
+
+    A row repeated under its id counts once, so at most about ``max_train_docs`` rows are collected, each as the
+    numbers of its screened features. Without labels, or with labels of one kind, the model is their rate alone;
+    empty tables give a rate near zero.
+    """
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        arrow = to_arrow_schema(schema)
+        arrow = pa.schema([("doc_id", pa.string()), ("digest", pa.binary()), ("label", pa.int32()), ("x", pa.binary()),
+                           ("swap", pa.binary())])
         code = lambda s: np.fromiter(sorted(s), np.uint32, len(s)).tobytes()
         for batch in it:
             rows = []
-            for label, text in zip(batch.column("label").to_pylist(), text_bytes(batch), strict=True):
+            for i, label, text in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(),
+                                      text_bytes(batch), strict=True):
                 other = swapped(text)
-                rows.append((label, code(features(text)), code(features(other)) if other is not None else b""))
+                rows.append((str(i), blake2b(text, digest_size=16).digest(), label, code(features(text)),
+                             code(features(other)) if other is not None else None))
             yield from batches(arrow, rows)
 
-    sample = training_rows(docs, labels, max_train_docs, max_train_bytes).mapInArrow(run, schema)
-    got = sorted((r["label"], bytes(r["x"]), bytes(r["swap"])) for r in sample.toLocalIterator())
-    read = lambda b: np.frombuffer(b, np.uint32)
-    return fit([(a, read(x), read(s)) for a, x, s in got], **options)
+    rows = training_rows(docs, labels, max_train_docs, id_col, text_col).mapInArrow(run, TRAINING)
+    rows = store(rows.groupBy("doc_id", "digest").agg(F.max("label").alias("label"), F.any_value("x").alias("x"),
+                                                      F.any_value("swap").alias("swap")), "toxic-features")
+    sample = _sampled(rows, rows.count(), max_train_docs, "doc_id", "digest")
+    facts = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
+    names = np.zeros(0, np.uint32)
+    if facts["n"] and 0 < facts["toxic"] < facts["n"]:
+        names = _screened(sample, facts["n"], facts["toxic"] / facts["n"], min_docs, screen)
+    shared = docs.sparkSession.sparkContext.broadcast(names)  # screened features of a bounded sample
+
+    def number(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow, known = pa.schema([("label", pa.int32()), ("x", pa.binary()), ("swap", pa.binary())]), shared.value
+
+        def places(raw: bytes | None) -> bytes | None:
+            if raw is None:
+                return None
+            found = np.frombuffer(raw, np.uint32)
+            return np.searchsorted(known, found[np.isin(found, known)]).astype(np.int32).tobytes()
+
+        for batch in it:
+            yield from batches(arrow, [(label, places(x), places(swap)) for label, x, swap in zip(
+                *(batch.column(c).to_pylist() for c in ("label", "x", "swap")), strict=True)])
+
+    found = sample.select("label", "x", "swap").mapInArrow(number, "label int, x binary, swap binary").toArrow()
+    got = sorted(zip(*(found.column(c).to_pylist() for c in ("label", "x", "swap")), strict=True),
+                 key=lambda r: (r[0], r[1], r[2] is not None, r[2] or b""))
+    discard(rows)
+    read = lambda b: None if b is None else np.frombuffer(b, np.int32)
+    return fit([(a, read(x), read(s)) for a, x, s in got], names, **options)
+
+
+def _screened(sample: DataFrame, n_docs: int, rate: float, min_docs: int, screen: float) -> np.ndarray:
+    """The features whose share of toxic documents is not what chance gives, sorted. Tasks count their
+    documents' features first, so a frequent feature is one row per task."""
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = pa.schema([("feature", pa.int64()), ("n", pa.int64()), ("hits", pa.int64())])
+        for batch in it:
+            lists = [np.frombuffer(x, np.uint32) for x in batch.column("x").to_pylist()]
+            label = np.repeat(batch.column("label").to_numpy(), [len(x) for x in lists])
+            names, at, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+            hits = np.bincount(at, label, len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(n), pa.array(hits)], schema=arrow)
+
+    counted = sample.select("label", "x").mapInArrow(count, "feature long, n long, hits long") \
+        .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    n = F.col("n")
+    z = (F.col("hits") - n * rate) / F.sqrt(n * rate * (1 - rate))
+    kept = counted.filter((n >= min_docs) & (F.abs(z) >= screen)).select("feature").toArrow()
+    return np.sort(kept.column("feature").to_numpy()).astype(np.uint32)
 
 
 class Scorer:
@@ -254,7 +303,7 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], id_col: str =
 
     A null text scores as empty (the model's bias); rows are scored one by one,
     so repeated rows and null ids keep a row each; other columns are ignored; an
-    empty table gives an empty result. Only the text enters the score.
+    empty table gives an empty result. Texts of any length are scored whole. Only the text enters the score.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the non-zero weights of a bounded sample
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
@@ -273,7 +322,11 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], id_col: str =
 
 def keep_clean(docs: DataFrame, model: tuple[float, dict[int, float]], text_col: str = "text",
                threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the model does not reject, with all their columns."""
+    """The rows of ``docs`` that the model does not reject, with all their columns, whatever their names.
+
+    A null or empty text has the model's bias and stays unless that is toxic; repeated rows and null ids are rows of
+    their own; texts of any length are scored whole; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

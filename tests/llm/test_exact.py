@@ -357,3 +357,42 @@ def test_held_out_words_do_not_change_the_model(spark, awkward, tmp_path):
     a = {r.doc_id: (r.score, r.base_score) for r in lm_score.score_documents(base, path).collect()}
     b = {r.doc_id: (r.score, r.base_score) for r in lm_score.score_documents(spark.read.parquet(str(tmp_path / "d")), path).collect()}
     assert all(np.allclose(a[i], b[i], rtol=1e-9) for i in a)
+
+
+def thue_morse(n):
+    return "".join("b" if bin(k).count("1") % 2 else "a" for k in range(n))
+
+
+def test_long_words_with_equal_polynomials_do_not_link(spark):
+    """A Thue-Morse word and its complement collide under any polynomial modulo a power of two."""
+    word = thue_morse(2048)
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def with_parallelism(spark, n, run):
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 12 if n > 1 else 1 << 27))
+    try:
+        return run()
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def many_copies(spark, tmp_path):
+    rng = __import__("random").Random(3)
+    base = [" ".join(rng.choice("abcdefghij") * 3 for _ in range(60)) + "\n" + " ".join(rng.choice("klmnop") * 4 for _ in range(60))
+            for _ in range(20)]
+    rows = [(i, base[i % 20] if i % 3 else f"only {i} " + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/docs")
+    return spark.read.parquet(f"{tmp_path}/docs")
+
+
+def test_keep_one_does_not_depend_on_how_the_input_is_scanned(spark, tmp_path):
+    docs = many_copies(spark, tmp_path)
+    built = with_parallelism(spark, 1, lambda: jaccard_join.keep_one(docs))
+    ids = with_parallelism(spark, 16, lambda: sorted(r.doc_id for r in built.collect()))
+    assert len(ids) == len(set(ids)) == 100 + 20

@@ -1,5 +1,7 @@
 """Learned parts: lattice probabilities and the toxicity classifier."""
 
+import zlib
+
 import itertools
 
 import numpy as np
@@ -83,30 +85,39 @@ def sample(n, seed, group_share):
     return rows
 
 
-def code(text):
-    f = toxicity.features(text)
-    return np.fromiter(sorted(f), np.uint32, len(f))
-
-
-def prepared(rows):
-    return [(y, code(t), code(toxicity.swapped(t)) if toxicity.swapped(t) else np.zeros(0, np.uint32)) for y, t in rows]
+def trained(spark, rows, repeat=1, **options):
+    """A model from (label, text) rows, under ids outside the held-out third."""
+    ids = [i for i in range(4 * len(rows)) if zlib.crc32(str(i).encode()) % 3 != 1][:len(rows)]
+    docs = spark.createDataFrame([(i, t.decode(), "k") for i, (_, t) in zip(ids, rows, strict=True)] * repeat,
+                                 "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(i, y, 1) for i, (y, _) in zip(ids, rows, strict=True)], "doc_id long, toxic int, x int")
+    return toxicity.train(docs, labels, **options)
 
 
-def test_held_out_accuracy():
-    model = toxicity.fit(prepared(sample(1500, 1, 0.05)))
-    scorer = toxicity.Scorer(*model)
+def test_held_out_accuracy(spark):
+    scorer = toxicity.Scorer(*trained(spark, sample(1500, 1, 0.05)))
     test = sample(500, 2, 0.05)
     right = sum((scorer(t) >= toxicity.THRESHOLD) == bool(y) for y, t in test)
     assert right >= 485
 
 
-def test_the_penalty_lowers_the_weight_of_group_terms():
-    rows = prepared(sample(1500, 3, 0.8))  # toxic documents often name the group
-    text = b"we met a muslim today"
-    plain = toxicity.Scorer(*toxicity.fit(rows, counterfactual=0.0))(text)
-    fair = toxicity.Scorer(*toxicity.fit(rows, counterfactual=20.0))(text)
-    neutral = toxicity.Scorer(*toxicity.fit(rows, counterfactual=20.0))(b"we met a person today")
-    assert abs(fair - neutral) < abs(plain - neutral)
+def test_the_penalty_lowers_the_weight_of_group_terms(spark):
+    rows = sample(1500, 3, 0.8)  # toxic documents often name the group
+    off = {}
+    for penalty in (0.0, 0.5, 20.0):  # none, the default, a strong one
+        weights = trained(spark, rows, counterfactual=penalty)[1]
+        off[penalty] = sum(weights.get(f, 0.0) for f in toxicity.word_features(b"muslim"))
+    assert abs(off[20.0]) <= abs(off[0.5]) < abs(off[0.0]), off
+    default = trained(spark, rows)
+    assert default == trained(spark, rows, counterfactual=0.5)
+
+
+def test_rows_repeated_under_an_id_teach_once_and_long_texts_teach(spark):
+    rows = sample(400, 4, 0.05)
+    assert trained(spark, rows, repeat=3) == trained(spark, rows)
+    long = [(y, t + b" filler" * 20_000) for y, t in rows]
+    scorer = toxicity.Scorer(*trained(spark, long))
+    assert sum((scorer(t) >= toxicity.THRESHOLD) == bool(y) for y, t in sample(300, 5, 0.05)) >= 285
 
 
 def test_swap_keeps_everything_else():
@@ -114,10 +125,10 @@ def test_swap_keeps_everything_else():
     assert toxicity.swapped(b"nothing to see") is None
 
 
-def test_one_class_or_none_gives_a_constant():
-    bias, weights = toxicity.fit([(0, code(b"a b"), np.zeros(0, np.uint32))])
+def test_one_class_or_none_gives_a_constant(spark):
+    bias, weights = trained(spark, [(0, b"a b"), (0, b"c")])
     assert not weights and 1 / (1 + np.exp(-bias)) < 0.01
-    bias, weights = toxicity.fit([])
+    bias, weights = toxicity.fit([], np.zeros(0, np.uint32))
     assert not weights
 
 
