@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Texts differ in length by orders of magnitude; small Arrow batches bound a task's memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 # Extra settings for a single-machine test session only.
