@@ -57,7 +57,7 @@ WORDS = 5
 PERCENT = 80
 BLOCK_BYTES = 2 << 20
 SIGNATURE = 1 << 14  # bits of the comparison in tiles, at most; below that a signature has two to four bits a shingle
-TILE = 512
+TILE = 2048
 BUCKET_SHINGLES = 4_000_000  # shingles (of all blocks) that one task looks up at once
 
 _IS_WORD = np.ones(256, bool)
@@ -98,8 +98,9 @@ class Shingles:
             more = k < length
             nxt = h[np.minimum(at + k, max(len(h) - 1, 0))] if len(h) else code
             code = np.where(more, mix(code * np.uint64(0x9E3779B97F4A7C15) + nxt + np.uint64(k + 1)), code)
-        order = np.lexsort((code, of))
-        code, of = code[order], of[order]
+        ends = np.cumsum(n_shingles)
+        for a, b in zip((ends - n_shingles).tolist(), ends.tolist(), strict=True):
+            code[a:b].sort()
         keep = np.ones(len(code), bool)
         keep[1:] = (code[1:] != code[:-1]) | (of[1:] != of[:-1])
         self.codes, self.of = code[keep], of[keep]
@@ -116,10 +117,12 @@ class Shingles:
         """(text, shingle) of the shared shingles in the prefixes of the kept texts."""
         use = keep[self.of]
         codes, of, shared = self.codes[use], self.of[use], shared[use]
-        order = np.lexsort((codes, shared, of))  # unshared ones first
-        codes, of, shared = codes[order], of[order], shared[order]
         n = np.bincount(of, minlength=len(self.sizes))
-        place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        # The order puts a text's unshared shingles first, then the shared ones by their codes.
+        unshared = np.bincount(of[~shared], minlength=len(n))
+        upto = np.cumsum(shared)
+        before = np.concatenate([[0], upto])[np.cumsum(n) - n]  # shared ones of the texts before
+        place = unshared[of] + upto - 1 - before[of]
         # overlap of at least percent of the union needs ceil(percent n / 100) shingles of this set
         size = n - -(-percent * n // 100) + 1
         take = shared & (place < size[of])
@@ -382,11 +385,12 @@ def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of one shingle and different components that sizes and signatures leave, compared tile by tile.
 
     A pair that shares several open shingles is taken up at the least of them only: an entry carries the lesser
-    shingles of its class's prefix, and two classes with one in common there were compared before. (A shingle they
-    share is open, as they are in different components.)
+    open shingles of its class's prefix, and two classes with one in common there were compared before.
     """
-    sets = sets.select("class", "keys", "small")
+    entries = store(entries.select("key", "class", "n", "component"), "jaccard-open-entries")
+    keys = entries.groupBy("class").agg(F.collect_list("key").alias("keys"))  # at most a prefix
     earlier = F.filter("keys", lambda k: k < F.col("key"))
+    sets = keys.join(sets.select("class", "small"), "class")
     entries = entries.join(sets, "class").withColumn("earlier", earlier).drop("keys")
     cells = _cells(entries, percent)
 

@@ -287,7 +287,7 @@ class Scorer:
             got = seen.get(w)
             if got is None:
                 got = tuple(f for f in word_features(w) if f in self.weights)
-                if len(seen) > 300_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 if len(w) <= 64:
                     seen[w] = got
