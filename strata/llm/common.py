@@ -7,7 +7,8 @@ lineage is cut and a lost executor costs no recomputation of earlier steps.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import reduce
 from hashlib import blake2b
 
@@ -105,6 +106,24 @@ def batches(schema: pa.Schema, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             [pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
+def release() -> None:
+    """Give a worker's free memory back to the system: Python workers are reused, and sit beside a growing JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A ``mapInArrow`` function that ends with ``release``."""
+    def wrapped(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(it)
+        release()
+
+    return wrapped
+
+
 # --- compact arrays -------------------------------------------------------
 
 def pack(a: np.ndarray, level: int = 1) -> bytes:

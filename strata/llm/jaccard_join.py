@@ -39,11 +39,13 @@ from strata.llm.common import (
     by_key,
     discard,
     free_name,
+    lean,
     mix,
     n_partitions,
     pack,
     pack_sorted,
     pack_text,
+    release,
     store,
     text_bytes,
     unpack,
@@ -193,7 +195,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, words: int, block_bytes
 
     rows = docs.select((F.col(row_col) if row_col else F.lit(0).cast("long")).alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
-    return store(rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), "shingle-blocks")
+    return store(rows.mapInArrow(lean(run), schema).withColumn("block", F.monotonically_increasing_id()), "shingle-blocks")
 
 
 def _block_texts(table: pa.Table | pa.RecordBatch) -> list[bytes]:
@@ -263,9 +265,11 @@ def _candidates(blocks: DataFrame, words: int, percent: int, buckets: int, bits:
             rows.append((block, table.column("bucket")[0].as_py(), np.packbits(shared[at:at + len(x)] | own).tobytes(),
                          np.packbits(owned[class_at:class_at + len(c)]).tobytes()))
             at, class_at = at + len(x), class_at + len(c)
+        del keys, by, lists, held, classes, order
+        release()
         return pa.Table.from_batches(batches(to_arrow_schema(REPLY), rows), schema=to_arrow_schema(REPLY))
 
-    replies = texts.mapInArrow(ask, ASKED).groupBy("bucket").applyInArrow(answer, REPLY)
+    replies = texts.mapInArrow(lean(ask), ASKED).groupBy("bucket").applyInArrow(answer, REPLY)
 
     def choose(block: pa.Table, replies: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -322,8 +326,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = store(_both(pairs, sets, ["n", "signature"]).select("a", "b", "n_a", "n_b", "signature_a", "signature_b")
-                 .mapInArrow(bound, PAIRS), "jaccard-bounded")
-    return store(_both(left, sets, ["shingles"]).mapInArrow(exact, PAIRS), "jaccard-links")
+                 .mapInArrow(lean(bound), PAIRS), "jaccard-bounded")
+    return store(_both(left, sets, ["shingles"]).mapInArrow(lean(exact), PAIRS), "jaccard-links")
 
 
 def _stars(entries: DataFrame, salt: int) -> DataFrame:
@@ -378,7 +382,7 @@ def _cells(entries: DataFrame, percent: int) -> DataFrame:
         (F.col("band") - 1).alias("cell_band"))))
     empty = F.array().cast(CELL)
     return entries.withColumn("cell", F.explode(F.concat(own, F.coalesce(up, empty), F.coalesce(down, empty)))).select(
-        "key", "cell.*", "class", "component", "n", "earlier", "small")
+        "key", "cell.*", "class", "component", "n")
 
 
 def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -389,10 +393,10 @@ def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     entries = store(entries.select("key", "class", "n", "component"), "jaccard-open-entries")
     keys = entries.groupBy("class").agg(F.collect_list("key").alias("keys"))  # at most a prefix
-    earlier = F.filter("keys", lambda k: k < F.col("key"))
+    earlier = F.filter("keys", lambda k: k < F.col("key")).alias("earlier")
     sets = keys.join(sets.select("class", "small"), "class")
-    entries = entries.join(sets, "class").withColumn("earlier", earlier).drop("keys")
-    cells = _cells(entries, percent)
+    # Cells are dealt as numbers; signatures and lesser shingles join last and are shuffled once.
+    cells = _cells(entries, percent).join(sets, "class").select("*", earlier).drop("keys")
 
     def compare(table: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import batches, discard, free_name, n_partitions, store, text_bytes, words_of
+from strata.llm.common import batches, discard, free_name, lean, n_partitions, store, text_bytes, words_of
 
 MIN_WORDS = 50
 
@@ -150,9 +150,14 @@ def _deleted(n: int, spans: list[dict]) -> np.ndarray:
     return np.cumsum(mark[:-1]) > 0
 
 
-def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
-                       F.col(text_col).alias("text"))
+def _identified(docs: DataFrame, row: str) -> DataFrame:
+    """The rows stored once with an id of their own in ``row``: everything that follows reads these, so the ids do not
+    depend on how or how often the input is scanned."""
+    return store(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows")
+
+
+def _texts(kept: DataFrame, row: str, id_col: str, text_col: str) -> DataFrame:
+    return kept.select(F.col(row).alias("_row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
@@ -163,15 +168,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     texts. A null text stays null and takes no part; an empty text has one empty
     line. A text whose words all go becomes a text without words; its row stays,
     or goes with ``keep_emptied=False`` (it was a copy as a whole). Rows with
-    equal ids are ordered by input position (the input must be a stored table,
-    whose scan order is fixed); null ids come first; an empty table gives an
-    empty result.
+    equal ids are ordered by input position; null ids come first; very long texts are
+    compared whole; names of other columns cannot clash; an empty table gives an empty result.
     """
-    rows = _identified(docs, id_col, text_col)
-    spans = later_copies(rows.filter(F.col("text").isNotNull()), min_words)
     columns = docs.columns
     row, found = free_name(docs, "_row"), free_name(docs, "_spans")
-    marked = docs.withColumn(row, F.monotonically_increasing_id()).join(
+    kept = _identified(docs, row)
+    spans = later_copies(_texts(kept, row, id_col, text_col).filter(F.col("text").isNotNull()), min_words)
+    marked = kept.join(
         spans.select(F.col("_row").alias(row), F.col("spans").alias(found)), row, "left")
     if chars_col not in columns:
         chars_col = None
@@ -201,7 +205,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                 batch = batch.filter(pa.array(keep, pa.bool_()))
             yield batch
 
-    return marked.select(*columns, found).mapInArrow(run, schema)
+    return marked.select(*columns, found).mapInArrow(lean(run), schema)
 
 
 def line_report(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
@@ -209,9 +213,10 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     """Per row: (doc_id, n_lines, n_removed, n_runs, kept_sha256) with the rules of ``dedup_lines``.
 
     ``n_runs`` counts maximal deleted runs; the digest is of the remaining
-    UTF-8 text. A null text has no lines and the digest of the empty text.
+    UTF-8 text. A null text has no lines and the digest of the empty text; very long texts
+    are hashed whole.
     """
-    rows = _identified(docs, id_col, text_col)
+    rows = _texts(_identified(docs.select(id_col, text_col), "_row"), "_row", id_col, text_col)
     spans = later_copies(rows.filter(F.col("text").isNotNull()), min_words)
     schema = T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_lines", T.LongType()),
@@ -233,7 +238,7 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                             int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), sha256(kept).hexdigest()))
             yield from batches(arrow, out)
 
-    return rows.join(spans, "_row", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return rows.join(spans, "_row", "left").select("doc_id", "text", "spans").mapInArrow(lean(run), schema)
 
 
 def query(spark, sf_dir):

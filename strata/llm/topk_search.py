@@ -1,7 +1,7 @@
 """Exact top-k inner-product search: tiled matrix products with tree merging.
 
-Query vectors are packed into blocks of bounded size and broadcast block by
-block. Every task walks its shard of the vectors in tiles; a tile is one matrix
+Query vectors are packed into blocks of bounded size; a pass broadcasts a bounded number of them and stores what
+it finds. Every task walks its shard of the vectors in tiles; a tile is one matrix
 product with the query block, from which the k best per query are selected and
 merged into the task's running lists. The lists of the tasks are merged by a
 tree of fixed fan-in, so no task ever sees the lists of all shards at once.
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import batches
+from strata.llm.common import batches, store
 
 QUERY_BLOCK = 1024  # query vectors in a broadcast block
 PASS_BLOCKS = 64  # blocks that one pass over the shards serves
@@ -27,8 +27,6 @@ FAN_IN = 16
 _EXACT = float(1 << 53)  # doubles hold every integer up to here
 _LONG = (1 << 63) - 1
 
-VECTORS = T.StructType([T.StructField("_row", T.LongType()), T.StructField("vec_id", T.LongType()),
-                        T.StructField("v", T.ArrayType(T.DoubleType()))])
 LISTS = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("node", T.LongType()),
                       T.StructField("query", T.BinaryType()), T.StructField("vec_id", T.BinaryType()),
                       T.StructField("score", T.BinaryType())])
@@ -117,34 +115,21 @@ def exact_top_k(vectors: DataFrame, k: int = 10, is_query: F.Column | None = Non
         F.col(vector_col).cast("array<double>").alias("v"))
     v = v.filter(F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall(
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    shards = max(vectors.rdd.getNumPartitions(), 1)
-
-    blocks: list = []  # (rows, ids, matrix) in broadcasts of at most query_block vectors each
-    pending: dict[int, list] = {}
-
-    def flush(size: int) -> None:
-        part = pending.pop(size)
-        blocks.append(sc.broadcast((np.array([r[0] for r in part], np.int64), np.array([r[1] for r in part], np.int64),
-                                    np.floor(np.array([r[2] for r in part], np.float64) * scale))))
-
-    # One block at a time reaches the driver; the query set is a stated part of the rows.
-    for r in v.filter(is_query).select("_row", "vec_id", "v").toLocalIterator():
-        part = pending.setdefault(len(r[2]), [])
-        part.append(r)
-        if len(part) >= query_block:
-            flush(len(r[2]))
-    for size in list(pending):
-        flush(size)
-    if not blocks:
+    # Stored once with their row ids: queries, candidates and every pass read the same rows.
+    v = store(v.withColumn("_query", F.coalesce(is_query, F.lit(False))), "search-vectors")
+    queries = v.filter("_query")
+    sizes = {r["n"]: r["rows"] for r in queries.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+             .orderBy("n").toLocalIterator()}
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
-    def search(it: Iterator[pa.RecordBatch], served: range) -> Iterator[pa.RecordBatch]:
+    def search(it: Iterator[pa.RecordBatch], served) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(LISTS)
-        node = TaskContext.get().partitionId()
+        node, blocks = TaskContext.get().partitionId(), served.value
         z = np.zeros(0, np.int64)
-        lists = dict.fromkeys(served, (z, z, z))
+        lists = dict.fromkeys(range(len(blocks)), (z, z, z))
         for batch in it:
             sizes = np.diff(batch.column("v").offsets.to_numpy())
             for size in np.unique(sizes):
@@ -152,8 +137,7 @@ def exact_top_k(vectors: DataFrame, k: int = 10, is_query: F.Column | None = Non
                 m, n = _matrix(part.column("v"))
                 m = np.floor(m * scale)
                 rows, ids = part.column("_row").to_numpy(), part.column("vec_id").to_numpy()
-                for b in served:
-                    q_rows, _, q = blocks[b].value
+                for b, (q_rows, q) in enumerate(blocks):
                     if q.shape[1] != size:
                         continue
                     for at in range(0, n, tile_rows):
@@ -173,33 +157,43 @@ def exact_top_k(vectors: DataFrame, k: int = 10, is_query: F.Column | None = Non
                             for c, x in zip(("query", "vec_id", "score"), got, strict=True)}},
                         schema=to_arrow_schema(LISTS))
 
-    # A pass broadcasts a bounded number of blocks; further queries take further passes.
-    passes = [range(b, min(b + PASS_BLOCKS, len(blocks))) for b in range(0, len(blocks), PASS_BLOCKS)]
-    lists = reduce(DataFrame.unionByName, [
-        v.mapInArrow(lambda it, served=served: search(it, served), LISTS) for served in passes])
-    while shards > 1:  # levels of the merge tree
-        lists = lists.withColumn("node", F.floor(F.col("node") / FAN_IN)).groupBy("block", "node") \
-            .applyInArrow(merge, LISTS)
-        shards = -(-shards // FAN_IN)
-
-    out = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()),
-                        T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
+    ranks = T.StructType([T.StructField("_row", T.LongType()), T.StructField("rank", T.IntegerType()),
+                          T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 
     def ranked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for b, *raw in zip(*(batch.column(c).to_pylist() for c in ("block", "query", "vec_id", "score")),
-                               strict=True):
+            for raw in zip(*(batch.column(c).to_pylist() for c in ("query", "vec_id", "score")), strict=True):
                 q, vec, score = (np.frombuffer(x, np.int64) for x in raw)
-                q_rows, q_ids, _ = blocks[b].value
-                order = np.argsort(q_rows)
-                ids = q_ids[order][np.searchsorted(q_rows[order], q)]
                 first = np.flatnonzero(np.diff(q, prepend=q[0] - 1))
                 place = np.arange(len(q)) - np.repeat(first, np.diff(first, append=len(q))) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(place.astype(np.int32)), pa.array(vec), pa.array(score)],
-                    names=["query_id", "rank", "vec_id", "score"])
-
-    return lists.mapInArrow(ranked, out)
+                    [pa.array(q), pa.array(place.astype(np.int32)), pa.array(vec), pa.array(score)], names=ranks.names)
+
+    # A pass takes a hash part of the queries that fits a bounded broadcast; its result is stored and the
+    # broadcast dropped, so neither the driver nor a worker holds more than one pass however many queries there are.
+    found = []
+    for size, rows in sizes.items():
+        passes = -(-rows // (PASS_BLOCKS * query_block // 2))
+        for number in range(passes):
+            mine = queries.filter((F.size("v") == size) & (F.pmod(F.xxhash64("_row"), F.lit(passes)) == number))
+            got = mine.select("_row", "v").toArrow()
+            q_rows, matrix = got.column("_row").to_numpy(), _matrix(got.column("v").combine_chunks())[0]
+            if not len(q_rows):
+                continue
+            matrix = np.floor(matrix * scale)
+            served = sc.broadcast([(q_rows[x:x + query_block], matrix[x:x + query_block])
+                                   for x in range(0, len(q_rows), query_block)])
+            shards = max(v.rdd.getNumPartitions(), 1)
+            lists = v.select("_row", "vec_id", "v").mapInArrow(lambda it, served=served: search(it, served), LISTS)
+            while shards > 1:  # levels of the merge tree
+                lists = lists.withColumn("node", F.floor(F.col("node") / FAN_IN)).groupBy("block", "node") \
+                    .applyInArrow(merge, LISTS)
+                shards = -(-shards // FAN_IN)
+            found.append(store(lists.mapInArrow(ranked, ranks), "search-ranks"))
+            served.destroy()
+    every = reduce(DataFrame.unionByName, found)
+    ids = queries.select("_row", F.col("vec_id").alias("query_id"))
+    return every.join(ids, "_row").select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark, sf_dir):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import LOWER, batches, discard, store, text_bytes
+from strata.llm.common import LOWER, batches, discard, lean, store, text_bytes
 
 MAX_TRAIN_DOCS = 8_000  # labelled documents the model is fitted on, at most
 THRESHOLD = 0.7
@@ -223,7 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
                              code(features(other)) if other is not None else None))
             yield from batches(arrow, rows)
 
-    rows = training_rows(docs, labels, max_train_docs, id_col, text_col).mapInArrow(run, TRAINING)
+    rows = training_rows(docs, labels, max_train_docs, id_col, text_col).mapInArrow(lean(run), TRAINING)
     rows = store(rows.groupBy("doc_id", "digest").agg(F.max("label").alias("label"), F.any_value("x").alias("x"),
                                                       F.any_value("swap").alias("swap")), "toxic-features")
     sample = _sampled(rows, rows.count(), max_train_docs, "doc_id", "digest")
@@ -246,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
             yield from batches(arrow, [(label, places(x), places(swap)) for label, x, swap in zip(
                 *(batch.column(c).to_pylist() for c in ("label", "x", "swap")), strict=True)])
 
-    found = sample.select("label", "x", "swap").mapInArrow(number, "label int, x binary, swap binary").toArrow()
+    found = sample.select("label", "x", "swap").mapInArrow(lean(number), "label int, x binary, swap binary").toArrow()
     got = sorted(zip(*(found.column(c).to_pylist() for c in ("label", "x", "swap")), strict=True),
                  key=lambda r: (r[0], r[1], r[2] is not None, r[2] or b""))
     discard(rows)
@@ -266,7 +266,7 @@ def _screened(sample: DataFrame, n_docs: int, rate: float, min_docs: int, screen
             hits = np.bincount(at, label, len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(n), pa.array(hits)], schema=arrow)
 
-    counted = sample.select("label", "x").mapInArrow(count, "feature long, n long, hits long") \
+    counted = sample.select("label", "x").mapInArrow(lean(count), "feature long, n long, hits long") \
         .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
     n = F.col("n")
     z = (F.col("hits") - n * rate) / F.sqrt(n * rate * (1 - rate))
@@ -315,7 +315,7 @@ def score(docs: DataFrame, model: tuple[float, dict[int, float]], id_col: str =
             yield from batches(arrow, list(zip(
                 batch.column("doc_id").to_pylist(), map(scorer, text_bytes(batch)), strict=True)))
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema).select(
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run), schema).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -334,7 +334,7 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[int, float]], text_col:
         for batch in it:
             yield batch.filter(pa.array([scorer(t) < threshold for t in text_bytes(batch, text_col)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def query(spark, sf_dir):

@@ -396,3 +396,23 @@ def test_keep_one_does_not_depend_on_how_the_input_is_scanned(spark, tmp_path):
     built = with_parallelism(spark, 1, lambda: jaccard_join.keep_one(docs))
     ids = with_parallelism(spark, 16, lambda: sorted(r.doc_id for r in built.collect()))
     assert len(ids) == len(set(ids)) == 100 + 20
+
+
+def test_line_dedup_does_not_depend_on_how_the_input_is_scanned(spark, tmp_path):
+    docs = many_copies(spark, tmp_path)
+    want = sorted(tuple(r) for r in line_dedup.dedup_lines(docs, 20, keep_emptied=False).collect())
+    built = with_parallelism(spark, 1, lambda: line_dedup.dedup_lines(docs, 20, keep_emptied=False))
+    assert with_parallelism(spark, 16, lambda: sorted(tuple(r) for r in built.collect())) == want
+    assert len(want) == 100 + 20
+
+
+def test_search_does_not_depend_on_how_the_input_is_scanned_or_on_passes(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(900)] + [(200, [1.0] * 8), (None, [1.0] * 8)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8).write.parquet(f"{tmp_path}/v")
+    table = spark.read.parquet(f"{tmp_path}/v")
+    want = multiset(topk_search.exact_top_k(table, 5), "query_id", "rank", "vec_id", "score")
+    built = with_parallelism(spark, 1, lambda: topk_search.exact_top_k(table, 5))
+    assert with_parallelism(spark, 16, lambda: multiset(built, "query_id", "rank", "vec_id", "score")) == want
+    monkeypatch.setattr(topk_search, "PASS_BLOCKS", 2)
+    assert multiset(topk_search.exact_top_k(table, 5, query_block=2), "query_id", "rank", "vec_id", "score") == want
