@@ -1,7 +1,7 @@
 """Market prices as a stream: the clean series chained by keyed state, serving tables kept up to date from signed rows.
 
-T2. One processor per coin (RocksDB state): the last price before the horizon, and the rows within it. A poll
-that arrives late, or repeats a batch id, is put in its place and the row after it is corrected. The output is a
+T2. One processor per cell of coins (RocksDB state): per coin the last price before the horizon, and the rows within
+it. A poll that arrives late, or repeats a batch id, is put in its place and the row after it is corrected. The output is a
 log of signed rows - ``new`` and ``fix`` add one, ``undo`` takes one away - so nothing is rewritten and
 the cost of a micro-batch does not depend on the history. Event-time timers let rows leave the state once
 the watermark has passed them.
@@ -15,8 +15,10 @@ Rows without a symbol, without a batch id or without valid JSON are kept apart (
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,101 +38,118 @@ TIEBREAK = ("last_updated", "current_price")  # polls of one coin and batch id
 BUCKETS = 16
 ADDS, TAKES = ("new", "fix"), ("undo",)
 MILLIS = 1000
+HEAD = ("batch", "updated", "price")  # a poll's batch id and TIEBREAK in its head
+CELLS = 4096     # groups of coins with a state
+ROWS_OUT = 1000  # rows of a cell in one row of arrays
 
 
 # ---- T2: the processor ---------------------------------------------------------
 class Movement(StatefulProcessor):
-    """Previous price per coin; see the module's text. ``columns`` are the row's columns, in the state's order."""
+    """Previous price per coin; see the module's text.
 
-    def __init__(self, columns: list[str], types: list[str]):
-        self.columns = columns
-        self.types = types
-        self.at = {c: columns.index(c) for c in ("_batch_id", *TIEBREAK)}
+    Calls and values that cross to Python cost more than what is done with them. So a group of the state is a cell of
+    coins, its state is one text, a poll is one text (``head`` in JSON, a line feed, the whole row in JSON), and the
+    rows of a cell leave as arrays.
+    """
 
     def init(self, handle) -> None:
-        rows = ", ".join(f"`{c}` {t}" for c, t in zip(self.columns, self.types, strict=True))
         self.handle = handle
-        self.shape = Row(*self.columns, "previous_price", "kind")
-        self.floor = handle.getValueState("floor", "batch bigint, updated string, price double, timer bigint")
-        self.recent = handle.getListState("recent", f"{rows}, previous_price double")
-
-    def _order(self, row: tuple) -> tuple:
+        self.shape = Row("polls", "previous", "kinds")
+        # coins: symbol -> (order fields of the last poll before the horizon, [(poll, previous price)] within it)
+        self.state = handle.getValueState("cell", "timer bigint, coins string")
+
+    @staticmethod
+    def _read(poll: str) -> tuple:
+        """(batch id, last_updated, price, row, symbol) of a poll."""
+        head, row = poll.split("\n", 1)
+        d = json.loads(head)
+        price = d.get("price")  # NaN and the infinities are texts
+        return d["batch"], d.get("updated"), None if price is None else float(price), row, d["symbol"]
+
+    @staticmethod
+    def _order(row) -> tuple:
         """Order of the series, as SQL sorts it: nulls first, NaN last."""
-        updated, price = row[self.at["last_updated"]], row[self.at["current_price"]]
-        return (row[self.at["_batch_id"]], updated is not None, updated or "", price is not None,
-                price is not None and math.isnan(price), price if price is not None and not math.isnan(price) else 0.0)
-
-    def _out(self, row: tuple, previous: float | None, kind: str) -> Row:
-        return self.shape(*row, previous, kind)
-
-    def _keep(self, floor, rows: list[tuple], horizon: int, timer_gone: bool = False) -> None:
-        """Store the rows within the horizon; the last row before it becomes the floor. One timer is outstanding."""
-        gone = [r for r in rows if r[0][self.at["_batch_id"]] < horizon]
-        rows = rows[len(gone):]
-        batch, updated, price, timer = floor or (None, None, None, None)
-        if gone:
-            last = gone[-1][0]
-            batch, updated, price = (last[self.at[c]] for c in ("_batch_id", *TIEBREAK))
-        if timer_gone:
-            timer = None
-        if rows and timer is None:
-            timer = (rows[-1][0][self.at["_batch_id"]] + 1) * MILLIS
-            self.handle.registerTimer(timer)
-        if gone or floor is None or timer != floor[3]:
-            self.floor.update((batch, updated, price, timer))
-        if rows:
-            self.recent.put([(*row, previous) for row, previous in rows])
-        else:
-            self.recent.clear()
-
-    def _stored(self) -> tuple[tuple | None, list[tuple]]:
-        floor = self.floor.get()
-        return (tuple(floor) if floor is not None else None), [(tuple(r)[:-1], r[-1]) for r in self.recent.get()]
+        batch, updated, price = row[:3]
+        nan = price is not None and math.isnan(price)
+        return batch, updated is not None, updated or "", price is not None, nan, price if price is not None and not nan else 0.0
+
+    def _out(self, rows: list[tuple]) -> Iterator[Row]:
+        """(row, previous price, kind) as few rows of arrays of bounded length."""
+        for i in range(0, len(rows), ROWS_OUT):
+            yield self.shape(*map(list, zip(*rows[i:i + ROWS_OUT], strict=True)))
+
+    @staticmethod
+    def _split(floor, rows: list, horizon: int) -> tuple:
+        """A coin's state: the rows within the horizon; the last row before it becomes the floor."""
+        kept = [r for r in rows if r[0][0] >= horizon]
+        if len(kept) < len(rows):
+            floor = rows[len(rows) - len(kept) - 1][0][:3]
+        return floor, kept
+
+    def _stored(self) -> tuple[int | None, dict]:
+        stored = self.state.get()
+        return (stored[0], json.loads(stored[1])) if stored is not None else (None, {})
+
+    def _store(self, timer: int | None, coins: dict) -> None:
+        """One timer is outstanding while rows are held: for when all of them are behind the watermark."""
+        if timer is None:
+            newest = max((rows[-1][0][0] for _, rows in coins.values() if rows), default=None)
+            if newest is not None:
+                timer = (newest + 1) * MILLIS
+                self.handle.registerTimer(timer)
+        self.state.update((timer, json.dumps(coins)))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        arrived = [tuple(r)[:len(self.columns)] for r in rows]  # the key is the last column
         if key[0][0] == "\0":  # not a coin: kept apart
-            yield from (self._out(r, None, "bad") for r in arrived)
+            bad = (r[0].split("\n", 1)[1] for r in rows)
+            while some := [(row, None, "bad") for row in islice(bad, ROWS_OUT)]:
+                yield from self._out(some)
             return
-        floor, held = self._stored()
-        edge = None
-        if floor is not None and floor[0] is not None:
-            blank: list = [None] * len(self.columns)
-            for c, v in zip(("_batch_id", *TIEBREAK), floor, strict=False):
-                blank[self.at[c]] = v
-            edge = self._order(tuple(blank))
-        series = [(r, p, False) for r, p in held]
-        for r in arrived:
-            if edge is not None and self._order(r) < edge:
-                yield self._out(r, None, "late")
-            else:
-                series.append((r, None, True))
-        series.sort(key=lambda x: self._order(x[0]))
-        previous, kept = (floor[2] if edge is not None else None), []
-        for r, was, fresh in series:
-            if fresh:
-                yield self._out(r, previous, "new")
-            elif was != previous:
-                yield self._out(r, was, "undo")
-                yield self._out(r, previous, "fix")
-            kept.append((r, previous))
-            previous = r[self.at["current_price"]]
-        self._keep(floor, kept, timerValues.getCurrentWatermarkInMs() // MILLIS)
+        horizon = timerValues.getCurrentWatermarkInMs() // MILLIS
+        timer, coins = self._stored()
+        arrived: dict[str, list] = {}
+        for r in rows:
+            row = self._read(r[0])
+            arrived.setdefault(row[4], []).append(row[:4])
+        out = []
+        for symbol, polls in arrived.items():
+            floor, held = coins.get(symbol, (None, []))
+            edge = self._order(floor) if floor is not None else None
+            series = [(r, p, False) for r, p in held]
+            for r in polls:
+                if edge is not None and self._order(r) < edge:
+                    out.append((r[3], None, "late"))
+                else:
+                    series.append((r, None, True))
+            series.sort(key=lambda x: self._order(x[0]))
+            previous, kept = (floor[2] if floor is not None else None), []
+            for r, was, fresh in series:
+                if fresh:
+                    out.append((r[3], previous, "new"))
+                elif was != previous:
+                    out += [(r[3], was, "undo"), (r[3], previous, "fix")]
+                kept.append((r, previous))
+                previous = r[2]
+            coins[symbol] = self._split(floor, kept, horizon)
+        self._store(timer, coins)
+        yield from self._out(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        floor, held = self._stored()
-        self._keep(floor, held, timerValues.getCurrentWatermarkInMs() // MILLIS, timer_gone=True)
+        horizon = timerValues.getCurrentWatermarkInMs() // MILLIS
+        _, coins = self._stored()
+        self._store(None, {s: self._split(floor, rows, horizon) for s, (floor, rows) in coins.items()})
         yield from ()
 
 
-def signed_series(stream: DataFrame, lateness: int) -> DataFrame:
+def signed_series(stream: DataFrame, lateness: int, cells: int = CELLS) -> DataFrame:
     """The stream of polls as signed rows with ``previous_price`` and ``kind``.
 
     ``lateness`` (in units of the batch id, unix seconds) is how far a poll may lag behind the newest one and
-    still be placed from the state.
+    still be placed from the state. ``cells`` groups of coins share their state's reads and writes; a checkpoint keeps
+    the number it began with.
     """
     times = [f.name for f in stream.schema if isinstance(f.dataType, T.TimestampType)]
-    rows = stream.withColumns({c: F.unix_micros(c) for c in times})  # state holds plain numbers
+    rows = stream.withColumns({c: F.unix_micros(c) for c in times})  # the text holds plain numbers
     columns = rows.columns
     # The event time serves timers only; as a column of the input it would make Spark drop late polls unseen.
     rows = rows.withColumn("_event", F.timestamp_seconds(F.coalesce("_batch_id", F.lit(0)))) \
@@ -139,11 +158,19 @@ def signed_series(stream: DataFrame, lateness: int) -> DataFrame:
     if CORRUPT in columns:
         sound = sound & F.col(CORRUPT).isNull()
     apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*columns), F.lit(64)).cast("string"))
-    keyed = rows.withColumn("_key", F.when(sound, F.concat(F.lit("c"), "symbol")).otherwise(apart))
-    out = T.StructType([*rows.schema.fields, T.StructField("previous_price", T.DoubleType()),
-                        T.StructField("kind", T.StringType())])
-    types = [rows.schema[c].dataType.simpleString() for c in columns]
-    moved = keyed.groupBy("_key").transformWithState(Movement(columns, types), out, "Update", "EventTime")
+    cell = F.concat(F.lit("c"), F.pmod(F.xxhash64("symbol"), F.lit(cells)).cast("string"))
+    # Plain names: a field named as the corrupt record would be read as one.
+    at = {c: f"c{i}" for i, c in enumerate(columns)}
+    text = T.StructType([T.StructField(at[f.name], f.dataType) for f in rows.schema])
+    head = F.to_json(F.struct("symbol", *[F.col(c).alias(to) for c, to in zip(("_batch_id", *TIEBREAK), HEAD, strict=True)]))
+    row = F.to_json(F.struct(*[F.col(c).alias(at[c]) for c in columns]))
+    keyed = rows.select(F.concat(head, F.lit("\n"), row).alias("_poll"), F.when(sound, cell).otherwise(apart).alias("_key"))
+    out = "polls array<string>, previous array<double>, kinds array<string>"
+    moved = keyed.groupBy("_key").transformWithState(Movement(), out, "Update", "EventTime")
+    moved = moved.select(F.explode(F.arrays_zip("polls", "previous", "kinds")).alias("r")).select(
+        F.from_json("r.polls", text, {"mode": "FAILFAST"}).alias("p"), F.col("r.previous").alias("previous_price"),
+        F.col("r.kinds").alias("kind"))
+    moved = moved.select(*[F.col(f"p.{at[c]}").alias(c) for c in columns], "previous_price", "kind")
     return moved.withColumns({c: F.timestamp_micros(c) for c in times})
 
 

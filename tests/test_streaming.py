@@ -14,7 +14,7 @@ from strata.sources.documents import DOCUMENT_SCHEMA, LandingError
 from strata.sources.files import scratch_path
 from strata.sources.testdata import prices_raw
 from strata.streaming import jobs, versions
-from strata.streaming.market import Market, run_market_refresh
+from strata.streaming.market import Market, Movement, run_market_refresh
 from strata.streaming.rank_tree import RankTree
 from tests.conftest import SF_SMALL, rows
 
@@ -96,6 +96,66 @@ def test_late_and_repeated_polls_equal_the_batch_result(spark, lateness):
         assert not Market(spark, root, 4).series.has("late", 99)
 
 
+def test_odd_values_pass_the_state_unchanged(spark):
+    """Polls are texts within the state: quotes, line feeds, NaN, infinities, zeros with a sign and nulls come back."""
+    landing, root = scratch_path(spark, "t-odd"), scratch_path(spark, "t-odd-out")
+    odd = ['a"b', "a\nb", "a\\b", "\u00e9\U0001f600", " ", "", "\u0001c"]
+    first = [poll(s, b, x) for s in odd for b, x in ((1, 1e-300), (2, float("nan")), (4, None), (5, float("inf")))]
+    then = [poll(s, b, x) for s in odd for b, x in ((3, -0.0), (2, float("-inf")), (6, 0.1 + 0.2), (4, float("nan")))]
+    for step in (first, then):
+        land(spark, landing, step)
+        refresh(spark, landing, root, serving=False)
+    columns = ["symbol", "name", "_batch_id", "market_cap", "max_supply", "current_price", "previous_price"]
+    shown = [F.col(c).cast("string") if c.endswith("_price") else F.col(c) for c in columns]
+    want = batch_series(spark.createDataFrame(first + then, PRICE_LANDING_SCHEMA).withColumn("_ingested_at", F.current_timestamp()))
+    got = Market(spark, root, 4).clean_series()
+    assert rows(got.select(*shown)) == rows(want.select(*shown))
+    assert got.filter("_ingested_at IS NULL").count() == 0
+
+
+def test_state_calls_do_not_grow_with_the_coins():
+    """A cell's state is read and written once a micro-batch, however many coins and polls arrive, and once by a timer."""
+    calls = []
+
+    class Stub:  # handle, state and clock
+        held, now = None, 0
+
+        def getValueState(self, name, schema):
+            return self
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+    def arrived(*batches):
+        return [(json.dumps({"symbol": f"s{k}", "batch": b, "price": float(k + b)}) + f"\n{k}-{b}",) for k in range(500) for b in batches]
+
+    stub, cell = Stub(), Movement()
+    cell.init(stub)
+    out = [r.asDict() for r in cell.handleInputRows(("c1",), iter(arrived(1, 3)), stub)]
+    assert len(out) == 1 and calls == ["get", "timer", "update"]
+    stub.now, calls[:] = 2000, []
+    out = [r.asDict() for r in cell.handleInputRows(("c1",), iter(arrived(2)), stub)]  # between the two: the later is corrected
+    assert [len(r["polls"]) for r in out] == [1000, 500] and calls == ["get", "update"]
+    assert [k for r in out for k in r["kinds"]] == ["new", "undo", "fix"] * 500
+    stub.now, calls[:] = 4000, []
+    assert not list(cell.handleExpiredTimer(("c1",), stub, None)) and calls == ["get", "update"]
+    timer, coins = stub.held
+    assert timer is None and all(floor[0] == 3 and not recent for floor, recent in json.loads(coins).values())
+    out = [r.asDict() for r in cell.handleInputRows(("c1",), iter(arrived(2)), stub)]
+    assert {k for r in out for k in r["kinds"]} == {"late"}
+
+
 def test_malformed_polls_are_kept_and_counted(spark):
     landing, root = scratch_path(spark, "t-bad"), scratch_path(spark, "t-bad-out")
     good = [poll("a", 1, 10.0), poll("b", 1, 5.0), poll("a", 2, 11.0)]
