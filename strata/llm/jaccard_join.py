@@ -17,8 +17,10 @@ alone come first; a class with a whole prefix of them links nothing.
 4. What is left are pairs of one shingle in different components. They are
    compared completely: the classes are cut into bands by size (a link spans at
    most neighbouring bands) and hashed tiles of bounded size; in a pair of
-   tiles the bit counts of the signatures bound the overlap from above, and
-   only pairs that the bound leaves are intersected exactly.
+   tiles the bit counts of the signatures bound the overlap from above. The
+   classes of pairs that the bound leaves get their sets and meet once more in
+   the same tiles, where these pairs are intersected exactly and give links that
+   join the tiles' components; no table has a row for each pair.
 """
 
 from __future__ import annotations
@@ -60,6 +62,7 @@ PERCENT = 80
 BLOCK_BYTES = 2 << 20
 SIGNATURE = 1 << 14  # bits of the comparison in tiles, at most; below that a signature has two to four bits a shingle
 TILE = 2048
+PART_SHINGLES = 1_000_000  # shingles on either side of the exact comparison that one task holds (and one text more)
 BUCKET_SHINGLES = 4_000_000  # shingles (of all blocks) that one task looks up at once
 
 _IS_WORD = np.ones(256, bool)
@@ -76,6 +79,11 @@ CANDIDATES = T.StructType([
     T.StructField("signature", T.BinaryType()),
     T.StructField("shingles", T.BinaryType())])
 PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+REQUESTS = T.StructType([
+    T.StructField("key", T.LongType()), T.StructField("cell_band", T.IntegerType()), T.StructField("up", T.IntegerType()),
+    T.StructField("t", T.IntegerType()), T.StructField("u", T.IntegerType()), T.StructField("part", T.LongType()),
+    T.StructField("other", T.LongType()), T.StructField("class", T.LongType()), T.StructField("component", T.LongType()),
+    T.StructField("place", T.LongType()), T.StructField("partners", T.BinaryType())])
 
 
 class Shingles:
@@ -352,6 +360,7 @@ def _open(entries: DataFrame, components: DataFrame) -> DataFrame:
     return by_key(labelled, store(many, "jaccard-open-keys"), ["key"], "held").filter("held IS NOT NULL").drop("held")
 
 
+CELL_KEY = ["key", "cell_band", "up", "t", "u"]
 CELL = "array<struct<up:int,t:int,u:int,side:int,cell_band:int>>"
 
 
@@ -385,9 +394,11 @@ def _cells(entries: DataFrame, percent: int) -> DataFrame:
         "key", "cell.*", "class", "component", "n")
 
 
-def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one shingle and different components that sizes and signatures leave, compared tile by tile.
+def _tile_requests(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stored classes of each cell with a pair of different components that sizes and signatures leave.
 
+    A row is one class of one part of a cell, with its ``place`` there and the places of its ``partners``: as many
+    rows as a cell has classes at most, however many pairs they form. Parts bound the shingles that meet in a task.
     A pair that shares several open shingles is taken up at the least of them only: an entry carries the lesser
     open shingles of its class's prefix, and two classes with one in common there were compared before.
     """
@@ -400,15 +411,18 @@ def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
+        table = table.sort_by("class")  # places do not depend on the order of arrival
         cls, comp, n, side = (table.column(c).to_numpy() for c in ("class", "component", "n", "side"))
         sigs = [np.frombuffer(x, np.uint64) for x in table.column("small").to_pylist()]
         before = [frozenset(x) for x in table.column("earlier").to_pylist()]
         width = 64 * min(map(len, sigs))
         sig = np.stack([fold(x, width) for x in sigs])
+        cell = [table.column(c)[0].as_py() for c in CELL_KEY]
         crossing = table.column("up")[0].as_py() or table.column("t")[0].as_py() != table.column("u")[0].as_py()
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if crossing else left
-        a, b = [], []
+        part = (np.cumsum(n, dtype=np.int64) - n) // PART_SHINGLES
+        found, met = {}, {}  # of each part: the partners by place, and every place of a pair
         for i in left.tolist():
             j = right if crossing else right[cls[right] > cls[i]]
             j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
@@ -416,13 +430,77 @@ def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 over = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[j]).sum(1).astype(np.int64),
                                   n[j] - np.bitwise_count(sig[j] & ~sig[i]).sum(1).astype(np.int64))
                 j = j[100 * over >= percent * (n[i] + n[j] - over)]
-                j = [k for k in j.tolist() if before[i].isdisjoint(before[k])]
-                a += [cls[i]] * len(j)
-                b += cls[j].tolist()
+                j = np.array([k for k in j.tolist() if before[i].isdisjoint(before[k])], np.int64)
+                for p in np.unique(part[j]).tolist():
+                    at, these = (int(part[i]), p), j[part[j] == p]
+                    found.setdefault(at, {})[i] = pack_sorted(these)
+                    met.setdefault(at, np.zeros(len(cls), bool))[these] = True
+                    met[at][i] = True
+        rows = [(*cell, *at, int(cls[i]), int(comp[i]), i, found[at].get(i))
+                for at, places in met.items() for i in np.flatnonzero(places).tolist()]
+        return pa.Table.from_batches(batches(to_arrow_schema(REQUESTS), rows), schema=to_arrow_schema(REQUESTS))
+
+    return store(cells.groupBy(*CELL_KEY).applyInArrow(compare, REQUESTS), "jaccard-requests")
+
+
+def _partners(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each class of a part of a cell that has partners, and these, as rows of the table."""
+    places = table.column("place").to_numpy()
+    row = np.zeros(int(places.max()) + 1, np.int64)
+    row[places] = np.arange(len(places))
+    for i, x in enumerate(table.column("partners").to_pylist()):
+        if x is not None:
+            yield i, row[unpack_sorted(x).astype(np.int64)]
+
+
+def _tile_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one shingle and different components that sizes and signatures leave, all of them."""
+
+    def pairs(table: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        cls = table.column("class").to_numpy()
+        a, b = (np.concatenate(x) for x in zip(*((np.full(len(j), i), j) for i, j in _partners(table)), strict=True))
+        return pa.table({"a": np.minimum(cls[a], cls[b]), "b": np.maximum(cls[a], cls[b])}, schema=to_arrow_schema(PAIRS))
+
+    return _tile_requests(entries, sets, percent).groupBy(*CELL_KEY, "part", "other").applyInArrow(pairs, PAIRS)
+
+
+def _tile_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the same components as all links between classes of one open shingle.
+
+    The pairs that sizes and signatures leave are intersected exactly in the task that holds their part of a cell.
+    Of links between the same components (as joined there so far) one is returned, so a part
+    gives fewer links than it has classes.
+    """
+
+    def exact(table: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        table = table.sort_by("place")
+        cls, group = table.column("class").to_numpy(), table.column("component").to_numpy().copy()
+        lists = [unpack_sorted(x) for x in table.column("shingles").to_pylist()]
+        n = np.array([len(x) for x in lists], np.int64)
+        distinct, codes = np.unique(np.concatenate(lists), return_inverse=True)
+        codes = np.split(codes.astype(np.int32), np.cumsum(n)[:-1])
+        held = np.zeros(len(distinct), bool)
+        del lists, distinct
+        a, b = [], []
+        for i, j in _partners(table):
+            j = j[group[j] != group[i]]
+            if len(j):
+                held[codes[i]] = True
+                over = np.array([np.count_nonzero(held[codes[k]]) for k in j.tolist()], np.int64)
+                held[codes[i]] = False
+                j = j[100 * over >= percent * (n[i] + n[j] - over)]
+                joined, first = np.unique(group[j], return_index=True)
+                a += [cls[i]] * len(first)
+                b += cls[j[first]].tolist()
+                group[np.isin(group, joined)] = group[i]
         a, b = np.array(a, np.int64), np.array(b, np.int64)
+        release()
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)}, schema=to_arrow_schema(PAIRS))
 
-    return cells.groupBy("key", "cell_band", "up", "t", "u").applyInArrow(compare, PAIRS)
+    parts = _tile_requests(entries, sets, percent).join(sets.select("class", "shingles"), "class")
+    return parts.groupBy(*CELL_KEY, "part", "other").applyInArrow(exact, PAIRS)
 
 
 def classes_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -446,8 +524,8 @@ def classes_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: st
     entries = store(entries.join(several, "key"), "jaccard-entries")
     linked = _verify(_stars(entries, 1).unionByName(_stars(entries, 2)).distinct(), sets, percent)
     components = connected_components(linked)
-    rest = _tile_pairs(_open(entries, components), sets, percent)
-    linked = store(linked.unionByName(_verify(rest, sets, percent)), "jaccard-links")
+    rest = _tile_links(_open(entries, components), sets, percent)
+    linked = store(linked.unionByName(rest), "jaccard-links")
     return rows, connected_components(linked)
 
 

@@ -174,6 +174,81 @@ def test_tiles_find_links_between_components(spark):
     assert want <= got and want
 
 
+def shingle_set(text):
+    w = words(text)
+    return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+
+
+def variants(m, changed, seed, start=0):
+    """``m`` texts of the same 104 words (100 shingles) with ``changed`` shingles of their own each."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{x}" for x in rng.integers(0, 1 << 60, 104)]
+    rows = []
+    for k in range(m):
+        w = list(base)
+        at = int(rng.integers(10, 80))
+        w[at], w[at + changed - 5] = f"own{seed}x{k}", f"more{seed}x{k}"
+        rows.append((start + k, " ".join(w)))
+    return rows
+
+
+def linked_parts(sets):
+    """The least id reachable by links of 80 percent, by brute force."""
+    part = {i: i for i in sets}
+
+    def root(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                x, y = sorted((root(i), root(j)))
+                part[y] = x
+    return {i: root(i) for i in sets}
+
+
+def test_pairs_of_a_large_group_never_become_rows(spark, monkeypatch):
+    """Near copies just below the threshold, which signatures cannot tell from links, and others that link."""
+    rows = [*variants(150, 8, 5), *variants(40, 6, 6, 1000)]
+    want = linked_parts({i: shingle_set(t) for i, t in rows})
+    joined, both = [], jaccard_join._both
+
+    def counted(pairs, sets, columns):
+        joined.append(pairs.count())
+        return both(pairs, sets, columns)
+
+    monkeypatch.setattr(jaccard_join, "_both", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()} == want
+    assert sum(joined) <= 10 * len(rows)
+
+
+def test_parts_of_tiles_join_the_components_of_all_links(spark, monkeypatch):
+    """Each class a component of its own: with small tiles and parts, few links join what all links join."""
+    rng = np.random.default_rng(4)
+    base, rows, sets = rng.integers(0, 1 << 60, 200).astype(np.uint64), [], {}
+    for k in range(60):
+        codes = base.copy()
+        codes[:k // 2] = rng.integers(0, 1 << 60, k // 2)
+        sets[k] = np.unique(codes)
+        bits = bytearray(jaccard_join.signature(sets[k], 256).tobytes())
+        rows.append((k, len(sets[k]), [1, 2], bits, bytearray(jaccard_join.pack_sorted(sets[k]))))
+    found = spark.createDataFrame(rows, "class long, n int, keys array<long>, small binary, shingles binary")
+    entries = found.selectExpr("explode(keys) as key", "class", "n", "class as component")
+    for tile, shingles, most in ((2048, 1 << 20, 59), (16, 700, 59 * 60)):
+        monkeypatch.setattr(jaccard_join, "TILE", tile)
+        monkeypatch.setattr(jaccard_join, "PART_SHINGLES", shingles)
+        links = [tuple(r) for r in jaccard_join._tile_links(entries, found, 80).collect()]
+        assert len(links) <= most and all(jaccard_join.links(sets[a], sets[b], 80) for a, b in links)
+        part = {k: k for k in sets}
+        for _ in sets:
+            for a, b in links:
+                part[a] = part[b] = min(part[a], part[b])
+        assert part == linked_parts({k: frozenset(x.tolist()) for k, x in sets.items()})
+
+
 def test_signature_bound_never_loses_a_link():
     rng = np.random.default_rng(1)
     for _ in range(200):
